@@ -5,12 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.operators.clean import distinct_bars, settle_revisions
+from tickloom.operators.clean import settle_revisions
 from tickloom.operators.cluster import Clustering, cluster_stocks
 from tickloom.operators.decode import accepted, rejected
 from tickloom.operators.returns import bar_returns, return_series
 from tickloom.operators.stats import daily_prices, market_breadth, stock_summary
+from tickloom.schema import BAR_FIELDS, VALUE_FIELDS
 from tickloom.session import run_dir
 from tickloom.sinks.results import write_results
 from tickloom.sources.archive import scan_archive
@@ -34,12 +36,16 @@ class BatchResults:
         }
 
 
-def analyse(bars: DataFrame) -> BatchResults:
-    """All batch results over settled bars. No step needs the bars sorted."""
-    daily = daily_prices(bars)
+def analyse(bars: DataFrame, settled: DataFrame) -> BatchResults:
+    """All batch results. No step needs the bars sorted.
+
+    The summary takes every distinct ``bars`` row, re-sent revisions among them;
+    what depends on the order of bars takes ``settled`` ones, one per instant.
+    """
+    daily = daily_prices(settled)
     return BatchResults(
         summary=stock_summary(bars),
-        returns=bar_returns(bars),
+        returns=bar_returns(settled),
         daily=daily,
         breadth=market_breadth(daily),
     )
@@ -56,17 +62,21 @@ def run_batch_layer(
 ) -> Clustering:
     """Read the archive, analyse it and write every result below ``target``.
 
-    The cleaned bars are written to the shared folder once, as Parquet. Five results
-    read them, two of them twice, each only the columns it needs; parsing the JSON
-    again for each would cost far more, and a written table outlives executors.
+    Distinct and settled bars are each written once to the shared folder, as
+    Parquet. Later steps read only the columns they need from there; parsing the
+    JSON again for each would cost far more, and a written table outlives executors.
     """
     decoded = scan_archive(spark, archive, whole_files)
-    kept = f"{run_dir(spark, 'batch')}/bars"
-    settled = settle_revisions(
-        distinct_bars(accepted(decoded, "ingest_ts")), ["ingest_ts", "close", "open", "high", "low", "volume"]
+    kept = run_dir(spark, "batch")
+    # A bar's copies count as ingested when the last of them was.
+    bars = stored(
+        accepted(decoded, "ingest_ts")
+        .groupBy(*BAR_FIELDS)
+        .agg(F.max("ingest_ts").alias("ingest_ts")),
+        f"{kept}/bars",
     )
-    settled.write.parquet(kept)
-    results = analyse(spark.read.schema(settled.schema).parquet(kept))
+    settled = stored(settle_revisions(bars, ["ingest_ts", *VALUE_FIELDS]), f"{kept}/settled")
+    results = analyse(bars, settled)
     groups = cluster_stocks(results.summary, k=k)
     write_results(
         {
@@ -79,3 +89,9 @@ def run_batch_layer(
         fmt,
     )
     return groups
+
+
+def stored(frame: DataFrame, path: str) -> DataFrame:
+    """Write a frame as Parquet and go on from the written copy."""
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

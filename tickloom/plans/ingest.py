@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.encode import to_messages
-from tickloom.operators.latest import in_universe, latest_in_universe, lookback
+from tickloom.operators.latest import (
+    in_universe,
+    latest_bar,
+    latest_in_universe,
+    lookback,
+)
 from tickloom.sinks.messages import write_message_files
 from tickloom.streaming.live import POLL_EVERY, BatchSink, start_batches
 
@@ -20,19 +25,19 @@ def latest_messages(
     return to_messages(latest_in_universe(lookback(bars, as_of, span), universe))
 
 
-def publish_to_files(path: str, universe: Sequence[str]) -> BatchSink:
-    """A batch sink that sends the newest bar of each symbol to message files."""
+def publish_to_files(path: str) -> BatchSink:
+    """A batch sink that writes the newest bar of each symbol as message files."""
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_in_universe(batch, universe)
-        write_message_files(to_messages(newest), f"{path}/batch_id={batch_id}", "overwrite")
+        newest = to_messages(latest_bar(batch))
+        write_message_files(newest, f"{path}/batch_id={batch_id}", "overwrite")
 
     return deliver
 
 
 def run_ingest(
     landed: DataFrame,
-    universe: Sequence[str],
+    universe: Sequence[str] | DataFrame,
     deliver: BatchSink,
     checkpoint: str,
     every: str | None = POLL_EVERY,

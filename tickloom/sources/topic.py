@@ -9,12 +9,11 @@ from tickloom.schema import MESSAGE_SCHEMA, TopicOptions
 
 
 def _options(options: TopicOptions) -> dict[str, str]:
-    out = {
+    return {
         "kafka.bootstrap.servers": options.brokers,
         "subscribe": options.topic,
         **dict(options.extra),
     }
-    return out
 
 
 def topic_stream(
@@ -38,14 +37,16 @@ def topic_replay(
 
 
 def as_messages(records: DataFrame) -> DataFrame:
-    """Topic records as ``key``, ``value`` text and ``arrival`` time.
+    """Topic records as ``key``, ``value`` text, ``arrival`` time and ``offset``.
 
-    Records without a value are tombstones, not bars, and are skipped.
+    Records without a value are tombstones, not bars, and are skipped. The offset
+    tells copies of a record apart.
     """
     return records.where(F.col("value").isNotNull()).select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         F.col("timestamp").alias("arrival"),
+        "offset",
     )
 
 
@@ -66,6 +67,9 @@ def message_file_replay(spark: SparkSession, path: str) -> DataFrame:
 
 def _file_messages(files: DataFrame) -> DataFrame:
     stamped = files.select(
-        "key", "value", F.col("_metadata.file_modification_time").alias("timestamp")
+        "key",
+        "value",
+        F.col("_metadata.file_modification_time").alias("timestamp"),
+        F.col("_metadata.row_index").alias("offset"),
     )
     return as_messages(stamped)
