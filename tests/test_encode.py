@@ -1,0 +1,94 @@
+import json
+
+import pytest
+
+from tickloom.functions.text import escape_name, iso_utc, number_text
+from tickloom.operators.decode import accepted, decode_bars
+from tickloom.operators.encode import (
+    bar_json,
+    bar_lines,
+    point_lines,
+    to_archive,
+    to_messages,
+    to_points,
+)
+from tests.support import make_bars
+
+NAN, INF = float("nan"), float("inf")
+NUMBERS = [0.0, 1.0, -2.5, 0.001, 0.0001, 0.00012345678901234567, 1e-5, 1.5e-7, 9999999.0, 1e7,
+           12345678.0, 123456789.125, -98765432.1, 1e15, 9007199254740993.0, 1e16, 1.5e16,
+           1.2345e100, 1e-300, -1e22, 0.1 + 0.2]
+
+
+def test_numbers_read_as_usual(spark):
+    frame = spark.createDataFrame([(x,) for x in NUMBERS], "x double")
+    for row in frame.select("x", number_text("x").alias("text")).collect():
+        assert row.text == repr(row.x)
+
+
+@pytest.mark.parametrize("encode", [bar_lines, lambda b: point_lines(to_points(b))])
+class TestLines:
+    def lines(self, spark, encode, *rows):
+        return sorted(r.line for r in encode(make_bars(spark, list(rows))).collect())
+
+    def test_plain(self, spark, encode):
+        row = ("A", "2024-01-01T00:00:07.900000", 1.0, 2.5, 0.5, 2.0, 12345678.0)
+        assert self.lines(spark, encode, row) == [
+            "stock-price-v1,stock=A open=1.0,high=2.5,low=0.5,close=2.0,volume=12345678.0 1704067207"]
+
+    def test_tags_are_escaped(self, spark, encode):
+        (line,) = self.lines(spark, encode, ("A B,C=D", "2024-01-01T00:00:00", 1.0))
+        assert line.startswith(r"stock-price-v1,stock=A\ B\,C\=D open=")
+
+    def test_missing_tag_is_left_out(self, spark, encode):
+        for stock in (None, ""):
+            (line,) = self.lines(spark, encode, (stock, "2024-01-01T00:00:00", 1.0))
+            assert line.startswith("stock-price-v1 open=")
+
+    def test_unwritable_fields_are_left_out(self, spark, encode):
+        row = ("A", "2024-01-01T00:00:00", None, NAN, INF, 2.0, None)
+        assert self.lines(spark, encode, row) == ["stock-price-v1,stock=A close=2.0 1704067200"]
+
+    def test_no_field_or_no_time_no_line(self, spark, encode):
+        none = ("A", "2024-01-01T00:00:00", None, None, NAN, INF, None)
+        assert self.lines(spark, encode, none, ("A", None, 1.0)) == []
+
+
+def test_measurement_and_other_columns(spark):
+    frame = spark.createDataFrame([("x", "y z", 2.0, 5)], "a string, b string, v double, t int")
+    frame = frame.selectExpr("a", "b", "v", "timestamp_seconds(t) as t")
+    got = bar_lines(frame, "my point", ["a", "b"], ["v"], "t").first().line
+    assert got == r"my\ point,a=x,b=y\ z v=2.0 5"
+
+
+def test_message_is_keyed_json(spark):
+    bars = make_bars(spark, [("A", "2024-01-01T09:30:00.250000", 1.0, 2.0, 0.5, 1.5, 1e7)])
+    row = to_messages(bars).first()
+    assert row.key == "A"
+    assert list(json.loads(row.value).items()) == [
+        ("stock", "A"), ("date", "2024-01-01T09:30:00.25Z"), ("open", 1.0), ("high", 2.0),
+        ("low", 0.5), ("close", 1.5), ("volume", 1e7)]
+
+
+def test_archive_rows_carry_the_day_and_the_ingest_time(spark):
+    bars = make_bars(spark, [("A", "2024-01-01T09:30:00", 1.0)])
+    bars = bars.selectExpr("*", "timestamp'2024-01-02 00:00:00Z' as ingest_ts")
+    row = to_archive(bars).first()
+    assert str(row.day) == "2024-01-01"
+    assert json.loads(row.value)["ingest_ts"] == "2024-01-02T00:00:00Z"
+
+
+def test_round_trip_of_awkward_bars(spark):
+    bars = make_bars(spark, [
+        ('q"uo\\te\n', "2024-01-01T09:30:00.000001", 1e-300, 1e300, -0.1, None, 0.1 + 0.2),
+        ("é,=", "1999-12-31T23:59:59", 1.0)])
+    back = accepted(decode_bars(to_messages(bars)))
+    assert sorted(back.collect()) == sorted(bars.collect())
+
+
+def test_helpers(spark):
+    frame = spark.createDataFrame([("a,b c=d",)], "t string")
+    assert frame.select(escape_name("t")).first()[0] == r"a\,b\ c\=d"
+    moment = spark.sql("select timestamp'2024-01-01T10:00:00+02:00' as t")
+    assert moment.select(iso_utc("t")).first()[0] == "2024-01-01T08:00:00Z"
+    assert bar_json(make_bars(spark, [])) is not None

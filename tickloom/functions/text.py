@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.scalar import column
 
-# The range in which a number is written without an exponent.
-PLAIN_FROM = 1e-4
-PLAIN_BELOW = 1e16
+# The powers of ten at which a number is written without an exponent.
+PLAIN_FROM = -4
+PLAIN_TO = 15
 
 
 def iso_utc(date: Column | str) -> Column:
@@ -24,18 +24,21 @@ def number_text(number: Column | str) -> Column:
     """A double as ``12345678.0``, ``0.0001`` or ``1e+16``.
 
     Spark's own cast turns to exponents from 1e7 up and below 1e-3, which is
-    where trading volumes live. Values it prints plainly keep that text; the rest
-    go through a decimal wide enough for every digit a double carries there.
+    where trading volumes live.
     """
-    number = column(number).cast("double")
-    text = number.cast("string")
-    size = F.abs(number)
+    return without_exponent(column(number).cast("double").cast("string"))
 
-    digits = F.rtrim(text.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
-    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
 
+def without_exponent(text: Column | str) -> Column:
+    """Rewrite the text of a double so that exponents appear only at the extremes.
+
+    Text that has none stays as it is; the rest goes through a decimal wide enough
+    for every digit a double carries in the plain range.
+    """
+    text = column(text)
     mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
     exponent = F.substring_index(text, "E", -1).try_cast("int")
+    digits = F.rtrim(text.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
     scientific = F.concat(
         mantissa,
         F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
@@ -43,8 +46,9 @@ def number_text(number: Column | str) -> Column:
     )
     return (
         F.when(~text.contains("E"), text)
-        .when((size >= PLAIN_FROM) & (size < PLAIN_BELOW), plain)
-        .otherwise(scientific)
+        .when(~exponent.between(PLAIN_FROM, PLAIN_TO), scientific)
+        .when(digits.endswith("."), F.concat(digits, F.lit("0")))
+        .otherwise(digits)
     )
 
 

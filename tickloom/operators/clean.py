@@ -34,19 +34,32 @@ def ordering(columns: Sequence[str]) -> Column:
     return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
 
 
+def of_last(names: Sequence[str], order: Sequence[str]) -> list[Column]:
+    """Aggregates that give, for each of ``names``, its value in the last row.
+
+    ``max_by`` passes over rows whose order is null. Where a group has no others,
+    one of those rows is taken.
+    """
+    by = ordering(order)
+    return [
+        F.when(F.max(by).isNull(), F.any_value(name))
+        .otherwise(F.max_by(name, by))
+        .alias(name)
+        for name in names
+    ]
+
+
 def last_write_wins(
     rows: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Keep, for every key, the values of the row that comes last in ``order``.
 
-    ``order`` must have no nulls and no ties within a key; add columns to it to
-    break ties. One aggregate with map-side combine, whatever the group size.
+    Ties within a key are settled arbitrarily; add columns to ``order`` to break
+    them. One aggregate with map-side combine, whatever the group size.
     """
-    by = ordering(order)
     values = [name for name in rows.columns if name not in keys]
-    return rows.groupBy(*keys).agg(
-        *[F.max_by(F.col(name), by).alias(name) for name in values]
-    ).select(*rows.columns)
+    settled = rows.groupBy(*keys).agg(*of_last(values, order))
+    return settled.select(*rows.columns)
 
 
 def settle_revisions(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from tickloom.functions.text import (
     is_finite,
     iso_utc,
     number_text,
+    without_exponent,
 )
 from tickloom.schema import BAR_FIELDS, VALUE_FIELDS
 
@@ -32,27 +35,6 @@ def to_points(bars: DataFrame, measurement: str = MEASUREMENT) -> DataFrame:
     )
 
 
-def line_text(
-    measurement: Column, tags: Mapping[str, Column], fields: Mapping[str, Column], time: Column
-) -> Column:
-    """One line, ``measurement[,tag=value...] field=value[,...] time``.
-
-    Missing tags and unwritable fields are left out, and so is the tag part when
-    there is none. Null when no field remains, as such a point cannot exist.
-    """
-    tag_parts = [
-        F.when(F.length(value) > 0, F.concat(escape_name(F.lit(name)), F.lit("="), escape_name(value)))
-        for name, value in tags.items()
-    ]
-    field_parts = [
-        F.when(is_finite(value), F.concat(escape_name(F.lit(name)), F.lit("="), number_text(value)))
-        for name, value in fields.items()
-    ]
-    head = F.concat_ws(",", escape_measurement(measurement), *tag_parts)
-    body = F.concat_ws(",", *field_parts)
-    return F.when(body != "", F.concat_ws(" ", head, body, time.cast("string")))
-
-
 def bar_lines(
     bars: DataFrame,
     measurement: str = MEASUREMENT,
@@ -61,17 +43,34 @@ def bar_lines(
     time: str = "date",
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Bars as a column ``line``; rows without a single field or a time are dropped."""
-    line = line_text(
-        F.lit(measurement),
-        {name: F.col(name) for name in tags},
-        {name: F.col(name) for name in fields},
-        epoch_seconds(time),
+    """Bars as line protocol, ``measurement[,tag=value...] field=value[,...] time``.
+
+    Missing tags and unwritable fields are left out, and so is the tag part when
+    there is none. Rows without a time or without a single field are dropped: such
+    points cannot exist.
+
+    Numbers become text in a projection of their own, so that each is converted
+    once although the final text looks at it several times; one lambda over their
+    array keeps the generated code small enough to be compiled. Rows are dropped
+    ahead of that, on the raw numbers, or the filter would repeat the encoding.
+    """
+    names = {name: F.concat(escape_name(F.lit(name)), F.lit("=")) for name in (*tags, *fields)}
+    tag_parts = [
+        F.when(F.length(name) > 0, F.concat(names[name], escape_name(name))) for name in tags
+    ]
+    texts = [F.when(is_finite(name), F.col(name)).cast("string") for name in fields]
+    field_parts = [F.concat(names[n], F.col("_texts")[i]) for i, n in enumerate(fields)]
+    line = F.concat_ws(
+        " ",
+        F.concat_ws(",", escape_measurement(F.lit(measurement)), *tag_parts),
+        F.concat_ws(",", *field_parts),
+        epoch_seconds(time).cast("string"),
     )
     return (
-        bars.where(F.col(time).isNotNull())
+        bars.where(F.col(time).isNotNull() & reduce(or_, map(is_finite, fields)))
+        .withColumn("_texts", F.array(*texts))
+        .withColumn("_texts", F.transform("_texts", without_exponent))
         .select(*keep, line.alias("line"))
-        .where(F.col("line").isNotNull())
     )
 
 
@@ -81,16 +80,18 @@ def point_lines(points: DataFrame) -> DataFrame:
     tag_parts = F.transform(
         tags, lambda e: F.concat(escape_name(e["key"]), F.lit("="), escape_name(e["value"]))
     )
-    fields = F.filter(F.map_entries("fields"), lambda e: is_finite(e["value"]))
+    writable = F.filter(F.map_entries("fields"), lambda e: is_finite(e["value"]))
     field_parts = F.transform(
-        fields, lambda e: F.concat(escape_name(e["key"]), F.lit("="), number_text(e["value"]))
+        writable, lambda e: F.concat(escape_name(e["key"]), F.lit("="), number_text(e["value"]))
     )
-    head = F.concat_ws(",", escape_measurement("measurement"), tag_parts)
-    body = F.concat_ws(",", field_parts)
-    line = F.when(body != "", F.concat_ws(" ", head, body, F.col("time").cast("string")))
-    return points.where(F.col("time").isNotNull()).select(line.alias("line")).where(
-        F.col("line").isNotNull()
+    line = F.concat_ws(
+        " ",
+        F.concat_ws(",", escape_measurement("measurement"), tag_parts),
+        F.concat_ws(",", field_parts),
+        F.col("time").cast("string"),
     )
+    any_field = F.exists(F.map_values("fields"), is_finite)
+    return points.where(F.col("time").isNotNull() & any_field).select(line.alias("line"))
 
 
 def bar_json(bars: DataFrame) -> Column:

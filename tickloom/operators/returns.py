@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalar import simple_return, time_bucket
-from tickloom.operators.clean import ordering
+from tickloom.operators.clean import of_last
 
 _BUCKET = "_bucket"
 _SEAM = "_seam"
@@ -95,10 +95,7 @@ def _with_seams(
 def _last_row_seams(slim: DataFrame, order: Sequence[str]) -> DataFrame:
     """One seam row per bucket: the last row of the bucket before it."""
     carried = [name for name in slim.columns if name not in ("stock", _BUCKET)]
-    by = ordering(order)
-    last = slim.groupBy("stock", _BUCKET).agg(
-        *[F.max_by(F.col(name), by).alias(name) for name in carried]
-    )
+    last = slim.groupBy("stock", _BUCKET).agg(*of_last(carried, order))
     buckets = Window.partitionBy("stock").orderBy(_BUCKET)
     return last.select(
         "stock",

@@ -22,18 +22,26 @@ def pin_runtime(spark: SparkSession) -> SparkSession:
 def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
     """Options for a job over ``input_bytes`` on ``cores`` executor cores.
 
-    Shuffle partitions aim at 256 MB of input each and at no less than two waves
-    of tasks; adaptive execution merges those that turn out small. Streaming state
-    goes to RocksDB, so it is bounded by executor disk and not by heap.
+    Shuffle partitions aim at 256 MB of input each and at no less than two waves of
+    tasks; adaptive execution merges small ones up to 128 MB. Where the whole input
+    is smaller than one such piece per core, using all cores comes first, and state
+    of streams stays on the heap. Beyond that it goes to RocksDB, where executor
+    disk bounds it.
     """
-    by_size = -(-input_bytes // (256 << 20))
-    return {
+    piece = 128 << 20
+    settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(piece),
+        "spark.sql.files.maxPartitionBytes": str(2 * piece),
+    }
+    if input_bytes < cores * piece:
+        return {**settings, "spark.sql.shuffle.partitions": str(cores)}
+    by_size = -(-input_bytes // (2 * piece))
+    return {
+        **settings,
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
         "spark.sql.shuffle.partitions": str(max(2 * cores, by_size)),
-        "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
