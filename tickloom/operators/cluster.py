@@ -62,7 +62,8 @@ def cluster_stocks(
         scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
         scaled = scaler.fit(features).transform(features)
         features = scaled.select("stock", F.col("scaled").alias("features"))
-    model = KMeans(k=k, seed=seed, featuresCol="features").fit(features)
+    # The row solver copes with fewer distinct vectors than groups; the block one fails.
+    model = KMeans(k=k, seed=seed, featuresCol="features", solver="row").fit(features)
     centres = [[float(x) for x in centre] for centre in model.clusterCenters()]
     rank = sorted(range(len(centres)), key=centres.__getitem__)
     renumber = F.create_map(

@@ -20,12 +20,8 @@ def raw_dump(
     are passed over, as a dump should finish. Archives filed by ``day`` (and
     ``batch_id``) keep those columns, and filters on them prune folders.
     """
-    text = (
-        spark.read.option("wholetext", whole_files)
-        .option("ignoreMissingFiles", True)
-        .option("ignoreCorruptFiles", True)
-        .text(path)
-    )
+    reader = spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
+    text = reader.text(path, wholetext=whole_files)
     return text.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_modification_time").alias("file_time"),
@@ -45,9 +41,12 @@ def scan_archive(
     that day and later, where the archive is filed by day. Unlike the dump this
     fails on unreadable files: analysis must not lose records silently.
     """
-    text = spark.read.option("wholetext", whole_files).text(path)
-    records = text.select("*", F.col("_metadata.file_path").alias("file_path"),
-                          F.col("_metadata.file_modification_time").alias("file_time"))
+    text = spark.read.text(path, wholetext=whole_files)
+    records = text.select(
+        "*",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
+    )
     if since is not None and "day" in text.columns:
         records = records.where(F.col("day") >= F.lit(since))
     return decode_bars(records, "value", arrival="file_time")
