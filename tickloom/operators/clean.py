@@ -38,15 +38,17 @@ def of_last(names: Sequence[str], order: Sequence[str]) -> list[Column]:
     """Aggregates that give, for each of ``names``, its value in the last row.
 
     ``max_by`` passes over rows whose order is null. Where a group has no others,
-    one of those rows is taken.
+    one of those rows is taken. A struct of several columns is itself never null.
     """
     by = ordering(order)
-    return [
-        F.when(F.max(by).isNull(), F.any_value(name))
-        .otherwise(F.max_by(name, by))
-        .alias(name)
-        for name in names
-    ]
+    last = {name: F.max_by(name, by) for name in names}
+    if len(order) == 1:
+        unordered = F.max(by).isNull()
+        last = {
+            name: F.when(unordered, F.any_value(name)).otherwise(value)
+            for name, value in last.items()
+        }
+    return [value.alias(name) for name, value in last.items()]
 
 
 def last_write_wins(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.clean import settle_revisions
 from tickloom.operators.cluster import Clustering, cluster_stocks
 from tickloom.operators.decode import accepted, rejected
-from tickloom.operators.returns import bar_returns, return_series
+from tickloom.operators.returns import bar_returns, fit_grain, return_series
 from tickloom.operators.stats import daily_prices, market_breadth, stock_summary
 from tickloom.schema import BAR_FIELDS, VALUE_FIELDS
 from tickloom.session import run_dir
@@ -36,16 +36,17 @@ class BatchResults:
         }
 
 
-def analyse(bars: DataFrame, settled: DataFrame) -> BatchResults:
+def analyse(bars: DataFrame, settled: DataFrame, grain: str = "day") -> BatchResults:
     """All batch results. No step needs the bars sorted.
 
     The summary takes every distinct ``bars`` row, re-sent revisions among them;
-    what depends on the order of bars takes ``settled`` ones, one per instant.
+    what depends on the order of bars takes ``settled`` ones, one per instant, and
+    cuts time at ``grain``.
     """
     daily = daily_prices(settled)
     return BatchResults(
         summary=stock_summary(bars),
-        returns=bar_returns(settled),
+        returns=bar_returns(settled, grain=grain),
         daily=daily,
         breadth=market_breadth(daily),
     )
@@ -62,12 +63,18 @@ def run_batch_layer(
 ) -> Clustering:
     """Read the archive, analyse it and write every result below ``target``.
 
-    Distinct and settled bars are each written once to the shared folder, as
-    Parquet. Later steps read only the columns they need from there; parsing the
-    JSON again for each would cost far more, and a written table outlives executors.
+    Decoded records, distinct bars and settled bars are each written once to the
+    shared folder, as Parquet. Later steps read only the columns they need from
+    there: the JSON is parsed a single time, and a written table outlives executors.
     """
-    decoded = scan_archive(spark, archive, whole_files)
     kept = run_dir(spark, "batch")
+    readable = F.col("reject_reason").isNull()
+    decoded = stored(
+        scan_archive(spark, archive, whole_files)
+        .withColumn("value", F.when(~readable, F.col("value")))
+        .select(*BAR_FIELDS, "ingest_ts", "value", "reject_reason", "file_path"),
+        f"{kept}/decoded",
+    )
     # A bar's copies count as ingested when the last of them was.
     bars = stored(
         accepted(decoded, "ingest_ts")
@@ -76,7 +83,7 @@ def run_batch_layer(
         f"{kept}/bars",
     )
     settled = stored(settle_revisions(bars, ["ingest_ts", *VALUE_FIELDS]), f"{kept}/settled")
-    results = analyse(bars, settled)
+    results = analyse(bars, settled, fit_grain(settled))
     groups = cluster_stocks(results.summary, k=k)
     write_results(
         {

@@ -51,12 +51,14 @@ def as_messages(records: DataFrame) -> DataFrame:
 
 
 def message_file_stream(
-    spark: SparkSession, path: str, files_per_batch: int | None = None
+    spark: SparkSession, path: str, files_per_batch: int = 1000
 ) -> DataFrame:
-    """A stream over a folder of Parquet message files, shaped like a topic stream."""
+    """A stream over a folder of Parquet message files, shaped like a topic stream.
+
+    A large backlog is worked off in batches of bounded size.
+    """
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return _file_messages(reader.parquet(path))
 
 
