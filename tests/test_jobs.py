@@ -1,0 +1,84 @@
+import pytest
+
+from tickloom.__main__ import arguments, run
+from tickloom.operators.decode import accepted, decode_bars
+from tickloom.operators.encode import to_messages
+from tickloom.plans.speed_layer import run_speed_layer, send_lines
+from tickloom.sinks.archive import write_archive
+from tickloom.sinks.console import console_stream
+from tickloom.sinks.messages import write_message_files
+from tickloom.sinks.points import line_sink
+from tickloom.sources.topic import message_file_stream
+from tests.support import make_bars
+from tests.test_storage import collector
+
+ROWS = [("A", "2024-01-01T10:00:00", 1.0), ("B", "2024-01-01T11:00:00", 2.0)]
+
+
+def test_batch_job_writes_and_previews(spark, tmp_path, capsys):
+    archive, target = str(tmp_path / "in"), str(tmp_path / "out")
+    write_archive(make_bars(spark, ROWS), archive)
+    run(spark, arguments(["batch", "--archive", archive, "--target", target, "--run-id", "r"]))
+    shown = capsys.readouterr().out
+    for name in ("stock_summary:", "return_series:", "market_breadth:", "clusters:"):
+        assert name in shown
+    assert spark.read.parquet(f"{target}/daily_prices/run_id=r").count() == 2
+
+
+def test_dump_job_writes_every_record_and_previews(spark, tmp_path, capsys):
+    archive, target = str(tmp_path / "in"), str(tmp_path / "out")
+    write_archive(make_bars(spark, ROWS), archive)
+    run(spark, arguments(["dump", "--archive", archive, "--target", target]))
+    dumped = spark.read.json(target).collect()
+    assert len(dumped) == 2 and all("day=2024-01-01/batch_id=0/" in r.file_path for r in dumped)
+    assert "records:" in capsys.readouterr().out
+
+
+def test_compact_job(spark, tmp_path):
+    archive, target = str(tmp_path / "in"), str(tmp_path / "out")
+    for batch_id in (0, 1):
+        write_archive(make_bars(spark, ROWS), archive, batch_id)
+    run(spark, arguments(["compact", "--archive", archive, "--target", target]))
+    assert spark.read.parquet(target).select("stock", "date").distinct().count() == 2
+
+
+def test_ingest_needs_symbols(spark, tmp_path):
+    (tmp_path / "landed").mkdir()
+    args = ["ingest", "--landed", str(tmp_path / "landed"), "--symbols", "", "--checkpoint", "c"]
+    with pytest.raises(ValueError, match="no stock symbols"):
+        run(spark, arguments([*args, "--brokers", "h:1", "--topic", "t"]))
+
+
+def test_live_job_needs_topic(capsys):
+    with pytest.raises(SystemExit):
+        arguments(["live", "--target", "x"])
+
+
+def test_speed_layer_sends_lines_to_an_endpoint(spark, tmp_path):
+    sent = tmp_path / "sent"
+    sent.mkdir()
+    write_message_files(to_messages(make_bars(spark, ROWS)), str(tmp_path / "topic"))
+    spark.dataSource.register(line_sink(collector(sent), "live_lines"))
+    stream = message_file_stream(spark, str(tmp_path / "topic"))
+    run_speed_layer(stream, str(tmp_path / "live"), more=[send_lines("live_lines")]).awaitTermination()
+    lines = "\n".join(p.read_text() for p in sent.iterdir()).split("\n")
+    assert sorted(line.split(" ")[0] for line in lines) == ["stock-price-v1,stock=A", "stock-price-v1,stock=B"]
+
+
+def test_line_sink_takes_a_stream(spark, tmp_path):
+    sent, topic = tmp_path / "sent", str(tmp_path / "topic")
+    sent.mkdir()
+    write_message_files(to_messages(make_bars(spark, ROWS)), topic)
+    spark.dataSource.register(line_sink(collector(sent), "stream_lines"))
+    lines = accepted(decode_bars(message_file_stream(spark, topic))).selectExpr("concat(stock, ' v=', close) as line")
+    writer = lines.writeStream.format("stream_lines").option("checkpointLocation", str(tmp_path / "c"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    assert sorted("\n".join(p.read_text() for p in sent.iterdir()).split("\n")) == ["A v=1.0", "B v=2.0"]
+
+
+def test_console_stream_runs(spark, tmp_path):
+    write_message_files(to_messages(make_bars(spark, ROWS)), str(tmp_path / "topic"))
+    query = console_stream(message_file_stream(spark, str(tmp_path / "topic")), str(tmp_path / "c"), "1 second")
+    query.processAllAvailable()
+    assert sum(p.numInputRows for p in query.recentProgress) >= 2
+    query.stop()

@@ -14,7 +14,8 @@ from tickloom.operators.latest import (
     latest_in_universe,
     lookback,
 )
-from tickloom.sinks.messages import write_message_files
+from tickloom.schema import TopicOptions
+from tickloom.sinks.messages import publish, write_message_files
 from tickloom.streaming.live import POLL_EVERY, BatchSink, start_batches
 
 
@@ -35,6 +36,15 @@ def publish_to_files(path: str) -> BatchSink:
     return deliver
 
 
+def publish_to_topic(options: TopicOptions) -> BatchSink:
+    """A batch sink that sends the newest bar of each symbol to a topic."""
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        publish(to_messages(latest_bar(batch)), options)
+
+    return deliver
+
+
 def run_ingest(
     landed: DataFrame,
     universe: Sequence[str] | DataFrame,

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.decode import accepted, decode_bars, rejected
+from tickloom.operators.encode import bar_lines
 from tickloom.sinks.archive import write_archive
 from tickloom.sinks.points import write_point_lines
-from tickloom.streaming.live import fan_out, start_batches
+from tickloom.streaming.live import BatchSink, fan_out, start_batches
 
 
 def write_rejects(batch: DataFrame, path: str, batch_id: int) -> None:
@@ -17,15 +20,28 @@ def write_rejects(batch: DataFrame, path: str, batch_id: int) -> None:
     rejected(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def send_lines(fmt: str) -> BatchSink:
+    """A batch sink that sends good bars as lines to a registered ``line_sink``."""
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        bar_lines(accepted(batch)).write.format(fmt).mode("append").save()
+
+    return deliver
+
+
 def run_speed_layer(
-    messages: DataFrame, target: str, every: str | None = None
+    messages: DataFrame,
+    target: str,
+    every: str | None = None,
+    more: Sequence[BatchSink] = (),
 ) -> StreamingQuery:
     """Decode messages once and write points, archive and dead letters per batch.
 
     Below ``target``: ``points`` (line protocol), ``archive`` (JSON lines),
     ``rejects`` and the query's ``checkpoint``. All writes replace the folders of
     their batch id, so a restart repeats a broken batch without doubling rows.
-    Nothing is collected: every task writes its own rows.
+    Nothing is collected: every task writes its own rows. Sinks in ``more`` get the
+    decoded batch as well.
     """
     decoded = decode_bars(messages, "value", arrival="arrival").observe(
         "batch",
@@ -36,5 +52,6 @@ def run_speed_layer(
         lambda b, i: write_point_lines(accepted(b), f"{target}/points", i),
         lambda b, i: write_archive(accepted(b, "ingest_ts"), f"{target}/archive", i),
         lambda b, i: write_rejects(b, f"{target}/rejects", i),
+        *more,
     )
     return start_batches(decoded, deliver, f"{target}/checkpoint", every)
