@@ -50,6 +50,14 @@ def test_universe_as_list_frame_and_long_list_agree(spark, monkeypatch):
     assert sorted(latest_in_universe(bars, symbols).collect()) == want
 
 
+def test_a_universe_frame_is_joined_after_the_aggregate(spark):
+    symbols = spark.range(1000).selectExpr("concat('A', id % 7) as stock")
+    joined = latest_in_universe(make_bars(spark, ROWS), symbols)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    join, bars = plan.index("Join Inner"), plan.index("max_by")
+    assert join < bars and "LeftSemi" not in plan
+
+
 def test_a_short_universe_reaches_the_scan(spark, tmp_path):
     make_bars(spark, ROWS).write.parquet(str(tmp_path / "bars"))
     kept = in_universe(spark.read.parquet(str(tmp_path / "bars")), ["A", "B"])

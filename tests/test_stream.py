@@ -10,6 +10,7 @@ from tickloom.operators.encode import to_messages
 from tickloom.plans.ingest import latest_messages, publish_to_files, run_ingest
 from tickloom.plans.speed_layer import run_speed_layer
 from tickloom.schema import BAR_SCHEMA
+from tickloom.session import ROCKSDB_PROVIDER
 from tickloom.sinks.archive import write_archive
 from tickloom.sinks.messages import write_message_files
 from tickloom.sources.archive import scan_archive
@@ -78,6 +79,21 @@ def test_a_batch_that_fails_between_sinks_is_repeated_without_doubling(spark, tm
     assert second == [len(ROWS)] and scan_archive(spark, path).count() == len(ROWS)
 
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@pytest.fixture
+def state_on_disk(spark):
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB_PROVIDER)
+    yield
+    spark.conf.set(PROVIDER, before)
+
+
+def test_redeliveries_with_state_on_disk(spark, tmp_path, state_on_disk):
+    test_redeliveries_are_let_through_once(spark, tmp_path, True)
+
+
 @pytest.mark.parametrize("salted", [False, True])
 def test_redeliveries_are_let_through_once(spark, tmp_path, salted):
     topic = str(tmp_path / "topic")

@@ -48,6 +48,8 @@ def of_last(names: Sequence[str], order: Sequence[str]) -> list[Column]:
             name: F.when(unordered, F.any_value(name)).otherwise(value)
             for name, value in last.items()
         }
+        if order[0] in last:
+            last[order[0]] = F.max(by)
     return [value.alias(name) for name, value in last.items()]
 
 

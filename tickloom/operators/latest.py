@@ -52,10 +52,11 @@ def latest_in_universe(
     """Latest bar of each stock of the universe.
 
     A literal list filters the scan. A frame is joined after the aggregate, when
-    both sides have one row per stock and no key can be hot.
+    both sides have one row per stock and no key can be hot. That join is an inner
+    one: Catalyst would move a semi-join below the aggregate, onto all the bars.
     """
     if isinstance(universe, DataFrame):
-        return in_universe(latest_bar(bars), universe)
+        return latest_bar(bars).join(universe.select("stock").distinct(), "stock")
     return latest_bar(in_universe(bars, universe))
 
 

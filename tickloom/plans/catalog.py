@@ -74,12 +74,15 @@ def registered() -> dict[str, Query]:
 
 
 def query(build: Query) -> Query:
-    """Register a query under its function name; its calendar is always UTC."""
+    """Register a query under its function name; its calendar is always UTC.
+
+    Queries named like the operator they run end in ``_query`` here.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return build(pin_runtime(spark), sf_dir)
 
-    _REGISTERED[build.__name__] = run
+    _REGISTERED[build.__name__.removesuffix("_query")] = run
     return run
 
 
@@ -124,13 +127,13 @@ def basic_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def bar_returns_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bar_returns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars with previous close and return."""
     return bar_returns(event_bars(spark, sf_dir)).drop("moving_avg_1d")
 
 
 @query
-def return_series_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def return_series_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reported projection of returns."""
     return return_series(bar_returns(event_bars(spark, sf_dir)))
 
@@ -150,13 +153,13 @@ def moving_avg_5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def daily_prices_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_prices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First open, last close and direction per stock and day."""
     return daily_prices(event_bars(spark, sf_dir))
 
 
 @query
-def market_breadth_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def market_breadth_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stocks up, down and unchanged per day."""
     return market_breadth(daily_prices(event_bars(spark, sf_dir)))
 
@@ -165,7 +168,7 @@ def market_breadth_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def union_all_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def union_bars_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bag union: every bar twice."""
     once = event_bars(spark, sf_dir)
     return union_bars(once, once)
@@ -205,7 +208,7 @@ def point_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def latest_bar_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def latest_bar_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest bar of every stock."""
     return latest_bar(event_bars(spark, sf_dir))
 
@@ -342,7 +345,7 @@ def archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def raw_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_dump_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The archive as the text that is in it."""
     path = run_dir(spark, "archive")
     write_archive(event_bars(spark, sf_dir), path, spread=True)
@@ -402,7 +405,7 @@ def batch_layer_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def sorted_bars_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sorted_bars_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All bars in presentation order."""
     return sorted_bars(event_bars(spark, sf_dir))
 
@@ -417,7 +420,7 @@ def sorted_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def topic_replay_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def topic_replay_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything in the topic, as text."""
     path = message_folder(spark, to_messages(event_bars(spark, sf_dir)))
     return message_file_replay(spark, path).select("key", "value")

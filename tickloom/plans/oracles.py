@@ -85,11 +85,11 @@ last_day AS (
 SQL: dict[str, str] = {
     "bars": ALL_BARS,
     "basic_stats": STATS,
-    "bar_returns_all": f"""
+    "bar_returns": f"""
         WITH {BARS}, {WITH_PREVIOUS}
         SELECT *, (close - prev_day_close) / nullif(prev_day_close, 0) AS daily_return
         FROM prev""",
-    "return_series_report": f"""
+    "return_series": f"""
         WITH {BARS}, {WITH_PREVIOUS}
         SELECT stock, date,
                (close - prev_day_close) / nullif(prev_day_close, 0) AS daily_return,
@@ -105,9 +105,9 @@ SQL: dict[str, str] = {
         SELECT stock, date, round(avg(close) OVER (PARTITION BY stock ORDER BY date
                  ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 10) AS moving_avg
         FROM bars""",
-    "daily_prices_all": f"WITH {BARS}, {DAILY} SELECT * FROM moves",
-    "market_breadth_all": BREADTH,
-    "union_all_bars": f"WITH {BARS} SELECT * FROM bars UNION ALL SELECT * FROM bars",
+    "daily_prices": f"WITH {BARS}, {DAILY} SELECT * FROM moves",
+    "market_breadth": BREADTH,
+    "union_bars": f"WITH {BARS} SELECT * FROM bars UNION ALL SELECT * FROM bars",
     "dedup_bars": f"""
         WITH {BARS}
         SELECT DISTINCT * FROM (SELECT * FROM bars UNION ALL SELECT * FROM bars)""",
@@ -121,7 +121,7 @@ SQL: dict[str, str] = {
         SELECT event_type, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS minute,
                max(event_id) AS event_id, arg_max(value, event_id) AS value
         FROM events GROUP BY 1, 2""",
-    "latest_bar_all": f"WITH {BARS} {LATEST}",
+    "latest_bar": f"WITH {BARS} {LATEST}",
     "universe": f"WITH {UNIVERSE} SELECT stock FROM universe",
     "universe_latest": f"""
         WITH {BARS}, {UNIVERSE}, newest AS ({LATEST})
@@ -150,7 +150,7 @@ SQL: dict[str, str] = {
                value AS volume, event_id
         FROM ticks WHERE event_type = 'click'""",
     "archive_roundtrip": ALL_BARS,
-    "raw_dump_lines": f"""
+    "raw_dump": f"""
         WITH {BARS} SELECT CAST(date AS DATE) AS day, {JSON} AS value FROM bars""",
     "archive_compacted": ALL_BARS,
     "points_recent": f"""
@@ -159,9 +159,9 @@ SQL: dict[str, str] = {
     "results_sink": BREADTH,
     "results_sink_json": STATS,
     "batch_layer_breadth": BREADTH,
-    "sorted_bars_all": f"WITH {BARS} SELECT * FROM bars ORDER BY stock, date",
+    "sorted_bars": f"WITH {BARS} SELECT * FROM bars ORDER BY stock, date",
     "sorted_preview": f"WITH {BARS} SELECT * FROM bars ORDER BY stock, date LIMIT 20",
-    "topic_replay_all": f"WITH {BARS} SELECT stock AS key, {JSON} AS value FROM bars",
+    "topic_replay": f"WITH {BARS} SELECT stock AS key, {JSON} AS value FROM bars",
     "stream_decode": ALL_BARS,
     "stream_fanout": f"""
         WITH {TICKS}
