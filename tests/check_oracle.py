@@ -1,4 +1,8 @@
-"""Compare registered queries with their SQL: ``check_oracle.py SF_DIR [name ...]``."""
+"""Compare registered queries with their SQL: ``check_oracle.py SF_DIR [name ...]``.
+
+With ``--files`` as a name, results are compared through Parquet files in the scratch
+folder instead of in memory, which suits larger data.
+"""
 
 from __future__ import annotations
 
@@ -10,11 +14,14 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import __spark_entry__ as contract
-from tests.support import compare, make_session, oracle
+from tests.support import compare, compare_files, make_session, oracle
 
 if __name__ == "__main__":
     sf_dir, *names = sys.argv[1:]
-    spark = make_session(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    through_files = "--files" in names
+    names = [name for name in names if name != "--files"]
+    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    spark = make_session(scratch)
     db, sql = oracle(sf_dir), contract.oracle_sql()
     failed = 0
     for name, run in contract.queries().items():
@@ -23,7 +30,9 @@ if __name__ == "__main__":
         began = time.time()
         try:
             frame = run(spark, sf_dir)
-            if name in sql:
+            if name in sql and through_files:
+                verdict = compare_files(frame, db, sql[name], f"{scratch}/{name}") or "ok"
+            elif name in sql:
                 verdict = compare(frame, db, sql[name]) or "ok"
             else:
                 verdict = f"ok, {frame.count()} rows, no SQL"

@@ -37,7 +37,9 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
     db.execute("SET TimeZone = 'UTC'")
     for table in TABLES:
         path = f"{sf_dir}/{table}.parquet"
-        if os.path.exists(path):
+        if os.path.isdir(path):
+            path += "/*.parquet"
+        if os.path.exists(f"{sf_dir}/{table}.parquet"):
             db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}')")
     return db
 
@@ -62,6 +64,20 @@ def compare(frame: DataFrame, db: duckdb.DuckDBPyConnection, sql: str) -> str |
     return None
 
 
+def compare_files(frame: DataFrame, db: duckdb.DuckDBPyConnection, sql: str, path: str) -> str | None:
+    """Like :func:`compare` for results too large to collect: through Parquet files."""
+    frame.write.parquet(path)
+    names = ", ".join(f'"{name}"' for name in sorted(frame.columns))
+    got = f"SELECT {names} FROM read_parquet('{path}/**/*.parquet', hive_partitioning = false)"
+    db.execute(f"CREATE OR REPLACE TEMP TABLE want AS SELECT {names} FROM ({sql})")
+    db.execute(f"CREATE OR REPLACE TEMP TABLE got AS {got}")
+    counts = db.execute("SELECT (SELECT count(*) FROM got), (SELECT count(*) FROM want)").fetchone()
+    extra = db.execute("SELECT * FROM got EXCEPT ALL SELECT * FROM want LIMIT 1").fetchall()
+    if counts[0] != counts[1] or extra:
+        return f"{counts[0]} rows, expected {counts[1]}; not expected: {extra}"
+    return None
+
+
 def at(text: str) -> dt.datetime:
     return dt.datetime.fromisoformat(text)
 
