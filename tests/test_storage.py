@@ -101,9 +101,18 @@ def test_points_last_write_wins_per_second(spark, tmp_path):
     write_point_table(make_bars(spark, [("B", "2024-01-01T10:00:00", 5.0)]), path, 2)
     got = read_points(spark, path)
     assert sorted((r.stock, r.close) for r in got.collect()) == [("A", 2.0), ("A", 4.0), ("B", 5.0)]
-    assert got.columns == ["measurement", "stock", "time", "open", "high", "low", "close", "volume"] or set(
-        got.columns
-    ) == {"measurement", "stock", "time", "open", "high", "low", "close", "volume"}
+    assert got.columns == ["measurement", "stock", "time", "open", "high", "low", "close", "volume"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_of_revisions_in_a_batch_the_last_arrived_is_the_point(spark, tmp_path):
+    bars = make_bars(spark, [("A", "2024-01-01T10:00:00", float(c)) for c in range(9)])
+    bars = bars.withColumn("offset", -F.col("close"))
+    write_point_table(bars.repartition(3), f"{tmp_path}/points", 0, ["offset"])
+    write_point_lines(bars.repartition(3), f"{tmp_path}/lines", 0, ["offset"])
+    assert [r.close for r in read_points(spark, f"{tmp_path}/points").collect()] == [0.0]
+    assert " open=0.0," in spark.read.text(f"{tmp_path}/lines").first().value
 
 
 def test_recent_points_prune_days(spark, tmp_path):

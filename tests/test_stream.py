@@ -60,6 +60,16 @@ def test_speed_layer_fills_three_sinks_and_goes_on_after_a_restart(spark, tmp_pa
     assert accepted(scan_archive(spark, f"{target}/archive"), "ingest_ts").where("ingest_ts is null").count() == 0
 
 
+def test_speed_layer_keeps_revisions_in_the_archive_and_the_last_as_point(spark, tmp_path):
+    topic, target = str(tmp_path / "topic"), str(tmp_path / "live")
+    sent = make_bars(spark, [("A", "2024-01-01T10:00:00", float(c)) for c in (3, 1, 2)])
+    feed(spark, topic, sent.coalesce(1))
+    finish(run_speed_layer(message_file_stream(spark, topic), target))
+    assert spark.read.text(f"{target}/archive").count() == 3
+    (line,) = texts(spark, f"{target}/points")
+    assert "close=2.0" in line
+
+
 def test_a_batch_that_fails_between_sinks_is_repeated_without_doubling(spark, tmp_path):
     topic, path, marker = str(tmp_path / "topic"), str(tmp_path / "archive"), tmp_path / "failed"
     feed(spark, topic, make_bars(spark, ROWS))

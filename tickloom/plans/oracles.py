@@ -170,7 +170,9 @@ SQL: dict[str, str] = {
                || ',low=' || CAST(value AS VARCHAR) || ',close=' || CAST(value AS VARCHAR)
                || ',volume=' || CAST(value AS VARCHAR) || ' '
                || CAST(CAST(epoch(date_trunc('second', date)) AS BIGINT) AS VARCHAR) AS text
-        FROM ticks WHERE event_type = 'click'
+        FROM (SELECT * FROM ticks WHERE event_type = 'click'
+              QUALIFY row_number() OVER (PARTITION BY stock, date_trunc('second', date)
+                                         ORDER BY date DESC) = 1)
         UNION ALL
         SELECT 'archive', stock || '|' || replace(CAST(date AS VARCHAR), ' ', 'T') || 'Z|'
                || CAST(value AS VARCHAR)

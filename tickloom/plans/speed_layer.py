@@ -11,20 +11,29 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.operators.decode import accepted, decode_bars, rejected
 from tickloom.operators.encode import bar_lines
 from tickloom.sinks.archive import write_archive
-from tickloom.sinks.points import write_point_lines
+from tickloom.sinks.points import settle_points, write_point_lines
 from tickloom.streaming.live import BatchSink, fan_out, start_batches
 
+# A stock's messages share a partition, where the offset is their order.
+ARRIVAL_ORDER = ["ingest_ts", "offset"]
+
 
 def write_rejects(batch: DataFrame, path: str, batch_id: int) -> None:
     """File dead letters by batch."""
     rejected(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def good(batch: DataFrame) -> DataFrame:
+    """Good bars with what says which of two came later."""
+    return accepted(batch, *ARRIVAL_ORDER)
+
+
 def send_lines(fmt: str) -> BatchSink:
     """A batch sink that sends good bars as lines to a registered ``line_sink``."""
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        bar_lines(accepted(batch)).write.format(fmt).mode("append").save()
+        points = settle_points(good(batch), ARRIVAL_ORDER)
+        bar_lines(points).write.format(fmt).mode("append").save()
 
     return deliver
 
@@ -40,8 +49,9 @@ def run_speed_layer(
     Below ``target``: ``points`` (line protocol), ``archive`` (JSON lines),
     ``rejects`` and the query's ``checkpoint``. All writes replace the folders of
     their batch id, so a restart repeats a broken batch without doubling rows.
-    Nothing is collected: every task writes its own rows. Sinks in ``more`` get the
-    decoded batch as well.
+    Nothing is collected: every task writes its own rows. The archive keeps every
+    bar; of revisions within a batch the points keep the one that arrived last. Sinks
+    in ``more`` get the decoded batch as well.
     """
     decoded = decode_bars(messages, "value", arrival="arrival").observe(
         "batch",
@@ -49,7 +59,7 @@ def run_speed_layer(
         F.count("reject_reason").alias("rejected"),
     )
     deliver = fan_out(
-        lambda b, i: write_point_lines(accepted(b), f"{target}/points", i),
+        lambda b, i: write_point_lines(good(b), f"{target}/points", i, ARRIVAL_ORDER),
         lambda b, i: write_archive(accepted(b, "ingest_ts"), f"{target}/archive", i),
         lambda b, i: write_rejects(b, f"{target}/rejects", i),
         *more,

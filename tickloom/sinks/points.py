@@ -6,7 +6,7 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,6 +19,7 @@ from pyspark.sql.datasource import (
 )
 
 from tickloom.functions.scalar import calendar_day
+from tickloom.operators.clean import last_write_wins
 from tickloom.operators.encode import MEASUREMENT, bar_lines
 from tickloom.schema import VALUE_FIELDS
 from tickloom.sinks.archive import replace_partitions, spread_by_day
@@ -26,29 +27,46 @@ from tickloom.sinks.archive import replace_partitions, spread_by_day
 Send = Callable[[bytes], None]
 
 
+def settle_points(bars: DataFrame, order: Sequence[str]) -> DataFrame:
+    """One bar per point identity, stock and second: the last in ``order``, then time."""
+    second = F.date_trunc("second", F.col("date").cast("timestamp"))
+    keyed = bars.withColumn("time", second)
+    order = list(dict.fromkeys([*order, "date"]))
+    return last_write_wins(keyed, ["stock", "time"], order)
+
+
 def write_point_table(
     bars: DataFrame,
     path: str,
     batch_id: int = 0,
+    order: Sequence[str] = ("date",),
     measurement: str = MEASUREMENT,
     spread: bool = False,
 ) -> None:
-    """File bars as points, Parquet by day and batch, for ``read_points``."""
-    rows = bars.select(
+    """File bars as points, Parquet by day and batch, for ``read_points``.
+
+    A batch may carry several revisions of a point; the last in ``order`` is written.
+    """
+    rows = settle_points(bars, order).select(
         F.lit(measurement).alias("measurement"),
         "stock",
-        F.date_trunc("second", F.col("date").cast("timestamp")).alias("time"),
+        "time",
         *VALUE_FIELDS,
-        F.col("date").cast("timestamp").alias("date"),
         calendar_day("date").alias("day"),
     )
     rows = spread_by_day(rows) if spread else rows
     replace_partitions(rows, path, "parquet", batch_id)
 
 
-def write_point_lines(bars: DataFrame, path: str, batch_id: int = 0) -> None:
-    """File bars as line-protocol text by day and batch, ready for bulk loading."""
-    filed = bars.withColumn("day", calendar_day("date"))
+def write_point_lines(
+    bars: DataFrame, path: str, batch_id: int = 0, order: Sequence[str] = ("date",)
+) -> None:
+    """File bars as line-protocol text by day and batch, ready for bulk loading.
+
+    As in :func:`write_point_table`, a batch has at most one line per point: lines of
+    one identity would otherwise overwrite each other in whatever order they load.
+    """
+    filed = settle_points(bars, order).withColumn("day", calendar_day("date"))
     lines = bar_lines(filed, keep=["day"])
     replace_partitions(lines, path, "text", batch_id)
 

@@ -10,7 +10,7 @@ from tickloom.operators.latest import time_range
 
 # What identifies a point, and what decides between writes of it.
 POINT_IDENTITY = ["measurement", "stock", "time"]
-WRITE_ORDER = ["batch_id", "date"]
+WRITE_ORDER = ["batch_id"]
 
 
 def read_points(

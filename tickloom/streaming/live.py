@@ -24,11 +24,14 @@ log = logging.getLogger(__name__)
 def fan_out(*sinks: BatchSink) -> BatchSink:
     """One batch into several sinks, computed once.
 
-    The batch is kept, on disk where memory is short, until all sinks have it. The
+    With more than one sink the batch is kept, on disk where memory is short, until all sinks have it. The
     sinks must replace what an earlier try of the same batch id wrote, since a
     failure between two of them repeats the batch from the start.
     """
 
+    if len(sinks) == 1:
+        return sinks[0]
+
     def deliver(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
