@@ -184,9 +184,12 @@ def test_documents_are_appended_through_any_format(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "docs")).count() == 6
 
 
-def test_batch_layer_writes_every_result(spark, tmp_path):
-    groups = run_batch_layer(spark, foreign_archive(tmp_path / "in"), str(tmp_path / "out"), "r1", whole_files=True)
-    count = {p.name: read_result(spark, str(tmp_path / "out"), p.name, "r1").count() for p in (tmp_path / "out").iterdir()}
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_batch_layer_writes_every_result(spark, tmp_path, fmt):
+    source, target = foreign_archive(tmp_path / "in"), str(tmp_path / "out")
+    for _ in range(2):
+        groups = run_batch_layer(spark, source, target, "r1", whole_files=True, fmt=fmt)
+    count = {p.name: read_result(spark, target, p.name, "r1", fmt).count() for p in (tmp_path / "out").iterdir()}
     assert count == {"stock_summary": 2, "return_series": 2, "daily_prices": 2, "market_breadth": 1, "clusters": 2, "rejects": 2}
     assert len(groups.centres) == 2
 
@@ -209,6 +212,13 @@ def test_bars_from_ticks_of_any_table(spark):
     assert bars_from_ticks(ticks, "k", "t", "v", "minute").count() == 4
 
 
+def test_tied_ticks_with_a_tie_break(spark):
+    when = at("2024-01-01T10:00:00")
+    ticks = spark.createDataFrame([("x", when, float(v), v) for v in (2, 3, 1)], "k string, t timestamp, v double, n int")
+    row = bars_from_ticks(ticks, "k", "t", "v", ties=["n"]).first()
+    assert (row.open, row.close) == (1.0, 3.0)
+
+
 def test_topic_batch_calls_pass_options(spark, tmp_path):
     """Without a broker: a missing connector must be reported, not passed over."""
     options = TopicOptions("host:1", "bars")

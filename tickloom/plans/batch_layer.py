@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,44 +12,10 @@ from tickloom.operators.returns import bar_returns, fit_grain, return_series
 from tickloom.operators.stats import daily_prices, market_breadth, stock_summary
 from tickloom.schema import BAR_FIELDS, VALUE_FIELDS
 from tickloom.session import run_dir
-from tickloom.sinks.results import write_results
+from tickloom.sinks.results import result_path
 from tickloom.sources.archive import scan_archive
 
 
-@dataclass(frozen=True)
-class BatchResults:
-    """The frames of one analysis, none of them computed yet."""
-
-    summary: DataFrame
-    returns: DataFrame
-    daily: DataFrame
-    breadth: DataFrame
-
-    def named(self) -> dict[str, DataFrame]:
-        return {
-            "stock_summary": self.summary,
-            "return_series": return_series(self.returns),
-            "daily_prices": self.daily,
-            "market_breadth": self.breadth,
-        }
-
-
-def analyse(bars: DataFrame, settled: DataFrame, grain: str = "day") -> BatchResults:
-    """All batch results. No step needs the bars sorted.
-
-    The summary takes every distinct ``bars`` row, re-sent revisions among them;
-    what depends on the order of bars takes ``settled`` ones, one per instant, and
-    cuts time at ``grain``.
-    """
-    daily = daily_prices(settled)
-    return BatchResults(
-        summary=stock_summary(bars),
-        returns=bar_returns(settled, grain=grain),
-        daily=daily,
-        breadth=market_breadth(daily),
-    )
-
-
 def run_batch_layer(
     spark: SparkSession,
     archive: str,
@@ -64,41 +28,43 @@ def run_batch_layer(
     """Read the archive, analyse it and write every result below ``target``.
 
     Decoded records, distinct bars and settled bars are each written once to the
-    shared folder, as Parquet. Later steps read only the columns they need from
+    shared folder, as Parquet, and later steps read only the columns they need from
     there: the JSON is parsed a single time, and a written table outlives executors.
+    Breadth and groups likewise start from the written daily prices and summary.
+
+    The summary takes every distinct bar, re-sent revisions among them; what depends
+    on the order of bars takes settled ones, one per instant. Nothing is sorted.
     """
     kept = run_dir(spark, "batch")
-    readable = F.col("reject_reason").isNull()
-    decoded = stored(
-        scan_archive(spark, archive, whole_files)
-        .withColumn("value", F.when(~readable, F.col("value")))
-        .select(*BAR_FIELDS, "ingest_ts", "value", "reject_reason", "file_path"),
-        f"{kept}/decoded",
-    )
+    decoded = stored(without_good_text(scan_archive(spark, archive, whole_files)), f"{kept}/decoded")
     # A bar's copies count as ingested when the last of them was.
-    bars = stored(
-        accepted(decoded, "ingest_ts")
-        .groupBy(*BAR_FIELDS)
-        .agg(F.max("ingest_ts").alias("ingest_ts")),
-        f"{kept}/bars",
-    )
+    ingested = F.max("ingest_ts").alias("ingest_ts")
+    distinct = accepted(decoded, "ingest_ts").groupBy(*BAR_FIELDS).agg(ingested)
+    bars = stored(distinct, f"{kept}/bars")
     settled = stored(settle_revisions(bars, ["ingest_ts", *VALUE_FIELDS]), f"{kept}/settled")
-    results = analyse(bars, settled, fit_grain(settled))
-    groups = cluster_stocks(results.summary, k=k)
-    write_results(
-        {
-            **results.named(),
-            "clusters": groups.labels,
-            "rejects": rejected(decoded, "value", "file_path"),
-        },
-        target,
-        run_id,
-        fmt,
-    )
+
+    def result(name: str, frame: DataFrame) -> DataFrame:
+        return stored(frame, result_path(target, name, run_id), fmt)
+
+    summary = result("stock_summary", stock_summary(bars))
+    result("return_series", return_series(bar_returns(settled, grain=fit_grain(settled))))
+    daily = result("daily_prices", daily_prices(settled))
+    result("market_breadth", market_breadth(daily))
+    groups = cluster_stocks(summary, k=k)
+    result("clusters", groups.labels)
+    result("rejects", rejected(decoded, "value", "file_path"))
     return groups
 
 
-def stored(frame: DataFrame, path: str) -> DataFrame:
-    """Write a frame as Parquet and go on from the written copy."""
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+def without_good_text(decoded: DataFrame) -> DataFrame:
+    """Decoded records, the raw text kept only where it could not be read."""
+    refused = F.when(F.col("reject_reason").isNotNull(), F.col("value"))
+    return decoded.withColumn("value", refused).select(
+        *BAR_FIELDS, "ingest_ts", "value", "reject_reason", "file_path"
+    )
+
+
+def stored(frame: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """Write a frame, replacing an earlier run's, and go on from the written copy."""
+    frame.write.format(fmt).mode("overwrite").save(path)
+    return frame.sparkSession.read.schema(frame.schema).format(fmt).load(path)

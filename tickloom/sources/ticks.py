@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.operators.clean import ordering
 from tickloom.schema import BAR_FIELDS
 
 
@@ -15,19 +18,22 @@ def bars_from_ticks(
     value: str,
     grain: str = "hour",
     name: Column | None = None,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """One bar per key and time bucket; the volume is the number of ticks.
 
     ``name`` turns the key into the symbol. It is applied after the aggregate, once
     per bar, so ticks are grouped on the raw key. A single hash aggregate: a hot key
-    reaches the shuffle as at most one row per bucket and map task.
+    reaches the shuffle as at most one row per bucket and map task. Where a key has
+    several ticks at one instant, the columns ``ties`` say which is first and last.
     """
+    by = ordering([time, *ties])
     bucket = F.date_trunc(grain, F.col(time)).cast(ticks.schema[time].dataType)
     bars = ticks.groupBy(F.col(key).alias("_key"), bucket.alias("date")).agg(
-        F.min_by(value, time).alias("open"),
+        F.min_by(value, by).alias("open"),
         F.max(value).alias("high"),
         F.min(value).alias("low"),
-        F.max_by(value, time).alias("close"),
+        F.max_by(value, by).alias("close"),
         F.count(F.lit(1)).cast("double").alias("volume"),
     )
     symbol = F.col("_key").cast("string") if name is None else name
