@@ -42,7 +42,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     batch.add_argument("--groups", type=int, default=3)
     live = job("live", "topic to points, archive and dead letters", "target", topic=True)
     live.add_argument("--every", default=POLL_EVERY)
-    live.add_argument("--max-offsets", type=int)
+    live.add_argument("--max-offsets", type=int, default=TopicOptions.max_offsets_per_trigger)
     live.add_argument("--points-url", help="also send lines to this endpoint")
     live.add_argument("--points-org", default="")
     live.add_argument("--points-bucket", default="")

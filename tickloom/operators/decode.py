@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tickloom.functions.scalar import parse_instant
 from tickloom.schema import BAR_FIELDS, VALUE_FIELDS, WIRE_SCHEMA
 
-_BROKEN = "_broken"
+_BROKEN, _INSTANT, _NOTED = "_broken", "_instant", "_noted"
 _PARSED = T.StructType(WIRE_SCHEMA.fields + [T.StructField(_BROKEN, T.StringType())])
 
 
@@ -22,26 +22,31 @@ def decode_bars(
     for a good bar. Other columns, the text among them, are carried along. The
     ingest time is the one noted in the record, else the column ``arrival``.
 
-    The parsed struct goes through a one-element generator on purpose: later
-    filters stop there. As a projection, Catalyst would copy the parse into each
-    filter pushed below it and read every text several times.
+    The parsed record goes through a one-element generator on purpose: later filters
+    stop there. As a projection, Catalyst would copy the parse into each filter pushed
+    below it and read every text several times. Instants are parsed inside as well.
     """
     records = records.withColumn(text, F.col(text).cast("string"))
     parsed = F.from_json(
         F.col(text), _PARSED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
     )
-    fields = records.select("*", F.inline(F.array(parsed)))
-    instant = parse_instant("date")
-    noted = parse_instant("ingest_ts")
-    return (
-        fields.withColumn("reject_reason", _reason(text, instant))
-        .withColumn("date", instant)
-        .withColumn("ingest_ts", F.coalesce(noted, F.col(arrival)) if arrival else noted)
-        .drop(_BROKEN)
+    rows = records.select("*", F.inline(F.transform(F.array(parsed), _typed)))
+    ingested = F.coalesce(_NOTED, F.col(arrival)) if arrival else F.col(_NOTED)
+    return rows.withColumns(
+        {"reject_reason": _reason(text), "date": F.col(_INSTANT), "ingest_ts": ingested}
+    ).drop(_BROKEN, _INSTANT, _NOTED)
+
+
+def _typed(record: Column) -> Column:
+    """The fields of a parsed record, and its two dates as instants."""
+    return F.struct(
+        *[record[name].alias(name) for name in _PARSED.names],
+        parse_instant(record["date"]).alias(_INSTANT),
+        parse_instant(record["ingest_ts"]).alias(_NOTED),
     )
 
 
-def _reason(text: str, instant: Column) -> Column:
+def _reason(text: str) -> Column:
     nothing_read = F.col("stock").isNull() & F.col("date").isNull()
     return (
         F.when(F.col(text).isNull(), "null")
@@ -49,7 +54,7 @@ def _reason(text: str, instant: Column) -> Column:
         .when(F.col(_BROKEN).isNotNull() & nothing_read, "malformed")
         .when(F.col("stock").isNull(), "no stock")
         .when(F.col("date").isNull(), "no date")
-        .when(instant.isNull(), "bad date")
+        .when(F.col(_INSTANT).isNull(), "bad date")
     )
 
 

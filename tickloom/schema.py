@@ -34,12 +34,15 @@ MESSAGE_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class TopicOptions:
-    """Where keyed bar messages live. Credentials go into ``extra`` at run time."""
+    """Where keyed bar messages live. Credentials go into ``extra`` at run time.
+
+    A backlog is worked off in batches of at most ``max_offsets_per_trigger`` records.
+    """
 
     brokers: str
     topic: str
     starting_offsets: str = "latest"
-    max_offsets_per_trigger: int | None = None
+    max_offsets_per_trigger: int = 50_000_000
     extra: tuple[tuple[str, str], ...] = ()
 
 
