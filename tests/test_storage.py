@@ -16,7 +16,7 @@ from tickloom.sinks.results import append_documents, read_result, write_results
 from tickloom.sources.archive import raw_dump, scan_archive
 from tickloom.sources.points import read_points, recent_points
 from tickloom.sources.ticks import bars_from_ticks
-from tickloom.sources.topic import topic_replay
+from tickloom.sources.topic import topic_replay, topic_stream
 from tests.support import at, make_bars
 
 ROWS = [(s, f"2024-01-0{d}T{h}:00:00", float(d + h)) for s in "AB" for d in (1, 2) for h in (10, 11)]
@@ -228,6 +228,43 @@ def test_topic_batch_calls_pass_options(spark, tmp_path):
         publish(spark.createDataFrame([("a", "b")], "key string, value string"), options)
 
 
+class FakeReader:
+    """Takes the calls of a reader and gives ready records."""
+
+    def __init__(self, records):
+        self.records, self.seen = records, {}
+
+    def format(self, fmt):
+        self.seen["format"] = fmt
+        return self
+
+    def options(self, **options):
+        self.seen.update(options)
+        return self
+
+    def option(self, name, value):
+        return self.options(**{name: value})
+
+    def load(self):
+        return self.records
+
+
+def test_topic_readers_ask_for_the_right_offsets(spark):
+    records = spark.createDataFrame(
+        [(bytearray(b"A"), bytearray(b"{}"), at("2024-01-01T00:00:00"), 1)],
+        "key binary, value binary, timestamp timestamp, offset long",
+    )
+    options = TopicOptions("h:1,h:2", "bars", extra=(("kafka.security.protocol", "SSL"),))
+    session = FakeSession("local")
+    session.read = session.readStream = FakeReader(records)
+    assert topic_stream(session, options).first().value == "{}"
+    common = {"format": "kafka", "kafka.bootstrap.servers": "h:1,h:2", "subscribe": "bars", "kafka.security.protocol": "SSL"}
+    assert session.readStream.seen == {**common, "startingOffsets": "latest", "maxOffsetsPerTrigger": 50_000_000}
+    session.read = FakeReader(records)
+    assert topic_replay(session, options).count() == 1
+    assert session.read.seen == {**common, "startingOffsets": "earliest", "endingOffsets": "latest"}
+
+
 def test_empty_bars_are_typed(spark):
     assert dict(empty_bars(spark).dtypes) == {"stock": "string", "date": "timestamp", **dict.fromkeys(BAR_FIELDS[2:], "double")}
 
