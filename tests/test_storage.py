@@ -281,22 +281,29 @@ class FakeSession:
         self.settings = {"spark.master": master}
         self.conf = self
         self.sparkContext = self
+        self.folder = None
 
     def get(self, name, default=None):
         return self.settings.get(name, default)
 
-    def set(self, name, value):
-        self.settings[name] = value
-
     def getCheckpointDir(self):
-        return "set"
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
 
 
 def test_a_cluster_must_name_its_shared_folder():
+    cluster = FakeSession("spark://host:7077")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(FakeSession("spark://host:7077"))
+        shared_dir(cluster)
+    cluster.folder = "hdfs://shared/folder"
+    assert shared_dir(cluster) == "hdfs://shared/folder"
+
+
+def test_a_local_session_gets_a_folder_once():
     local = FakeSession("local[2]")
-    assert shared_dir(local) == shared_dir(local)
+    assert shared_dir(local) == shared_dir(local) == local.folder
 
 
 def test_settings_grow_with_the_input():

@@ -50,18 +50,18 @@ def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it then gets a folder of its
-    own. On a cluster a machine-local folder would lose data with its machine, so
-    a missing setting is an error there.
+    A checkpoint folder set by other means counts too. Only a local session may go
+    without either; it then gets a folder of its own. On a cluster a machine-local
+    folder would lose data with its machine, so having none is an error there.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named
 
 
