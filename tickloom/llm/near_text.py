@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.graph import components
-from tickloom.llm.ragged import U64, Hasher, flat, mix, pieces, words
+from tickloom.llm.ragged import U64, Hasher, flat, groups, mix, pieces, words
 from tickloom.llm.store import removed, written
 
 SHINGLE_WORDS = 5
@@ -26,6 +26,12 @@ PLACES = 83
 BAND_ROWS = 4
 #: 20 bands of 4 places: a pair at similarity 0.85 shares none with probability 4e-7.
 BANDS = PLACES // BAND_ROWS
+#: How many members of a bucket, on average, are compared with all others.
+HUBS = 2.0
+#: Blocks of a bucket have about so many members, and so many shingles, at most.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 1 << 18
+#: Cells of the bit tables of a pair of blocks.
+BITMAP_CELLS = 1 << 23
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
@@ -124,6 +130,103 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * shared >= percent * (sizes - shared)).select("a", "b")
 
 
+def _may_link(elements: np.ndarray, offsets: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets can be similar enough, by an exact bound.
+
+    Every set marks its elements in a bit table. Each bit that only one of two sets
+    marks is an element the other lacks, so the count of such bits bounds what they
+    share from above; no similar pair is missed.
+    """
+    sizes = np.diff(offsets)
+    n = len(sizes)
+    width = 1 << int(np.clip(np.log2(BITMAP_CELLS / n), 10, 16))
+    marks = np.zeros((n, width), np.float32)
+    marks[np.repeat(np.arange(n), sizes), (elements >> U64(40)).astype(np.int64) & (width - 1)] = 1
+    own = marks.sum(axis=1)
+    lacking = own[:, None] - marks @ marks.T
+    most = np.minimum(sizes[:, None] - lacking, (sizes[:, None] - lacking).T)
+    return 100 * most >= percent * (sizes[:, None] + sizes[None, :] - most)
+
+
+def _similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    at = np.searchsorted(one, other)
+    shared = int((one[np.minimum(at, len(one) - 1)] == other).sum())
+    return 100 * shared >= percent * (len(one) + len(other) - shared)
+
+
+def _joining(percent: int):
+    """Links between different groups of the members of a pair of blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, right = [], []
+        for group in groups(batches, ["band", "low", "high"]):
+            if group.num_rows < 2:
+                continue
+            reps, label = group.column("rep").to_numpy(), group.column("component").to_numpy().copy()
+            held = group.column("elements").combine_chunks()
+            sizes = held.value_lengths().to_numpy()
+            offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+            elements = held.flatten().to_numpy().view(U64)
+            sets = [elements[lo:hi] for lo, hi in zip(offsets[:-1], offsets[1:])]
+            open_pairs = _may_link(elements, offsets, percent)
+            for i in range(len(reps)):
+                while len(others := np.flatnonzero(open_pairs[i] & (label != label[i]))):
+                    for j in others:
+                        open_pairs[i, j] = open_pairs[j, i] = False
+                        if _similar(sets[i], sets[j], percent):
+                            left.append(reps[i])
+                            right.append(reps[j])
+                            label[label == label[j]] = label[i]
+                            break
+            if len(left) > 4096:
+                yield pa.RecordBatch.from_pydict({"a": left, "b": right})
+                left, right = [], []
+        if left:
+            yield pa.RecordBatch.from_pydict({"a": left, "b": right})
+
+    return run
+
+
+def _first_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the first members of every bucket with those after them."""
+    first = members.where(F.col("turn") < HUBS).select(
+        "band", *(F.col(c).alias(f"hub_{c}") for c in ("rep", "turn", "n_shingles"))
+    )
+    return (
+        members.join(first, "band")
+        .where("turn > hub_turn or turn = hub_turn and rep > hub_rep")
+        .where(f"least(n_shingles, hub_n_shingles) * 100 >= greatest(n_shingles, hub_n_shingles) * {percent}")
+        .select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b"))
+        .distinct()
+    )
+
+
+def _other_links(spark: SparkSession, members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between groups that the later members of the buckets still show."""
+    joined = components(spark, found).select(F.col("id").alias("rep"), "component")
+    rest = members.where(F.col("turn") >= HUBS).join(joined, "rep", "left")
+    rest = written(spark, rest.withColumn("component", F.coalesce("component", "rep")), "rest")
+    by_band = rest.groupBy("band").agg(
+        F.count("*").alias("n"),
+        F.sum("n_shingles").alias("weight"),
+        F.min("component").alias("least"),
+        F.max("component").alias("most"),
+    )
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_MEMBERS, F.col("weight") / BLOCK_SHINGLES)).cast("int")
+    by_band = by_band.where("least != most").select("band", blocks.alias("blocks"))
+    block = F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int")
+    placed = (
+        rest.join(by_band, "band")
+        .withColumn("block", block)
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("band", "rep", "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        .join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+        .repartition("band", "low", "high")
+        .sortWithinPartitions("band", "low", "high")
+    )
+    return placed.mapInArrow(_joining(percent), "a long, b long")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) -> DataFrame:
     """Groups of near-duplicate texts of ``docs (doc_id, text, ...)``.
 
@@ -131,12 +234,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     linked if their sets of word 5-shingles have at least ``percent`` hundredths of
     their union in common; a group is what links reach.
 
-    Texts with equal sets form a class, and its smallest doc_id stands for it. In every
-    band's bucket the smallest member is compared with the others; then, as long as a
-    bucket holds members of different groups, the next smallest is, with those outside
-    its own group. When the pairs left to compare are few against the members, they are
-    compared in one go. No bucket is brought together in one task, and every pair that
-    shares a bucket ends up linked, refused, or within one group.
+    Texts with equal sets form a class, and its smallest doc_id stands for it. The
+    members of a band's bucket have a random order. Its first ones are compared with all
+    others, which already brings true groups together. Buckets whose other members are
+    still in different groups are then cut into blocks, and every pair of blocks is a
+    small group of rows whose members are compared where they meet; what comes out are
+    the links that join groups, not pairs. So no bucket is brought together in one task,
+    and every pair that shares a bucket is linked, refused, or within one group.
 
     Null, empty and blank texts have no shingles and are groups of their own. Rows
     with the same doc_id and the same text count as one text in two rows. A row without
@@ -156,8 +260,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
         classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "digest_a", "digest_b"], "left_semi"
     )
     banded = reps.select(F.col("doc_id").alias("rep"), "n_shingles", F.explode("bands").alias("band"))
-    crowded = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    members = written(spark, banded.join(crowded, "band", "left_semi").distinct(), "members")
+    banded = banded.distinct()
+    crowded = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    turn = F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(1 << 30)) / float(1 << 30) * F.col("n")
+    members = written(spark, banded.join(crowded, "band").withColumn("turn", turn).drop("n"), "members")
     needed = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = written(
         spark,
@@ -165,57 +271,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
         "sets",
     )
 
-    links = None
-    groups = members.select("rep", F.col("rep").alias("component")).distinct()
-    hubs = members.groupBy("band").agg(F.min("rep").alias("hub"))
-    last = False
-    while True:
-        placed = members.join(groups, "rep")
-        if last:
-            other = placed.select("band", F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("component_b"))
-            pairs = (
-                placed.join(hubs, "band")
-                .where("rep > hub")
-                .join(other, "band")
-                .where("b > rep and component_b != component")
-                .where(f"least(n_shingles, n_b) * 100 >= greatest(n_shingles, n_b) * {percent}")
-                .select(F.col("rep").alias("a"), "b")
-                .distinct()
-            )
-        else:
-            own = placed.select("band", F.col("rep").alias("hub"), F.col("component").alias("hub_component"), F.col("n_shingles").alias("hub_n"))
-            pairs = (
-                placed.join(hubs.join(own, ["band", "hub"]), "band")
-                .where("rep > hub and component != hub_component")
-                .where(f"least(n_shingles, hub_n) * 100 >= greatest(n_shingles, hub_n) * {percent}")
-                .select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-                .distinct()
-            )
-        found = written(spark, _confirmed(pairs, sets, percent), "found")
-        links = found if links is None else links.unionByName(found)
-        groups_found = components(spark, links).select(F.col("id").alias("rep"), "component")
-        if last:
-            break
-        groups = written(
-            spark,
-            members.select("rep").distinct().join(groups_found, "rep", "left").select("rep", F.coalesce("component", "rep").alias("component")),
-            "groups",
-        )
-        rest = members.join(hubs, "band").where("rep > hub").join(groups, "rep")
-        per_group = rest.groupBy("band", "component").agg(F.count("*").alias("n"), F.min("rep").alias("rep"))
-        per_band = (
-            per_group.groupBy("band")
-            .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.min("rep").alias("hub"))
-            .where("n * n > same")
-        )
-        hubs_next = written(spark, per_band, "hubs")
-        open_pairs, open_rows = hubs_next.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.sum("n")).first()
-        if not open_pairs:
-            break
-        last = open_pairs <= 4 * open_rows
-        # The last comparison takes every pair beyond the hubs already compared.
-        hubs = hubs.join(hubs_next.select("band"), "band", "left_semi") if last else hubs_next.select("band", "hub")
-        hubs = written(spark, hubs, "hubs")
+    found = written(spark, _confirmed(_first_pairs(members, percent), sets, percent), "found")
+    links = found.unionByName(written(spark, _other_links(spark, members, found, sets, percent), "found"))
+    groups_found = components(spark, links).select(F.col("id").alias("rep"), "component")
 
     labelled = classes.join(groups_found, "rep", "left").select(
         "digest_a", "digest_b", F.coalesce("component", "rep").alias("component_id")

@@ -144,3 +144,23 @@ class Remembered:
             self.keys = np.insert(self.keys, place, keys[fresh][order])
             self.values = np.insert(self.values, place, values[fresh][order], axis=0)
         return values
+
+
+def groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """Rows that agree in ``names`` together; the input has them next to each other."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if rest is not None:
+            table = pa.concat_tables([rest, table])
+        change = np.zeros(table.num_rows - 1, bool)
+        for name in names:
+            values = table.column(name).to_numpy()
+            change |= values[1:] != values[:-1]
+        borders = np.concatenate(([0], np.flatnonzero(change) + 1))
+        table = table.combine_chunks()
+        for lo, hi in zip(borders[:-1], borders[1:]):
+            yield table.slice(lo, hi - lo)
+        rest = table.slice(borders[-1])
+    if rest is not None and rest.num_rows:
+        yield rest

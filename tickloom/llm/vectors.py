@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.graph import components
-from tickloom.llm.ragged import U64, mix
+from tickloom.llm.ragged import U64, groups, mix
 from tickloom.llm.store import removed, written
 
 TABLES = 20
@@ -90,31 +90,11 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
-    """Rows that agree in ``names`` together; the input has them next to each other."""
-    rest = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        if rest is not None:
-            table = pa.concat_tables([rest, table])
-        change = np.zeros(table.num_rows - 1, bool)
-        for name in names:
-            values = table.column(name).to_numpy()
-            change |= values[1:] != values[:-1]
-        borders = np.concatenate(([0], np.flatnonzero(change) + 1))
-        table = table.combine_chunks()
-        for lo, hi in zip(borders[:-1], borders[1:]):
-            yield table.slice(lo, hi - lo)
-        rest = table.slice(borders[-1])
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
 def _compared(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per member of a block pair: weight of the new links, smallest node reached."""
         reps, links, roots = [], [], []
-        for group in _groups(batches, ["bucket", "low", "high"]):
+        for group in groups(batches, ["bucket", "low", "high"]):
             if group.num_rows < 2:
                 continue
             ids = group.column("rep").to_numpy()
