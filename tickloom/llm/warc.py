@@ -32,7 +32,7 @@ def _urn(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(">"))
 
 
-def write_archive(pages: DataFrame, path: str) -> None:
+def write_archive(spark: SparkSession, pages: DataFrame, path: str) -> None:
     """One record per row of ``pages (page_id, url, html)`` into WARC files below ``path``.
 
     Of rows with equal payloads of at least ``SHARED_BYTES`` the largest page_id becomes
@@ -51,6 +51,8 @@ def write_archive(pages: DataFrame, path: str) -> None:
         .where("n > 1 and kept_id is not null")
         .select("digest", "kept_id")
     )
+    # Written first: its size is known when Spark plans how to join the payloads.
+    shared = written(spark, shared, "shared")
     rows = rows.join(shared, "digest", "left")
     revisit = F.col("kept_id").isNotNull() & ~F.coalesce(F.col("page_id") == F.col("kept_id"), F.lit(False))
     url = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
@@ -74,10 +76,10 @@ def write_archive(pages: DataFrame, path: str) -> None:
 
 
 def _fragments(spark: SparkSession, path: str) -> DataFrame:
-    """What lies between magic lines, in file order within each split."""
+    """What lies between magic lines, in file order within each split; files by a hash."""
     place = ["_metadata.file_path", "_metadata.file_block_start"]
     return spark.read.option("lineSep", MAGIC).text(path).select(
-        F.col(place[0]).alias("file"), F.col(place[1]).alias("split"), "value"
+        F.xxhash64(place[0]).alias("file"), F.col(place[1]).alias("split"), "value"
     )
 
 
@@ -98,7 +100,7 @@ def _record_length(head: bytes, complete: bool) -> int | None:
     return len(MAGIC) + len(head) + len(END) + int(stated) + len(END)
 
 
-def _in_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], int, dict]]:
+def _in_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], int, dict]]:
     """Rows with their split and their offset from where the split's first one starts."""
     split, at = None, 0
     for batch in batches:
@@ -112,7 +114,7 @@ def _in_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, i
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per candidate: its offset, the last record of its chain here, where that leads."""
 
-    def ended(split: tuple[str, int], found: list[tuple[int, int | None]], size: int) -> pa.RecordBatch:
+    def ended(split: tuple[int, int], found: list[tuple[int, int | None]], size: int) -> pa.RecordBatch:
         ways: dict[int, tuple[int, int | None]] = {}
         for at, following in reversed(found):
             ways[at] = ways.get(following, (at, following))
@@ -182,8 +184,8 @@ def _records(shared):
 
 
 RECORD = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long"
-PLACED = "file string, record long, at long, piece binary, " + RECORD
-_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+PLACED = "file long, record long, at long, piece binary, " + RECORD
+_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
 _NAMES = ["file", "record", "at", "piece", "page_id", "url", "record_type", "payload_digest", "payload_bytes", "refers_to"]
 
 
@@ -285,7 +287,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     )
     chains = written(
         spark,
-        heads.mapInArrow(_chains, "file string, split long, size long, at long, last long, leads_to long"),
+        heads.mapInArrow(_chains, "file long, split long, size long, at long, last long, leads_to long"),
         "chains",
     )
     entries = {(r["file"], r["split"]): (r["base"], r["entry"], r["owner"]) for r in _entries(spark, chains).toLocalIterator()}
@@ -296,22 +298,23 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     placed = written(spark, whole.mapInArrow(_records(shared), PLACED), "records")
     parted = placed.where("piece is not null").groupBy("file", "record").applyInArrow(_assembled, RECORD)
     records = placed.where("piece is null").select(*_NAMES[4:]).unionByName(parted)
-    sizes = records.where("record_type = 'response' and page_id is not null").groupBy("page_id", "payload_digest").agg(
-        F.max("payload_bytes").alias("full_bytes")
+    # Only what a revisit refers to is looked up.
+    revisits = records.where("record_type = 'revisit'")
+    wanted = revisits.select("refers_to", "payload_digest").distinct()
+    kept = records.where("record_type = 'response'").select(
+        F.col("page_id").alias("refers_to"), "payload_digest", F.col("payload_bytes").alias("full_bytes")
     )
-    sizes = sizes.withColumnRenamed("page_id", "refers_to")
-    return records.join(sizes, ["refers_to", "payload_digest"], "left").select(
-        "page_id",
-        "url",
-        "record_type",
-        "payload_digest",
-        F.coalesce("payload_bytes", "full_bytes").alias("payload_bytes"),
-        "refers_to",
+    kept = kept.join(wanted, ["refers_to", "payload_digest"], "left_semi")
+    sizes = kept.groupBy("refers_to", "payload_digest").agg(F.max("full_bytes").alias("full_bytes"))
+    filled = revisits.join(sizes, ["refers_to", "payload_digest"], "left").withColumn("payload_bytes", F.col("full_bytes"))
+    others = records.where("record_type is null or record_type != 'revisit'")
+    return others.unionByName(filled.select(*others.columns)).select(
+        "page_id", "url", "record_type", "payload_digest", "payload_bytes", "refers_to"
     )
 
 
 def archived(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Write ``pages`` to an archive in the shared folder and read it back."""
     path = run_dir(spark, "warc")
-    write_archive(pages, path)
+    write_archive(spark, pages, path)
     return read_archive(spark, path)
