@@ -20,7 +20,7 @@ from tickloom.llm.ragged import U64, Hasher, Remembered, flat, gather, mix, piec
 #: Longest context in bytes.
 ORDER = 4
 #: Bytes of training text per language: a bounded, hash-chosen sample of whole texts.
-SAMPLE_BYTES = 2_000_000
+SAMPLE_BYTES = 600_000
 #: Languages learned: those with the most training text.
 MOST_LANGUAGES = 64
 #: Words, and windows of bytes, whose costs a task remembers between batches.
