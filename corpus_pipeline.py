@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import langid, leaks, mixing, near_text, pii
 from tickloom.llm.queries import fold
-from tickloom.llm.store import written
+from tickloom.llm.store import small_batches, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -24,6 +24,7 @@ ORACLE_SQL = None
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; null, blank and letterless texts go, null ``lang`` is filled."""
     docs = docs.select(*COLUMNS)
+    small_batches(spark)
     trees = langid.train(spark, docs.where(fold("doc_id", 3) != 1))
     return langid.accepted(spark, docs.where("doc_id is not null"), trees)
 
@@ -31,6 +32,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id, once."""
     docs = docs.select(*COLUMNS)
+    small_batches(spark)
     judged = written(spark, near_text.near_duplicates(spark, docs), "judged")
     # Written first: Spark then knows their size when it plans the joins.
     dropped = written(spark, judged.where("not kept").select("doc_id").distinct(), "dropped")
@@ -47,6 +49,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     docs = docs.select(*COLUMNS)
+    small_batches(spark)
     found = leaks.find_leaks(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     leaked = written(spark, found.where("contaminated").select("doc_id").distinct(), "leaked")
     return docs.join(leaked, "doc_id", "left_anti").select(*COLUMNS)
@@ -54,7 +57,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data in their texts replaced; ``n_chars`` follows the text."""
-    clean = pii.redact_personal_data(spark, docs.select(*COLUMNS))
+    clean = pii.redact_personal_data(small_batches(spark), docs.select(*COLUMNS))
     return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import langid, leaks, lm, mixing, near_text, pii, tokens, urls, vectors, warc
+from tickloom.llm.store import small_batches
 
 VOCABULARY = "word_bpe_49k.json"
 RULES: list[urls.Rule] = [
@@ -21,7 +22,7 @@ RULES: list[urls.Rule] = [
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fold(doc_id: str, n: int):

@@ -20,3 +20,9 @@ def removed(spark: SparkSession, *tables: DataFrame) -> None:
         for file in table.inputFiles()[:1]:
             folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
+    """Hand tasks so many rows at a time: texts are long, and a batch is held in memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return spark
