@@ -60,10 +60,33 @@ def test_archive_is_filed_by_day_and_batch(spark, tmp_path):
     bars = make_bars(spark, ROWS)
     write_archive(bars, path, 7)
     folders = {str(p.relative_to(path).parent) for p in tmp_path.rglob("part-*")}
-    assert folders == {"day=2024-01-01/batch_id=7", "day=2024-01-02/batch_id=7"}
+    assert folders == {f"day=2024-01-0{d}/run=manual/batch_id=7" for d in (1, 2)}
     assert sorted(accepted(scan_archive(spark, path)).collect()) == sorted(bars.collect())
 
 
+def test_writes_without_a_number_add_and_new_runs_replace_nothing(spark, tmp_path):
+    path, points = str(tmp_path / "archive"), str(tmp_path / "points")
+    other = make_bars(spark, [("C", "2024-01-01T10:00:00", 9.0)])
+    for bars in (make_bars(spark, ROWS), other):
+        write_archive(bars, path)
+        write_point_table(bars, points)
+    write_archive(other, path, 0, run="query-1")
+    write_archive(other, path, 0, run="query-2")
+    write_archive(other, path, 0, run="query-2")
+    assert accepted(scan_archive(spark, path)).count() == len(ROWS) + 3
+    assert read_points(spark, points).count() == len(ROWS) + 1
+
+
+def test_a_compacted_archive_is_read_as_such_only(spark, tmp_path):
+    path, small = str(tmp_path / "archive"), str(tmp_path / "small")
+    write_archive(make_bars(spark, ROWS), path)
+    compact_archive(spark, path, small)
+    back = scan_archive(spark, small, compacted=True)
+    assert sorted(accepted(back).collect()) == sorted(make_bars(spark, ROWS).collect())
+    with pytest.raises(Exception, match="scan it as compacted"):
+        scan_archive(spark, small).collect()
+
+
 @pytest.mark.parametrize("spread", [False, True])
 def test_a_batch_written_again_replaces_itself_only(spark, tmp_path, spread):
     path = str(tmp_path / "archive")
@@ -308,6 +331,6 @@ def test_a_local_session_gets_a_folder_once():
 
 def test_settings_grow_with_the_input():
     small, large = cluster_settings(1 << 30, 16), cluster_settings(100 << 40, 4000)
-    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert small["spark.sql.shuffle.partitions"] == "16" and small.keys() == large.keys()
     assert large["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))
     assert large["spark.sql.streaming.stateStore.providerClass"] == session.ROCKSDB_PROVIDER

@@ -10,17 +10,25 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.decode import accepted, decode_bars, rejected
 from tickloom.operators.encode import bar_lines
-from tickloom.sinks.archive import write_archive
+from tickloom.sinks.archive import replace_partitions, write_archive
 from tickloom.sinks.points import settle_points, write_point_lines
-from tickloom.streaming.live import BatchSink, fan_out, start_batches
+from tickloom.streaming.live import BatchSink, fan_out, run_of, start_batches
 
 # A stock's messages share a partition, where the offset is their order.
 ARRIVAL_ORDER = ["ingest_ts", "offset"]
 
 
 def write_rejects(batch: DataFrame, path: str, batch_id: int) -> None:
-    """File dead letters by batch."""
-    rejected(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """File dead letters by batch; one without any leaves no folder."""
+    replace_partitions(rejected(batch), path, "parquet", (batch_id, run_of(batch)), by=())
+
+
+def write_progress(batch: DataFrame, path: str, batch_id: int) -> None:
+    """File one row per batch: how many records it read, and how many it refused."""
+    counts = batch.agg(
+        F.count(F.lit(1)).alias("rows_read"), F.count("reject_reason").alias("rows_rejected")
+    )
+    replace_partitions(counts, path, "parquet", (batch_id, run_of(batch)), by=())
 
 
 def good(batch: DataFrame) -> DataFrame:
@@ -47,8 +55,9 @@ def run_speed_layer(
     """Decode messages once and write points, archive and dead letters per batch.
 
     Below ``target``: ``points`` (line protocol), ``archive`` (JSON lines),
-    ``rejects`` and the query's ``checkpoint``. All writes replace the folders of
-    their batch id, so a restart repeats a broken batch without doubling rows.
+    ``rejects``, ``progress`` (a row per batch) and the query's ``checkpoint``. All
+    writes replace the folders of their query and batch, so a restart repeats a broken
+    batch without doubling rows, and a new checkpoint replaces nothing.
     Nothing is collected: every task writes its own rows. The archive keeps every
     bar; of revisions within a batch the points keep the one that arrived last. Sinks
     in ``more`` get the decoded batch as well.
@@ -59,9 +68,10 @@ def run_speed_layer(
         F.count("reject_reason").alias("rejected"),
     )
     deliver = fan_out(
-        lambda b, i: write_point_lines(good(b), f"{target}/points", i, ARRIVAL_ORDER),
-        lambda b, i: write_archive(accepted(b, "ingest_ts"), f"{target}/archive", i),
+        lambda b, i: write_point_lines(good(b), f"{target}/points", i, ARRIVAL_ORDER, run_of(b)),
+        lambda b, i: write_archive(accepted(b, "ingest_ts"), f"{target}/archive", i, run=run_of(b)),
         lambda b, i: write_rejects(b, f"{target}/rejects", i),
+        lambda b, i: write_progress(b, f"{target}/progress", i),
         *more,
     )
     return start_batches(decoded, deliver, f"{target}/checkpoint", every)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,16 +14,31 @@ from tickloom.operators.encode import to_archive
 from tickloom.sources.archive import scan_archive
 
 
-def replace_partitions(rows: DataFrame, path: str, fmt: str, batch_id: int | None) -> None:
-    """Write ``rows`` below ``day`` (and ``batch_id``) folders, replacing those folders.
+#: The run of batches that are numbered by hand.
+MANUAL = "manual"
+
+
+def filed_under(batch_id: int | None, run: str | None) -> tuple[int, str]:
+    """Batch number and run of a write; without a number the write is a run of its own."""
+    if batch_id is None:
+        return 0, run or f"once-{uuid.uuid4().hex}"
+    return batch_id, run or MANUAL
+
+
+def replace_partitions(
+    rows: DataFrame, path: str, fmt: str, batch: tuple[int, str] | None, by: tuple[str, ...] = ("day",)
+) -> None:
+    """Write ``rows`` below folders ``by`` (and run and batch), replacing those folders.
 
     A batch that is run again after a failure writes the same folders and so leaves
-    one copy. Only folders that get rows are touched.
+    one copy. Batch numbers start anew with every checkpoint; the run tells them apart,
+    so nothing but a batch's own earlier try is replaced. Only folders that get rows
+    are touched.
     """
-    by = ["day"]
-    if batch_id is not None:
-        rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        by.append("batch_id")
+    if batch is not None:
+        batch_id, run = batch
+        rows = rows.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")})
+        by = (*by, "run", "batch_id")
     (
         rows.write.format(fmt)
         .mode("overwrite")
@@ -40,14 +57,23 @@ def spread_by_day(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", "day")
 
 
-def write_archive(bars: DataFrame, path: str, batch_id: int = 0, spread: bool = False) -> None:
-    """Append one batch of bars to the archive, a JSON line each, idempotently.
+def write_archive(
+    bars: DataFrame,
+    path: str,
+    batch_id: int | None = None,
+    spread: bool = False,
+    run: str | None = None,
+) -> None:
+    """Append bars to the archive, a JSON line each; numbered batches idempotently.
+
+    Without ``batch_id`` every call adds its bars. With one, a repeated call replaces
+    what the same batch of the same ``run`` wrote.
 
     ``spread`` is for large batch jobs that cover many days. A micro-batch covers
     one or two and should write straight from its tasks.
     """
     rows = to_archive(bars)
-    replace_partitions(spread_by_day(rows) if spread else rows, path, "text", batch_id)
+    replace_partitions(spread_by_day(rows) if spread else rows, path, "text", filed_under(batch_id, run))
 
 
 def compact_archive(spark: SparkSession, path: str, target: str) -> None:

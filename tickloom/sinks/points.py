@@ -22,7 +22,7 @@ from tickloom.functions.scalar import calendar_day
 from tickloom.operators.clean import last_write_wins
 from tickloom.operators.encode import MEASUREMENT, bar_lines
 from tickloom.schema import VALUE_FIELDS
-from tickloom.sinks.archive import replace_partitions, spread_by_day
+from tickloom.sinks.archive import filed_under, replace_partitions, spread_by_day
 
 Send = Callable[[bytes], None]
 
@@ -38,12 +38,15 @@ def settle_points(bars: DataFrame, order: Sequence[str]) -> DataFrame:
 def write_point_table(
     bars: DataFrame,
     path: str,
-    batch_id: int = 0,
+    batch_id: int | None = None,
     order: Sequence[str] = ("date",),
     measurement: str = MEASUREMENT,
     spread: bool = False,
+    run: str | None = None,
 ) -> None:
-    """File bars as points, Parquet by day and batch, for ``read_points``.
+    """File bars as points, Parquet by day, run and batch, for ``read_points``.
+
+    ``batch_id`` and ``run`` are those of :func:`tickloom.sinks.archive.write_archive`.
 
     A batch may carry several revisions of a point; the last in ``order`` is written.
     """
@@ -55,20 +58,24 @@ def write_point_table(
         calendar_day("date").alias("day"),
     )
     rows = spread_by_day(rows) if spread else rows
-    replace_partitions(rows, path, "parquet", batch_id)
+    replace_partitions(rows, path, "parquet", filed_under(batch_id, run))
 
 
 def write_point_lines(
-    bars: DataFrame, path: str, batch_id: int = 0, order: Sequence[str] = ("date",)
+    bars: DataFrame,
+    path: str,
+    batch_id: int | None = None,
+    order: Sequence[str] = ("date",),
+    run: str | None = None,
 ) -> None:
-    """File bars as line-protocol text by day and batch, ready for bulk loading.
+    """File bars as line-protocol text by day, run and batch, ready for bulk loading.
 
     As in :func:`write_point_table`, a batch has at most one line per point: lines of
     one identity would otherwise overwrite each other in whatever order they load.
     """
     filed = settle_points(bars, order).withColumn("day", calendar_day("date"))
     lines = bar_lines(filed, keep=["day"])
-    replace_partitions(lines, path, "text", batch_id)
+    replace_partitions(lines, path, "text", filed_under(batch_id, run))
 
 
 def http_send(url: str, org: str, bucket: str, token: str, tries: int = 5) -> Send:

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.decode import decode_bars
+from tickloom.schema import BAR_FIELDS, BAR_SCHEMA
+
+BAR_SCHEMA_TEXT = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in BAR_SCHEMA.fields)
 
 
 def raw_dump(
@@ -16,12 +19,11 @@ def raw_dump(
     """The archive as text: ``file_path``, ``file_time`` and ``value``.
 
     ``whole_files`` is for archives of one record per small file. Otherwise a row is
-    a line and large files are split over tasks. Files that vanish or cannot be read
-    are passed over, as a dump should finish. Archives filed by ``day`` (and
-    ``batch_id``) keep those columns, and filters on them prune folders.
+    a line and large files are split over tasks. A file that vanishes or cannot be read
+    fails the dump: it never leaves records out unsaid. Archives filed by ``day`` (and
+    ``run`` and ``batch_id``) keep those columns, and filters on them prune folders.
     """
-    reader = spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-    text = reader.text(path, wholetext=whole_files)
+    text = spark.read.text(path, wholetext=whole_files)
     return text.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_modification_time").alias("file_time"),
@@ -34,15 +36,34 @@ def scan_archive(
     path: str,
     whole_files: bool = False,
     since: dt.date | None = None,
+    compacted: bool = False,
 ) -> DataFrame:
     """Every archived record, decoded by ``decode_bars``, in one distributed scan.
 
+    ``compacted`` reads the Parquet form that ``compact_archive`` writes; its records
+    were decoded then, and come back without text or reject reason. The text forms
+    refuse Parquet files by an error rather than take their bytes for bad records.
+
     An empty folder gives an empty typed frame. ``since`` reads only the folders of
     that day and later, where the archive is filed by day. Unlike the dump this
     fails on unreadable files: analysis must not lose records silently.
     """
+    if compacted:
+        bars = spark.read.schema(f"{BAR_SCHEMA_TEXT}, ingest_ts timestamp, day date").parquet(path)
+        bars = bars if since is None else bars.where(F.col("day") >= F.lit(since))
+        none = F.lit(None).cast("string")
+        return bars.select(
+            *BAR_FIELDS,
+            "ingest_ts",
+            none.alias("value"),
+            none.alias("reject_reason"),
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_modification_time").alias("file_time"),
+        )
     text = spark.read.text(path, wholetext=whole_files)
-    records = text.select(
+    refused = F.raise_error(F.lit("the archive holds Parquet files: scan it as compacted"))
+    value = F.when(F.col("value").startswith("PAR1"), refused.cast("string")).otherwise(F.col("value"))
+    records = text.withColumn("value", value).select(
         "*",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_modification_time").alias("file_time"),

@@ -43,6 +43,14 @@ def fan_out(*sinks: BatchSink) -> BatchSink:
     return deliver
 
 
+def run_of(batch: DataFrame) -> str:
+    """The query a micro-batch belongs to: kept in its checkpoint, so restarts share it."""
+    name = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not name:
+        raise ValueError("only a micro-batch of a running query has a run")
+    return f"query-{name}"
+
+
 def start_batches(
     stream: DataFrame,
     deliver: BatchSink,
