@@ -19,6 +19,13 @@ REJECTS = {
     '{"stock":"A"}': "no date",
     '{"date":"2024-01-02T09:30:00"}': "no stock",
     '{"stock":"A","date":"junk"}': "bad date",
+    GOOD.replace('"open":1', '"open":"x"'): "bad field",
+    GOOD + " trailing": "malformed",
+    GOOD + GOOD: "malformed",
+    f"{GOOD},{GOOD}": "malformed",
+    GOOD + " }": "malformed",
+    GOOD.replace('"A"', '"  "'): "no stock",
+    GOOD.replace('"A"', '{"a":1}'): "bad stock",
 }
 
 
@@ -43,10 +50,9 @@ def test_extra_fields_are_ignored_and_missing_ones_null(spark):
     assert tuple(row)[2:] == (None,) * 5
 
 
-def test_a_bad_number_nulls_only_its_field(spark):
-    text = GOOD.replace('"open":1', '"open":"x"')
-    row = accepted(decode(spark, text)).first()
-    assert row.open is None and row.close == 1.5
+def test_nested_and_quoted_braces_are_part_of_a_record(spark):
+    texts = [GOOD[:-1].replace('1.5', '1.5,"nan":NaN') + ',"more":{"a":[1,{"b":2}]}}', GOOD.replace('"A"', '"A}{\\"}"'), f"  {GOOD}\n"]
+    assert [r.close for r in accepted(decode(spark, *texts)).collect()] == [1.5] * 3
 
 
 def test_nan_is_kept(spark):

@@ -89,6 +89,8 @@ def test_round_trip_of_awkward_bars(spark):
 def test_helpers(spark):
     frame = spark.createDataFrame([("a,b c=d",)], "t string")
     assert frame.select(escape_name("t")).first()[0] == r"a\,b\ c\=d"
+    odd = spark.createDataFrame([("A\nB\\",)], "t string")
+    assert odd.select(escape_name("t")).first()[0] == r"A\nB\\"
     moment = spark.sql("select timestamp'2024-01-01T10:00:00+02:00' as t")
     assert moment.select(iso_utc("t")).first()[0] == "2024-01-01T08:00:00Z"
     assert bar_json(make_bars(spark, [])) is not None

@@ -59,10 +59,15 @@ def is_finite(number: Column | str) -> Column:
 
 
 def escape_name(text: Column | str) -> Column:
-    """Escape comma, equals sign and space, as in tags and field keys."""
-    return F.regexp_replace(column(text), r"([,= ])", r"\\$1")
+    """Escape comma, equals sign, space, backslash and line ends, as in tags and keys."""
+    return _one_line(F.regexp_replace(column(text), r"([,= \\])", r"\\$1"))
 
 
 def escape_measurement(text: Column | str) -> Column:
-    """Escape comma and space, as in measurement names."""
-    return F.regexp_replace(column(text), r"([, ])", r"\\$1")
+    """Escape comma, space, backslash and line ends, as in measurement names."""
+    return _one_line(F.regexp_replace(column(text), r"([, \\])", r"\\$1"))
+
+
+def _one_line(text: Column) -> Column:
+    """Line ends spelled out: a point is one line, whatever its names hold."""
+    return F.replace(F.replace(text, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))

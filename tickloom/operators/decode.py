@@ -51,13 +51,27 @@ def _reason(text: str) -> Column:
     return (
         F.when(F.col(text).isNull(), "null")
         .when(F.trim(F.col(text)) == "", "empty")
-        .when(F.col(_BROKEN).isNotNull() & nothing_read, "malformed")
-        .when(F.col("stock").isNull(), "no stock")
+        .when((F.col(_BROKEN).isNotNull() & nothing_read) | _goes_on(text), "malformed")
+        .when(F.col(_BROKEN).isNotNull(), "bad field")
+        .when(F.trim(F.coalesce("stock", F.lit(""))) == "", "no stock")
+        .when(F.col("stock").rlike(r"^\s*[{\[]"), "bad stock")
         .when(F.col("date").isNull(), "no date")
         .when(F.col(_INSTANT).isNull(), "bad date")
     )
 
 
+def _goes_on(text: str) -> Column:
+    """Whether anything follows the record in its text, which the parser passes over.
+
+    With its strings blanked, a record is one pair of braces. Only where a text has more
+    of them are the elements counted that it makes up in an array.
+    """
+    outline = F.regexp_replace(F.col(text), r'"(?:\\.|[^"\\])*"', '""')
+    plain = F.regexp_replace(outline, "[+-]?(?:NaN|INF|Infinity)", "0")
+    alone = F.json_array_length(F.concat(F.lit("["), plain, F.lit("]"))) == 1
+    return F.when(outline.rlike(r"^\s*\{[^{}]*\}\s*$"), False).otherwise(~F.coalesce(alone, F.lit(False)))
+
+
 def accepted(decoded: DataFrame, *keep: str) -> DataFrame:
     """The readable bars of :func:`decode_bars`, with columns ``keep`` if asked."""
     return decoded.where(F.col("reject_reason").isNull()).select(*BAR_FIELDS, *keep)
