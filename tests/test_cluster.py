@@ -93,3 +93,19 @@ def test_scaling_keeps_volume_from_deciding_alone(spark):
 def test_from_bars(spark):
     bars = make_bars(spark, [("A", "2024-01-01T10:00:00", 1.0), ("B", "2024-01-01T10:00:00", 50.0)])
     assert cluster_stocks(stock_summary(bars), k=2).labels.count() == 2
+
+
+@pytest.mark.parametrize("shuffles", ["4", "8", "17"])
+def test_labels_do_not_depend_on_the_partition_count(spark, shuffles):
+    pick = random.Random(11)
+    rows = [(f"S{i}", *[pick.uniform(0, 10) for _ in AVERAGE_FIELDS]) for i in range(90)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    want = sorted(cluster_stocks(summary(spark, rows)).labels.collect())
+    spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        mixed = summary(spark, rows).repartition(int(shuffles), "stock")
+        assert sorted(cluster_stocks(mixed).labels.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

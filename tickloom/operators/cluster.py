@@ -40,20 +40,21 @@ def assemble_features(summary: DataFrame) -> DataFrame:
 
 
 def cluster_stocks(
-    summary: DataFrame, k: int = 3, seed: int = 1, scale: bool = False
+    summary: DataFrame, k: int = 3, seed: int = 1, scale: bool = False, parts: int = 32
 ) -> Clustering:
     """Fit k-means on one vector per stock and label every stock.
 
     The vectors are written to the checkpoint folder first: the fit passes over
     them many times and must not redo the scan of the bars, nor lose them with an
-    executor. Rows are ordered inside their hash partition, so the same data and
-    settings give the same start. Labels are numbered by ascending centre; only
+    executor. Rows are dealt by stock to ``parts`` partitions and ordered there; the fit
+    starts from a sample per partition, so the same data give the same start whatever
+    the session's partition count. Labels are numbered by ascending centre; only
     the centres, k short vectors, come to the driver.
     """
     spark = summary.sparkSession
     shared_dir(spark)
     features = assemble_features(summary)
-    features = features.sortWithinPartitions("stock").checkpoint()
+    features = features.repartition(parts, "stock").sortWithinPartitions("stock").checkpoint()
     skipped = unusable_features(summary)
     if features.isEmpty():
         labels = spark.createDataFrame([], "stock string, prediction int")
