@@ -30,7 +30,7 @@ def test_dump_job_writes_every_record_and_previews(spark, tmp_path, capsys):
     write_archive(make_bars(spark, ROWS), archive)
     run(spark, arguments(["dump", "--archive", archive, "--target", target]))
     dumped = spark.read.json(target).collect()
-    assert len(dumped) == 2 and all("day=2024-01-01/batch_id=0/" in r.file_path for r in dumped)
+    assert len(dumped) == 2 and all("day=2024-01-01/run=once-" in r.file_path for r in dumped)
     assert "records:" in capsys.readouterr().out
 
 

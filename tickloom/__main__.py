@@ -17,7 +17,7 @@ from tickloom.plans.batch_layer import run_batch_layer
 from tickloom.plans.ingest import publish_to_topic, run_ingest
 from tickloom.plans.speed_layer import run_speed_layer, send_lines
 from tickloom.schema import BAR_SCHEMA, TopicOptions
-from tickloom.session import pin_runtime
+from tickloom.session import cluster_settings, pin_runtime
 from tickloom.sinks.archive import compact_archive
 from tickloom.sinks.console import show_each
 from tickloom.sinks.points import http_send, line_sink
@@ -35,10 +35,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         sub = jobs.add_parser(name, help=text)
         for option in (*required, *(("brokers", "topic") if topic else ())):
             sub.add_argument(f"--{option}", required=True)
+        sub.add_argument("--input-gb", type=float, default=0.0, help="size of the input")
+        sub.add_argument("--cores", type=int, help="executor cores; the context's own without")
         return sub
 
     batch = job("batch", "analyse an archive", "archive", "target", "run-id")
     batch.add_argument("--whole-files", action="store_true", help="one record per file")
+    batch.add_argument("--compacted", action="store_true", help="what the compact job wrote")
     batch.add_argument("--groups", type=int, default=3)
     live = job("live", "topic to points, archive and dead letters", "target", topic=True)
     live.add_argument("--every", default=POLL_EVERY)
@@ -54,10 +57,25 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def sized(spark: SparkSession, args: argparse.Namespace) -> SparkSession:
+    """Set what :func:`cluster_settings` gives for the stated input and cores."""
+    cores = args.cores or spark.sparkContext.defaultParallelism
+    for name, value in cluster_settings(int(args.input_gb * (1 << 30)), cores).items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    sized(spark, args)
     if args.job == "batch":
         run_batch_layer(
-            spark, args.archive, args.target, args.run_id, args.whole_files, args.groups
+            spark,
+            args.archive,
+            args.target,
+            args.run_id,
+            args.whole_files,
+            args.groups,
+            compacted=args.compacted,
         )
         names = ("stock_summary", "return_series", "market_breadth", "clusters")
         show_each(**{n: read_result(spark, args.target, n, args.run_id) for n in names})

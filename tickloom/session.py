@@ -19,14 +19,12 @@ def pin_runtime(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
+def cluster_settings(input_bytes: int, cores: int, waves: int = 1) -> dict[str, str]:
     """Options for a job over ``input_bytes`` on ``cores`` executor cores.
 
-    Shuffle partitions aim at 256 MB of input each and at no less than two waves of
-    tasks; adaptive execution merges small ones up to 128 MB. Where the whole input
-    is smaller than one such piece per core, using all cores comes first, and state
-    of streams stays on the heap. Beyond that it goes to RocksDB, where executor
-    disk bounds it.
+    Shuffle partitions aim at 256 MB of input each and at no less than ``waves`` of
+    tasks; adaptive execution merges small ones. State of streams is in RocksDB, where
+    executor disk bounds it, whatever the input: a stream keeps its store for good.
     """
     piece = 128 << 20
     settings = {
@@ -35,13 +33,10 @@ def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(piece),
         "spark.sql.files.maxPartitionBytes": str(2 * piece),
     }
-    if input_bytes < cores * piece:
-        return {**settings, "spark.sql.shuffle.partitions": str(cores)}
     by_size = -(-input_bytes // (2 * piece))
     return {
         **settings,
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.shuffle.partitions": str(max(2 * cores, by_size)),
+        "spark.sql.shuffle.partitions": str(max(waves * cores, by_size)),
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
