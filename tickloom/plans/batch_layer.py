@@ -24,6 +24,7 @@ def run_batch_layer(
     whole_files: bool = False,
     k: int = 3,
     fmt: str = "parquet",
+    compacted: bool = False,
 ) -> Clustering:
     """Read the archive, analyse it and write every result below ``target``.
 
@@ -36,7 +37,7 @@ def run_batch_layer(
     on the order of bars takes settled ones, one per instant. Nothing is sorted.
     """
     kept = run_dir(spark, "batch")
-    decoded = stored(without_good_text(scan_archive(spark, archive, whole_files)), f"{kept}/decoded")
+    decoded = stored(without_good_text(scan_archive(spark, archive, whole_files, compacted=compacted)), f"{kept}/decoded")
     # A bar's copies count as ingested when the last of them was.
     ingested = F.max("ingest_ts").alias("ingest_ts")
     distinct = accepted(decoded, "ingest_ts").groupBy(*BAR_FIELDS).agg(ingested)

@@ -57,7 +57,7 @@ from tickloom.sources.archive import raw_dump, scan_archive
 from tickloom.sources.points import read_points
 from tickloom.sources.ticks import bars_of_events, event_bars
 from tickloom.sources.topic import message_file_replay, message_file_stream
-from tickloom.streaming.live import distinct_stream, fan_out, start_batches, start_files
+from tickloom.streaming.live import distinct_stream, fan_out, run_of, start_batches, start_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -214,10 +214,9 @@ def latest_bar_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watch_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A comma-separated symbol list per large purchase, some of them unknown symbols."""
-    buys = events_table(spark, sf_dir).where("event_type = 'purchase' and value >= 60")
-    mine, other = F.col("user_id"), F.col("user_id") + 7
-    return buys.select(
+    """A comma-separated symbol list per event: an even-numbered stock, an unknown one."""
+    mine, other = F.col("user_id") - F.col("user_id") % 2, F.col("user_id") + 1_000_000
+    return events_table(spark, sf_dir).select(
         F.concat(F.lit("S"), mine, F.lit(",S"), other).alias("symbols")
     )
 
@@ -402,6 +401,16 @@ def batch_layer_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_result(spark, target, "market_breadth", "run")
 
 
+@query
+def batch_layer_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch layer over a compacted archive; its breadth."""
+    archive, small, target = (run_dir(spark, name) for name in ("archive", "compacted", "results"))
+    write_archive(event_bars(spark, sf_dir).withColumn("ingest_ts", F.col("date")), archive, spread=True)
+    compact_archive(spark, archive, small)
+    run_batch_layer(spark, small, target, "run", compacted=True)
+    return read_result(spark, target, "market_breadth", "run")
+
+
 # -- order ---------------------------------------------------------------------
 
 
@@ -465,11 +474,10 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("string").alias("key"), "value"
     )
     stream = message_file_stream(spark, message_folder(spark, damaged))
-    running = run_speed_layer(stream, run_dir(spark, "live"))
-    running.awaitTermination()
-    seen = [p.observedMetrics["batch"] for p in running.recentProgress if p.observedMetrics]
-    totals = sum(row["read"] for row in seen), sum(row["rejected"] for row in seen)
-    return spark.createDataFrame([totals], "rows_read bigint, rows_rejected bigint")
+    target = run_dir(spark, "live")
+    run_speed_layer(stream, target).awaitTermination()
+    progress = spark.read.parquet(f"{target}/progress")
+    return progress.agg(*(F.sum(name).alias(name) for name in ("rows_read", "rows_rejected")))
 
 
 @query
@@ -497,7 +505,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = message_folder(spark, to_messages(union_bars(once, once)))
     target = run_dir(spark, "points")
     stream = accepted(decode_bars(message_file_stream(spark, path)))
-    deliver = fan_out(lambda batch, i: write_point_table(batch, f"{target}/points", i))
+    deliver = fan_out(lambda batch, i: write_point_table(batch, f"{target}/points", i, run=run_of(batch)))
     start_batches(stream, deliver, f"{target}/checkpoint").awaitTermination()
     return zoneless(read_points(spark, f"{target}/points"), "time")
 
@@ -532,6 +540,24 @@ def cluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def cluster_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stocks labelled, groups used, and stocks that another group's centre is nearer to."""
+    summary = stock_summary(event_bars(spark, sf_dir))
+    groups = cluster_stocks(summary)
+    apart = F.array(*(
+        sum((F.col(name) - F.lit(x)) ** 2 for name, x in zip(AVERAGE_FIELDS, centre))
+        for centre in groups.centres
+    ))
+    placed = groups.labels.join(summary, "stock").withColumn("apart", apart)
+    astray = F.col("apart")[F.col("prediction")] > F.array_min("apart") * (1 + 1e-9)
+    return placed.agg(
+        F.count("*").alias("stocks"),
+        F.count_distinct("prediction").alias("groups"),
+        F.count_if(astray).alias("astray"),
+    )
+
+
 @query
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stocks in three groups by k-means."""

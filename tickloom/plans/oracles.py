@@ -44,8 +44,8 @@ prev AS (
 
 UNIVERSE = """
 universe AS (
-  SELECT DISTINCT unnest(string_split('S' || user_id || ',S' || (user_id + 7), ',')) AS stock
-  FROM events WHERE event_type = 'purchase' AND value >= 60
+  SELECT DISTINCT unnest(string_split('S' || (user_id - user_id % 2) || ',S' || (user_id + 1000000), ',')) AS stock
+  FROM events
 )"""
 
 LINE = """'stock-price-v1,stock=' || stock || ' open=' || CAST(open AS VARCHAR)
@@ -159,6 +159,7 @@ SQL: dict[str, str] = {
     "results_sink": BREADTH,
     "results_sink_json": STATS,
     "batch_layer_breadth": BREADTH,
+    "batch_layer_compacted": BREADTH,
     "sorted_bars": f"WITH {BARS} SELECT * FROM bars ORDER BY stock, date",
     "sorted_preview": f"WITH {BARS} SELECT * FROM bars ORDER BY stock, date LIMIT 20",
     "topic_replay": f"WITH {BARS} SELECT stock AS key, {JSON} AS value FROM bars",
@@ -191,4 +192,7 @@ SQL: dict[str, str] = {
     "cluster_features": f"""
         WITH {BARS}, stats AS ({STATS_SELECT})
         SELECT stock, avg_open, avg_high, avg_low, avg_close, avg_volume FROM stats""",
+    "cluster_checks": """
+        SELECT count(DISTINCT user_id) AS stocks, 3::BIGINT AS groups, 0::BIGINT AS astray
+        FROM events""",
 }
