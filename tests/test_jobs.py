@@ -1,3 +1,7 @@
+import datetime as dt
+from pyspark.sql import functions as F
+from tickloom.schema import BAR_SCHEMA
+from tickloom.plans.ingest import publish_to_files, run_ingest
 import pytest
 
 from tickloom.__main__ import arguments, run
@@ -82,3 +86,28 @@ def test_console_stream_runs(spark, tmp_path):
     query.processAllAvailable()
     assert sum(p.numInputRows for p in query.recentProgress) >= 2
     query.stop()
+
+
+def test_batch_job_reads_compacted_archives_appends_documents_and_is_sized(spark, tmp_path):
+    archive, small, target, documents = (str(tmp_path / name) for name in ("in", "small", "out", "documents"))
+    write_archive(make_bars(spark, ROWS), archive)
+    run(spark, arguments(["compact", "--archive", archive, "--target", small]))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    options = ["--compacted", "--documents", "json", "--documents-to", documents, "--input-gb", "10", "--cores", "6"]
+    try:
+        run(spark, arguments(["batch", "--archive", small, "--target", target, "--run-id", "1", *options]))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    written = spark.read.parquet(f"{target}/stock_summary")
+    assert 0 < written.count() == spark.read.json(f"{documents}/stock_summary").count()
+
+
+def test_ingest_leaves_out_bars_older_than_its_span(spark, tmp_path):
+    now = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
+    rows = [("A", now - dt.timedelta(days=3), *[1.0] * 5), ("B", now - dt.timedelta(hours=3), *[1.0] * 5)]
+    spark.createDataFrame(rows, BAR_SCHEMA).write.parquet(str(tmp_path / "landed"))
+    landed = spark.readStream.schema(BAR_SCHEMA).parquet(str(tmp_path / "landed"))
+    deliver = publish_to_files(str(tmp_path / "topic"))
+    run_ingest(landed, ["A", "B"], deliver, str(tmp_path / "checkpoint"), None, "1 day").awaitTermination()
+    assert [r["key"] for r in spark.read.parquet(str(tmp_path / "topic")).collect()] == ["B"]

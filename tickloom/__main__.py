@@ -19,9 +19,9 @@ from tickloom.plans.speed_layer import run_speed_layer, send_lines
 from tickloom.schema import BAR_SCHEMA, TopicOptions
 from tickloom.session import cluster_settings, pin_runtime
 from tickloom.sinks.archive import compact_archive
-from tickloom.sinks.console import show_each
+from tickloom.sinks.console import console_stream, show_each
 from tickloom.sinks.points import http_send, line_sink
-from tickloom.sinks.results import read_result
+from tickloom.sinks.results import append_documents, read_result
 from tickloom.sources.archive import raw_dump
 from tickloom.sources.topic import topic_replay, topic_stream
 from tickloom.streaming.live import POLL_EVERY, ProgressLog
@@ -43,17 +43,22 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     batch.add_argument("--whole-files", action="store_true", help="one record per file")
     batch.add_argument("--compacted", action="store_true", help="what the compact job wrote")
     batch.add_argument("--groups", type=int, default=3)
+    batch.add_argument("--documents", help="also append results as documents in this format")
+    batch.add_argument("--documents-to", default="", help="where to: path or connection")
     live = job("live", "topic to points, archive and dead letters", "target", topic=True)
     live.add_argument("--every", default=POLL_EVERY)
     live.add_argument("--max-offsets", type=int, default=TopicOptions.max_offsets_per_trigger)
     live.add_argument("--points-url", help="also send lines to this endpoint")
     live.add_argument("--points-org", default="")
     live.add_argument("--points-bucket", default="")
-    job("ingest", "landed bars to topic", "landed", "symbols", "checkpoint", topic=True)
+    ingest = job("ingest", "landed bars to topic", "landed", "symbols", "checkpoint", topic=True)
+    ingest.add_argument("--lookback", default="1 day", help="how old a bar may be to be news")
+    ingest.add_argument("--max-files", type=int, default=1000, help="landed files per batch")
     job("compact", "archive to Parquet", "archive", "target")
     dump = job("dump", "archived records as text with their files", "archive", "target")
     dump.add_argument("--whole-files", action="store_true")
-    job("tail", "print what a topic holds", topic=True)
+    tail = job("tail", "print what a topic holds", topic=True)
+    tail.add_argument("--follow", metavar="CHECKPOINT", help="go on printing what arrives")
     return parser.parse_args(argv)
 
 
@@ -78,7 +83,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             compacted=args.compacted,
         )
         names = ("stock_summary", "return_series", "market_breadth", "clusters")
-        show_each(**{n: read_result(spark, args.target, n, args.run_id) for n in names})
+        results = {n: read_result(spark, args.target, n, args.run_id) for n in names}
+        if args.documents:
+            for name, frame in results.items():
+                append_documents(frame, args.documents, path=f"{args.documents_to}/{name}")
+        show_each(**results)
     elif args.job == "live":
         spark.streams.addListener(ProgressLog(print))
         more = []
@@ -94,10 +103,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         messages = topic_stream(spark, options)
         run_speed_layer(messages, args.target, args.every, more).awaitTermination()
     elif args.job == "ingest":
-        landed = spark.readStream.schema(BAR_SCHEMA).parquet(args.landed)
+        reader = spark.readStream.schema(BAR_SCHEMA).option("maxFilesPerTrigger", args.max_files)
+        landed = reader.parquet(args.landed)
         deliver = publish_to_topic(TopicOptions(args.brokers, args.topic))
         symbols = parse_universe(args.symbols)
-        run_ingest(landed, symbols, deliver, args.checkpoint).awaitTermination()
+        query = run_ingest(landed, symbols, deliver, args.checkpoint, span=args.lookback)
+        query.awaitTermination()
     elif args.job == "compact":
         compact_archive(spark, args.archive, args.target)
     elif args.job == "dump":
@@ -107,6 +118,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "tail":
         messages = topic_replay(spark, TopicOptions(args.brokers, args.topic))
         show_each(messages=messages, bars=accepted(decode_bars(messages)))
+        if args.follow:
+            stream = topic_stream(spark, TopicOptions(args.brokers, args.topic))
+            console_stream(stream, args.follow, POLL_EVERY).awaitTermination()
 
 
 def main() -> None:

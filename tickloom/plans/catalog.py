@@ -482,31 +482,35 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every bar delivered twice, let through once.
+    """Every bar delivered twice, let through once, with state of some hours only.
 
-    The delay covers the whole span of the data, as the two deliveries of a bar may
-    come in any order.
+    The feed comes in three parts, one after the other in time, each in batches of its
+    own; when a part has passed, what the one before it left in the state has expired.
     """
     once = event_bars(spark, sf_dir)
-    path = message_folder(spark, to_messages(union_bars(once, once)))
-    span = once.agg(F.date_diff(F.max("date"), F.min("date"))).first()[0] or 0
+    bounds = once.agg(F.min(F.unix_timestamp("date")), F.max(F.unix_timestamp("date"))).first()
+    place = (F.unix_timestamp("date") - F.lit(bounds[0])) / F.lit((bounds[1] or 0) - (bounds[0] or 0) + 1)
     target = run_dir(spark, "distinct")
-    stream = accepted(decode_bars(message_file_stream(spark, path)), "offset")
-    passed = distinct_stream(stream, f"{span + 1} days", spread_by=F.col("offset"))
-    passed = passed.select(*BAR_FIELDS)
-    start_files(passed, f"{target}/bars", f"{target}/checkpoint").awaitTermination()
+    for part in range(3):
+        bars = once.where(F.floor(place * 3) == part)
+        write_message_files(to_messages(union_bars(bars, bars)), f"{target}/topic")
+        stream = accepted(decode_bars(message_file_stream(spark, f"{target}/topic")), "offset")
+        passed = distinct_stream(stream, "2 hours", spread_by=F.col("offset")).select(*BAR_FIELDS)
+        start_files(passed, f"{target}/bars", f"{target}/checkpoint").awaitTermination()
     return zoneless(spark.read.schema(BAR_SCHEMA).parquet(f"{target}/bars"))
 
 
 @query
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars streamed twice into the point table, read back one per identity."""
+    """Three revisions of every bar, a micro-batch each: the points hold the last."""
     once = event_bars(spark, sf_dir)
-    path = message_folder(spark, to_messages(union_bars(once, once)))
     target = run_dir(spark, "points")
-    stream = accepted(decode_bars(message_file_stream(spark, path)))
     deliver = fan_out(lambda batch, i: write_point_table(batch, f"{target}/points", i, run=run_of(batch)))
-    start_batches(stream, deliver, f"{target}/checkpoint").awaitTermination()
+    for off in (2.0, 1.0, 0.0):
+        revised = once.withColumn("close", F.col("close") + off)
+        write_message_files(to_messages(revised), f"{target}/topic")
+        stream = accepted(decode_bars(message_file_stream(spark, f"{target}/topic")))
+        start_batches(stream, deliver, f"{target}/checkpoint").awaitTermination()
     return zoneless(read_points(spark, f"{target}/points"), "time")
 
 

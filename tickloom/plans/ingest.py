@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.encode import to_messages
@@ -51,6 +52,13 @@ def run_ingest(
     deliver: BatchSink,
     checkpoint: str,
     every: str | None = POLL_EVERY,
+    span: str | None = None,
 ) -> StreamingQuery:
-    """Every few seconds, pass on the newest bars that landed since the last time."""
+    """Every few seconds, pass on the newest bars that landed since the last time.
+
+    With ``span`` (such as ``1 day``) bars older than that when their batch runs are
+    not news and are left out; that is the trailing range of a live feed.
+    """
+    if span is not None:
+        landed = landed.where(F.col("date") >= F.current_timestamp() - F.expr(f"interval {span}"))
     return start_batches(in_universe(landed, universe), deliver, checkpoint, every)
