@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 from pyspark.sql import functions as F
 from tickloom.schema import BAR_SCHEMA
 from tickloom.plans.ingest import publish_to_files, run_ingest
@@ -7,6 +8,7 @@ import pytest
 from tickloom.__main__ import arguments, run
 from tickloom.operators.decode import accepted, decode_bars
 from tickloom.operators.encode import to_messages
+from tickloom.plans.batch_layer import run_batch_layer
 from tickloom.plans.speed_layer import run_speed_layer, send_lines
 from tickloom.sinks.archive import write_archive
 from tickloom.sinks.console import console_stream
@@ -111,3 +113,11 @@ def test_ingest_leaves_out_bars_older_than_its_span(spark, tmp_path):
     deliver = publish_to_files(str(tmp_path / "topic"))
     run_ingest(landed, ["A", "B"], deliver, str(tmp_path / "checkpoint"), None, "1 day").awaitTermination()
     assert [r["key"] for r in spark.read.parquet(str(tmp_path / "topic")).collect()] == ["B"]
+
+
+def test_batch_layer_leaves_no_intermediate_tables(spark, tmp_path):
+    archive, shared = str(tmp_path / "in"), spark.conf.get("spark.checkpoint.dir")
+    write_archive(make_bars(spark, ROWS), archive)
+    groups = run_batch_layer(spark, archive, str(tmp_path / "out"), "1")
+    assert not list(Path(shared.removeprefix("file://")).glob("batch-*"))
+    assert groups.labels.count() == 2 and groups.skipped.count() == 0

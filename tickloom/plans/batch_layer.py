@@ -11,7 +11,7 @@ from tickloom.operators.decode import accepted, rejected
 from tickloom.operators.returns import bar_returns, fit_grain, return_series
 from tickloom.operators.stats import daily_prices, market_breadth, stock_summary
 from tickloom.schema import BAR_FIELDS, VALUE_FIELDS
-from tickloom.session import run_dir
+from tickloom.session import remove_dir, run_dir
 from tickloom.sinks.results import result_path
 from tickloom.sources.archive import scan_archive
 
@@ -31,7 +31,8 @@ def run_batch_layer(
     Decoded records, distinct bars and settled bars are each written once to the
     shared folder, as Parquet, and later steps read only the columns they need from
     there: the JSON is parsed a single time, and a written table outlives executors.
-    Breadth and groups likewise start from the written daily prices and summary.
+    Breadth and groups likewise start from the written daily prices and summary. At the
+    end these tables go; after a failure they stay for inspection.
 
     The summary takes every distinct bar, re-sent revisions among them; what depends
     on the order of bars takes settled ones, one per instant. Nothing is sorted.
@@ -54,6 +55,7 @@ def run_batch_layer(
     groups = cluster_stocks(summary, k=k)
     result("clusters", groups.labels)
     result("rejects", rejected(decoded, "value", "file_path"))
+    remove_dir(spark, kept)
     return groups
 
 

@@ -63,3 +63,9 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below :func:`shared_dir` for one run's tables."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`run_dir` that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
