@@ -1,6 +1,6 @@
 import random
 
-from tickloom.operators.clean import distinct_bars, last_write_wins, settle_revisions, union_bars
+from tickloom.operators.clean import distinct_bars, last_write_wins, ordering, settle_revisions, union_bars
 from tickloom.schema import empty_bars
 from tests.support import at, make_bars
 
@@ -56,6 +56,39 @@ def test_one_order_column_keeps_a_hash_aggregate(spark):
     assert "SortAggregate" not in plan and plan.count("Exchange") == 1
 
 
+PAIRS = [
+    (None, None), (None, -5), (None, 7), ("0001-01-01T00:00:00", 2**63 - 1), ("1969-12-31T23:59:59", -(2**63)),
+    ("1969-12-31T23:59:59", None), ("2024-01-01T10:00:00", 0), ("2024-01-01T10:00:00", 2**63 - 1),
+    ("2024-01-01T10:00:00.000001", -(2**63)), ("9999-12-31T23:59:59", None), ("9999-12-31T23:59:59", 1),
+]
+
+
+def ordered(spark):
+    rows = [("k", None if when is None else at(when), n, float(i)) for i, (when, n) in enumerate(PAIRS)]
+    return spark.createDataFrame(rows, "k string, t timestamp, n bigint, v double")
+
+
+def test_an_instant_and_a_number_order_like_the_pair(spark):
+    rank = ordering(["t", "n"], ordered(spark).schema)
+    by_rank = [r.v for r in ordered(spark).orderBy(rank).select("v").collect()]
+    by_pair = [r.v for r in ordered(spark).orderBy("t", "n").select("v").collect()]
+    assert by_rank == by_pair
+    assert ordered(spark).select(rank.alias("r")).distinct().where("r is not null").count() == len(PAIRS)
+
+
+def test_two_instants_order_like_the_pair(spark):
+    frame = ordered(spark).selectExpr("k", "t", "timestamp_seconds(n % 100000) u", "v")
+    by_rank = [r.v for r in frame.orderBy(ordering(["t", "u"], frame.schema), "v").select("v").collect()]
+    assert by_rank == [r.v for r in frame.orderBy("t", "u", "v").select("v").collect()]
+
+
+def test_an_instant_and_a_number_keep_a_hash_aggregate(spark):
+    frame = last_write_wins(ordered(spark), ["k"], ["t", "n"])
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
+    assert frame.select("v").first().v == 10.0
+
+
 def test_a_null_value_of_the_last_write_is_kept(spark):
     frame = spark.createDataFrame([("k", 1, 5.0), ("k", 2, None)], "k string, n int, v double")
     assert last_write_wins(frame, ["k"], ["n"]).first().v is None

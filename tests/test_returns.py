@@ -6,7 +6,9 @@ import random
 
 import pytest
 
-from tickloom.operators.returns import bar_returns, fit_grain, return_series
+from pyspark.sql import functions as F
+
+from tickloom.operators.returns import PIECE, _borders, bar_returns, in_pieces, return_series, with_seams
 from tickloom.schema import empty_bars
 from tests.support import make_bars
 
@@ -46,11 +48,12 @@ def same(a, b):
     return (math.isnan(a) and math.isnan(b)) or math.isclose(a, b, rel_tol=1e-12)
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 7])
-@pytest.mark.parametrize("grain", ["day", "hour"])
-def test_same_as_one_window_per_stock(spark, n, grain):
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 40])
+@pytest.mark.parametrize("pieces", [None, 4, 40])
+def test_same_as_one_window_per_stock(spark, n, pieces):
     rows = sample(n)
-    got = bar_returns(make_bars(spark, rows).repartition(5), n, grain, average_name="avg").collect()
+    bars = make_bars(spark, rows).repartition(5)
+    got = bar_returns(bars, n, average_name="avg", pieces=pieces).collect()
     want = expected(rows, n)
     assert len(got) == len(rows)
     for row in got:
@@ -71,8 +74,8 @@ def test_previous_row_may_be_days_before(spark):
 
 def test_missing_dates_and_stocks_form_their_own_groups(spark):
     bars = make_bars(spark, [("A", None, 2.0), ("A", "2024-01-01T10:00:00", 3.0), (None, "2024-01-01T10:00:00", 4.0)])
-    for n in (1, 3):
-        got = bar_returns(bars, n, average_name="avg").collect()
+    for n, pieces in ((1, None), (3, None), (1, 3), (3, 3)):
+        got = bar_returns(bars, n, average_name="avg", pieces=pieces).collect()
         assert sorted((str(r.date), r.close, r.prev_day_close) for r in got) == [
             ("2024-01-01 10:00:00", 3.0, 2.0), ("2024-01-01 10:00:00", 4.0, None), ("None", 2.0, None)]
 
@@ -93,18 +96,34 @@ def test_a_window_needs_a_row(spark):
         bar_returns(empty_bars(spark), 0)
 
 
-def test_bars_are_shuffled_once_by_stock_and_bucket(spark):
-    bars = make_bars(spark, sample(1))
-    plan = bar_returns(bars)._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and "SortAggregate" not in plan
-    # One exchange of the bars; two of the per-bucket aggregate behind the seams.
-    assert plan.count("Exchange hashpartitioning") == 3
+def test_bars_are_worked_out_once(spark):
+    frame = bar_returns(make_bars(spark, sample(1)), 5, pieces=4)
+    folders = {name.rsplit("/", 2)[-2] for name in frame.inputFiles()}
+    assert folders == {"pieces", "borders"}
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" not in plan and "Scan ExistingRDD" not in plan and "Cartesian" not in plan
+
+
+def test_a_hot_stock_takes_several_pieces(spark):
+    bars = make_bars(spark, [("HOT", f"2024-01-01T{i // 60:02d}:{i % 60:02d}:00", 1.0) for i in range(900)])
+    sizes = [r["count"] for r in in_pieces(bars, pieces=6).groupBy(PIECE).count().collect()]
+    assert len(sizes) == 6 and max(sizes) < 400
+
+
+@pytest.mark.parametrize("n", [5, 50, 200])
+def test_window_input_stays_below_twice_the_bars(spark, tmp_path, n):
+    rows = [(f"S{i % 7}" if i % 3 else "HOT", f"2024-01-{1 + i // 1440:02d}T{i // 60 % 24:02d}:{i % 60:02d}:00", 1.0) for i in range(6000)]
+    in_pieces(make_bars(spark, rows), pieces=8).write.parquet(f"{tmp_path}/cut")
+    cut = spark.read.parquet(f"{tmp_path}/cut")
+    back = n - 1
+    seamed = with_seams(cut, _borders(cut, back), back, ["date"])
+    assert 6000 < seamed.count() <= 6000 + 7 * back
 
 
-def test_grain_follows_density(spark):
-    rows = [("A", f"2024-01-01T{h:02d}:{m:02d}:00", 1.0) for h in range(3) for m in range(40)]
+def test_short_pieces_take_rows_from_several_before_them(spark):
+    rows = [("A", f"2024-01-01T00:{i:02d}:00", float(i)) for i in range(20)]
     bars = make_bars(spark, rows)
-    assert fit_grain(bars) == "day"
-    assert fit_grain(bars, 100) == "hour"
-    assert fit_grain(bars, 10) == "minute"
-    assert fit_grain(empty_bars(spark)) == "day"
+    got = bar_returns(bars, 6, average_name="avg", pieces=20).orderBy("date").collect()
+    assert [r.avg for r in got] == [sum(range(max(0, i - 5), i + 1)) / (i + 1 - max(0, i - 5)) for i in range(20)]
+    givers = _borders(bars.withColumn(PIECE, F.minute("date")), 5).groupBy("taker").count().collect()
+    assert {r.taker: r["count"] for r in givers} == {i: min(i, 5) for i in range(1, 20)}

@@ -20,11 +20,6 @@ def calendar_day(date: Column | str) -> Column:
     return F.to_date(column(date))
 
 
-def time_bucket(date: Column | str, grain: str) -> Column:
-    """The day, hour, minute or second an instant falls into."""
-    return calendar_day(date) if grain == "day" else F.date_trunc(grain, column(date))
-
-
 def epoch_seconds(date: Column | str) -> Column:
     """Whole seconds since 1970, the precision of the point store."""
     return F.unix_seconds(column(date).cast("timestamp"))

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.schema import BAR_FIELDS
 
@@ -25,22 +26,52 @@ def distinct_bars(bars: DataFrame) -> DataFrame:
     return bars.dropDuplicates()
 
 
-def ordering(columns: Sequence[str]) -> Column:
+_INSTANTS = (T.TimestampType, T.TimestampNTZType)
+_WHOLE = (*_INSTANTS, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def ordering(columns: Sequence[str], schema: T.StructType) -> Column:
     """One comparable value for ``columns``.
 
-    A single column is used as it is and keeps ``max_by`` a hash aggregate; several
-    become a struct, which Spark aggregates by sorting.
+    A single column is used as it is. An instant followed by another instant or a whole
+    number is packed into one decimal. Both have a fixed width, which keeps ``max_by`` a
+    hash aggregate. Anything else becomes a struct, which Spark aggregates by sorting.
     """
-    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+    if len(columns) == 1:
+        return F.col(columns[0])
+    kinds = [schema[name].dataType for name in columns]
+    if len(columns) == 2 and isinstance(kinds[0], _INSTANTS) and isinstance(kinds[1], _WHOLE):
+        return _packed(*columns, isinstance(kinds[1], _INSTANTS))
+    return F.struct(*columns)
+
+
+def _packed(first: str, second: str, second_is_instant: bool) -> Column:
+    """``first`` in microseconds times 2e19, plus ``second`` raised above zero.
+
+    Instants of the years 1 to 9999 stay below 3e17 microseconds and 64-bit numbers below
+    1e19, so neither part reaches into the other and 38 digits hold both. A null comes
+    before every value, as it does in a struct.
+    """
+
+    def micros(name: str) -> Column:
+        return F.unix_micros(F.col(name).cast("timestamp"))
+
+    def digits(value: Column) -> Column:
+        return value.cast("decimal(19,0)")
+
+    high = F.coalesce(digits(micros(first)), F.lit(-(10**18)).cast("decimal(19,0)"))
+    low = digits(micros(second) if second_is_instant else F.col(second).cast("bigint"))
+    raised = F.coalesce(low + F.expr("10000000000000000000BD"), F.expr("0BD"))
+    return (high * F.expr("20000000000000000000BD")).cast("decimal(38,0)") + raised
 
 
-def of_last(names: Sequence[str], order: Sequence[str]) -> list[Column]:
+def of_last(names: Sequence[str], order: Sequence[str], schema: T.StructType) -> list[Column]:
     """Aggregates that give, for each of ``names``, its value in the last row.
 
     ``max_by`` passes over rows whose order is null. Where a group has no others,
-    one of those rows is taken. A struct of several columns is itself never null.
+    one of those rows is taken. The order of several columns is itself never null.
     """
-    by = ordering(order)
+    by = ordering(order, schema)
     last = {name: F.max_by(name, by) for name in names}
     if len(order) == 1:
         unordered = F.max(by).isNull()
@@ -62,7 +93,7 @@ def last_write_wins(
     them. One aggregate with map-side combine, whatever the group size.
     """
     values = [name for name in rows.columns if name not in keys]
-    settled = rows.groupBy(*keys).agg(*of_last(values, order))
+    settled = rows.groupBy(*keys).agg(*of_last(values, order, rows.schema))
     return settled.select(*rows.columns)
 
 

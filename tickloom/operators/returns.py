@@ -1,11 +1,13 @@
 """Row-over-row returns and moving averages without one task per stock.
 
 A window over ``stock`` puts the whole history of a stock into one task, and one
-stock may hold a third of all rows. Here the window runs over ``(stock, bucket)``,
-a bucket being a day or finer. What the first rows of a bucket need from before it
-is small: the last few closes of the earlier buckets. Those come from an aggregate
-and join the bucket as extra *seam* rows through a union, so there is no join and
-the bars themselves are shuffled once.
+stock may hold a third of all rows. Here the bars are first cut into *pieces*, ranges of
+``(stock, date)`` of like size, and written: a long history takes several pieces, short
+ones share one. The window then runs per piece and stock. What a piece needs from before
+it is small: the last few closes of a stock that began in an earlier piece. They join
+it as extra *seam* rows through a union. As pieces are ranges, a border between two of
+them cuts at most one stock, so a run has at most ``rows averaged * pieces`` seam rows,
+however dense the bars are and whatever calendar they keep.
 """
 
 from __future__ import annotations
@@ -15,20 +17,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalar import simple_return, time_bucket
-from tickloom.operators.clean import of_last
+from tickloom.functions.scalar import simple_return
+from tickloom.session import run_dir
 
-_BUCKET = "_bucket"
+PIECE = "_piece"
 _SEAM = "_seam"
-GRAINS = ("day", "hour", "minute", "second")
 
 
 def bar_returns(
     bars: DataFrame,
     moving_rows: int = 1,
-    grain: str = "day",
     order: Sequence[str] = ("date",),
     average_name: str | None = None,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Add ``prev_day_close``, ``daily_return`` and a moving average of the close.
 
@@ -37,24 +38,51 @@ def bar_returns(
     gives the close itself. The average is called ``moving_avg_<n>d`` unless named.
 
     Settle revisions first, so that a stock has one bar per instant; otherwise pass
-    further columns in ``order`` to break ties.
+    further columns in ``order`` to break ties. The bars are worked out once and
+    written to the shared folder, in ``pieces`` or as many as their size calls for.
+    """
+    folder = run_dir(bars.sparkSession, "returns")
+    cut = _written(in_pieces(bars, order, pieces), f"{folder}/pieces")
+    return returns_of_pieces(cut, f"{folder}/borders", moving_rows, order, average_name)
+
+
+def in_pieces(bars: DataFrame, order: Sequence[str] = ("date",), pieces: int | None = None) -> DataFrame:
+    """Bars with the number of their piece; to be written before they are used."""
+    ranges = ["stock", *order]
+    cut = bars.repartitionByRange(pieces, *ranges) if pieces else bars.repartitionByRange(*ranges)
+    return cut.withColumn(PIECE, F.spark_partition_id())
+
+
+def returns_of_pieces(
+    cut: DataFrame,
+    borders_path: str,
+    moving_rows: int = 1,
+    order: Sequence[str] = ("date",),
+    average_name: str | None = None,
+) -> DataFrame:
+    """:func:`bar_returns` over a written table of :func:`in_pieces`.
+
+    ``borders_path`` is a new folder for the list of borders that cut a stock.
     """
     if moving_rows < 1:
         raise ValueError("a moving average needs at least one row")
     average_name = average_name or f"moving_avg_{moving_rows}d"
-    seamed = _with_seams(bars, max(1, moving_rows - 1), grain, order)
-    window = Window.partitionBy("stock", _BUCKET).orderBy(*order)
+    back = max(1, moving_rows - 1)
+    borders = _written(_borders(cut, back), borders_path)
+    window = Window.partitionBy(PIECE, "stock").orderBy(*order)
     if moving_rows == 1:
         average = F.col("close").cast("double")
     else:
         average = F.avg("close").over(window.rowsBetween(1 - moving_rows, 0))
+    kept = [name for name in cut.columns if name != PIECE]
     return (
-        seamed.withColumns(
+        with_seams(cut, borders, back, order)
+        .withColumns(
             {"prev_day_close": F.lag("close").over(window), average_name: average}
         )
         .where(~F.col(_SEAM))
         .withColumn("daily_return", simple_return("close", "prev_day_close"))
-        .select(*bars.columns, "prev_day_close", "daily_return", average_name)
+        .select(*kept, "prev_day_close", "daily_return", average_name)
     )
 
 
@@ -63,72 +91,62 @@ def return_series(returns: DataFrame) -> DataFrame:
     return returns.select("stock", "date", "daily_return", "moving_avg_1d")
 
 
-def fit_grain(bars: DataFrame, max_rows: int = 1_000_000) -> str:
-    """The coarsest grain at which no ``(stock, bucket)`` exceeds ``max_rows``.
+def with_seams(cut: DataFrame, borders: DataFrame, back: int, order: Sequence[str]) -> DataFrame:
+    """Bars and, ahead of each cut stock's rows in a piece, the ``back`` rows before them.
 
-    One bar a second makes 86,400 rows a day, so ``day`` nearly always fits; use
-    this on data of unknown density. Each try is one narrow, combining aggregate.
+    Only the last rows of a piece are shuffled: the rank limit is applied before the
+    exchange as well as after it.
     """
-    for grain in GRAINS[:-1]:
-        sizes = bars.groupBy("stock", time_bucket("date", grain).alias(_BUCKET)).count()
-        if (sizes.agg(F.max("count")).first()[0] or 0) <= max_rows:
-            return grain
-    return GRAINS[-1]
-
-
-def _with_seams(
-    bars: DataFrame, back: int, grain: str, order: Sequence[str]
-) -> DataFrame:
-    """Bars with their bucket, plus up to ``back`` earlier rows ahead of each bucket."""
-    bucketed = bars.withColumn(_BUCKET, time_bucket("date", grain))
-    tail_columns = list(dict.fromkeys(["stock", _BUCKET, *order, "close"]))
-    slim = bucketed.select(*tail_columns)
-    if back == 1:
-        seams = _last_row_seams(slim, order)
-    else:
-        seams = _last_rows_seams(slim, back, order)
-    return bucketed.withColumn(_SEAM, F.lit(False)).unionByName(
+    slim = cut.select(*dict.fromkeys(["stock", PIECE, *order, "close"]))
+    giving = F.col("b.stock").eqNullSafe(F.col("s.stock")) & (F.col("giver") == F.col(f"s.{PIECE}"))
+    newest_first = Window.partitionBy("stock", PIECE).orderBy(
+        *[F.col(name).desc() for name in order]
+    )
+    givers = borders.select("stock", "giver").distinct().alias("b")
+    ends = (
+        slim.alias("s")
+        .join(givers, giving, "left_semi")
+        .withColumn("_from_end", F.row_number().over(newest_first))
+        .where(F.col("_from_end") <= back)
+    )
+    seams = (
+        ends.alias("s")
+        .join(borders.alias("b"), giving & (F.col("_from_end") + F.col("gap") <= back))
+        .select(
+            "s.stock",
+            F.col("taker").alias(PIECE),
+            *[f"s.{name}" for name in slim.columns if name not in ("stock", PIECE)],
+        )
+    )
+    return cut.withColumn(_SEAM, F.lit(False)).unionByName(
         seams.withColumn(_SEAM, F.lit(True)), allowMissingColumns=True
     )
 
 
-def _last_row_seams(slim: DataFrame, order: Sequence[str]) -> DataFrame:
-    """One seam row per bucket: the last row of the bucket before it."""
-    carried = [name for name in slim.columns if name not in ("stock", _BUCKET)]
-    last = slim.groupBy("stock", _BUCKET).agg(*of_last(carried, order))
-    buckets = Window.partitionBy("stock").orderBy(_BUCKET)
-    return last.select(
-        "stock",
-        _BUCKET,
-        F.row_number().over(buckets).alias("_position"),
-        *[F.lag(name).over(buckets).alias(name) for name in carried],
-    ).where("_position > 1").drop("_position")
-
-
-def _last_rows_seams(slim: DataFrame, back: int, order: Sequence[str]) -> DataFrame:
-    """Up to ``back`` seam rows per bucket, from as many earlier buckets as it takes.
+def _borders(cut: DataFrame, back: int) -> DataFrame:
+    """For each cut of a stock, the pieces that hold the ``back`` rows before it.
 
-    Only the last ``back`` rows of each bucket are shuffled: the rank limit is
-    applied before the exchange as well as after it.
+    ``taker`` is the piece after the cut, ``giver`` one before it, and ``gap`` the rows
+    of the stock between them: none for neighbours. A giver further off is named only
+    where the pieces between hold fewer than ``back`` rows of the stock.
     """
-    carried = [name for name in slim.columns if name not in ("stock", _BUCKET)]
-    newest_first = Window.partitionBy("stock", _BUCKET).orderBy(
-        *[F.col(name).desc() for name in order]
-    )
-    tails = slim.withColumn("_from_end", F.row_number().over(newest_first)).where(
-        F.col("_from_end") <= back
-    )
-    history = Window.partitionBy("stock").orderBy(_BUCKET, F.desc("_from_end"))
-    context = tails.select(
+    sizes = cut.groupBy("stock", PIECE).count()
+    history = Window.partitionBy("stock").orderBy(PIECE)
+    ends = sizes.select(
         "stock",
-        _BUCKET,
-        F.row_number().over(history).alias("_position"),
-        F.lag(_BUCKET).over(history).alias("_bucket_before"),
-        F.collect_list(F.struct(*carried))
-        .over(history.rowsBetween(-back, -1))
-        .alias("_before"),
-    )
-    opens_bucket = (F.col("_position") > 1) & ~F.col(_BUCKET).eqNullSafe(
-        F.col("_bucket_before")
+        PIECE,
+        F.lead(PIECE).over(history).alias("taker"),
+        F.sum("count").over(history).alias("end"),
+    ).where("taker is not null")
+    near = Window.partitionBy("stock").orderBy("end").rangeBetween(1 - back, 0)
+    given = F.collect_list(F.struct(F.col(PIECE).alias("giver"), F.col("end").alias("giver_end")))
+    return (
+        ends.select("stock", "taker", "end", given.over(near).alias("givers"))
+        .select("stock", "taker", "end", F.inline("givers"))
+        .select("stock", "taker", "giver", (F.col("end") - F.col("giver_end")).alias("gap"))
     )
-    return context.where(opens_bucket).select("stock", _BUCKET, F.inline("_before"))
+
+
+def _written(frame: DataFrame, path: str) -> DataFrame:
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

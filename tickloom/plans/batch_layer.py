@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.clean import settle_revisions
 from tickloom.operators.cluster import Clustering, cluster_stocks
 from tickloom.operators.decode import accepted, rejected
-from tickloom.operators.returns import bar_returns, fit_grain, return_series
+from tickloom.operators.returns import in_pieces, return_series, returns_of_pieces
 from tickloom.operators.stats import daily_prices, market_breadth, stock_summary
 from tickloom.schema import BAR_FIELDS, VALUE_FIELDS
 from tickloom.session import remove_dir, run_dir
@@ -35,7 +35,7 @@ def run_batch_layer(
     end these tables go; after a failure they stay for inspection.
 
     The summary takes every distinct bar, re-sent revisions among them; what depends
-    on the order of bars takes settled ones, one per instant. Nothing is sorted.
+    on the order of bars takes settled ones, one per instant, stored in ranges of stock and date.
     """
     kept = run_dir(spark, "batch")
     decoded = stored(without_good_text(scan_archive(spark, archive, whole_files, compacted=compacted)), f"{kept}/decoded")
@@ -43,13 +43,15 @@ def run_batch_layer(
     ingested = F.max("ingest_ts").alias("ingest_ts")
     distinct = accepted(decoded, "ingest_ts").groupBy(*BAR_FIELDS).agg(ingested)
     bars = stored(distinct, f"{kept}/bars")
-    settled = stored(settle_revisions(bars, ["ingest_ts", *VALUE_FIELDS]), f"{kept}/settled")
+    # Bars ingested at one instant come in an arbitrary order, but the same in every run.
+    ranked = bars.withColumn("tie", F.xxhash64(*VALUE_FIELDS))
+    settled = stored(in_pieces(settle_revisions(ranked, ["ingest_ts", "tie"])), f"{kept}/settled")
 
     def result(name: str, frame: DataFrame) -> DataFrame:
         return stored(frame, result_path(target, name, run_id), fmt)
 
     summary = result("stock_summary", stock_summary(bars))
-    result("return_series", return_series(bar_returns(settled, grain=fit_grain(settled))))
+    result("return_series", return_series(returns_of_pieces(settled, f"{kept}/borders")))
     daily = result("daily_prices", daily_prices(settled))
     result("market_breadth", market_breadth(daily))
     groups = cluster_stocks(summary, k=k)

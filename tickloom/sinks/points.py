@@ -28,10 +28,14 @@ Send = Callable[[bytes], None]
 
 
 def settle_points(bars: DataFrame, order: Sequence[str]) -> DataFrame:
-    """One bar per point identity, stock and second: the last in ``order``, then time."""
+    """One bar per point identity, stock and second: the last in ``order``.
+
+    Where that is a single column, the later bar wins among those it puts level.
+    """
     second = F.date_trunc("second", F.col("date").cast("timestamp"))
     keyed = bars.withColumn("time", second)
-    order = list(dict.fromkeys([*order, "date"]))
+    if len(order) == 1:
+        order = list(dict.fromkeys([*order, "date"]))
     return last_write_wins(keyed, ["stock", "time"], order)
 
 

@@ -27,7 +27,7 @@ def bars_from_ticks(
     reaches the shuffle as at most one row per bucket and map task. Where a key has
     several ticks at one instant, the columns ``ties`` say which is first and last.
     """
-    by = ordering([time, *ties])
+    by = ordering([time, *ties], ticks.schema)
     bucket = F.date_trunc(grain, F.col(time)).cast(ticks.schema[time].dataType)
     bars = ticks.groupBy(F.col(key).alias("_key"), bucket.alias("date")).agg(
         F.min_by(value, by).alias("open"),
