@@ -152,6 +152,13 @@ def moving_avg_5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(returns.select("stock", "date", "moving_avg"), MEAN_DECIMALS, "moving_avg")
 
 
+@query
+def moving_avg_50(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moving average over fifty rows, more than a piece may hold of a stock."""
+    returns = bar_returns(event_bars(spark, sf_dir), 50, average_name="moving_avg")
+    return rounded(returns.select("stock", "date", "moving_avg"), MEAN_DECIMALS, "moving_avg")
+
+
 @query
 def daily_prices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First open, last close and direction per stock and day."""
@@ -184,15 +191,18 @@ def dedup_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def revised_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each tick re-sends its hour's bar; the one ingested last stays."""
-    ticks = events_table(spark, sf_dir)
-    resent = ticks.select(
+    return settle_revisions(resent_bars(spark, sf_dir))
+
+
+def resent_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bar per tick: the tick's hour, sent again with the tick's values."""
+    return events_table(spark, sf_dir).select(
         F.concat(F.lit("S"), F.col("user_id")).alias("stock"),
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("date"),
         *[F.col("value").alias(name) for name in VALUE_FIELDS[:-1]],
         F.col("event_id").cast("double").alias("volume"),
         F.col("ts").alias("ingest_ts"),
     )
-    return settle_revisions(resent)
 
 
 @query
@@ -401,6 +411,42 @@ def batch_layer_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_result(spark, target, "market_breadth", "run")
 
 
+def layer_result(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One result of the batch layer over an archive of bars that were sent again."""
+    archive, target = run_dir(spark, "archive"), run_dir(spark, "results")
+    write_archive(resent_bars(spark, sf_dir), archive, spread=True)
+    run_batch_layer(spark, archive, target, "run")
+    return read_result(spark, target, name, "run")
+
+
+@query
+def batch_layer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layer's summary, of every revision."""
+    return rounded_summary(layer_result(spark, sf_dir, "stock_summary"))
+
+
+@query
+def batch_layer_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layer's return series, of settled bars."""
+    return zoneless(layer_result(spark, sf_dir, "return_series"))
+
+
+@query
+def batch_layer_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layer's daily prices, of settled bars."""
+    return layer_result(spark, sf_dir, "daily_prices")
+
+
+@query
+def batch_layer_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layer's dead letters by reason, over texts some of which are broken."""
+    archive, target = run_dir(spark, "archive"), run_dir(spark, "results")
+    tick_messages(spark, sf_dir).select("value").write.text(archive)
+    run_batch_layer(spark, archive, target, "run")
+    rejects = read_result(spark, target, "rejects", "run")
+    return rejects.groupBy("reject_reason").agg(F.count("value").alias("texts"))
+
+
 @query
 def batch_layer_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch layer over a compacted archive; its breadth."""

@@ -48,6 +48,21 @@ universe AS (
   FROM events
 )"""
 
+RESENT = """
+bars AS (
+  SELECT 'S' || user_id AS stock, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS date,
+         value AS open, value AS high, value AS low, value AS close,
+         CAST(event_id AS DOUBLE) AS volume
+  FROM events
+)"""
+
+SETTLED = """
+bars AS (
+  SELECT 'S' || user_id AS stock, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS date,
+         arg_max(value, ts) AS open, arg_max(value, ts) AS close
+  FROM events GROUP BY 1, 2
+)"""
+
 LINE = """'stock-price-v1,stock=' || stock || ' open=' || CAST(open AS VARCHAR)
        || ',high=' || CAST(high AS VARCHAR) || ',low=' || CAST(low AS VARCHAR)
        || ',close=' || CAST(close AS VARCHAR) || ',volume=' || CAST(volume AS VARCHAR)
@@ -105,6 +120,11 @@ SQL: dict[str, str] = {
         SELECT stock, date, round(avg(close) OVER (PARTITION BY stock ORDER BY date
                  ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 10) AS moving_avg
         FROM bars""",
+    "moving_avg_50": f"""
+        WITH {BARS}
+        SELECT stock, date, round(avg(close) OVER (PARTITION BY stock ORDER BY date
+                 ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 10) AS moving_avg
+        FROM bars""",
     "daily_prices": f"WITH {BARS}, {DAILY} SELECT * FROM moves",
     "market_breadth": BREADTH,
     "union_bars": f"WITH {BARS} SELECT * FROM bars UNION ALL SELECT * FROM bars",
@@ -160,6 +180,18 @@ SQL: dict[str, str] = {
     "results_sink_json": STATS,
     "batch_layer_breadth": BREADTH,
     "batch_layer_compacted": BREADTH,
+    "batch_layer_summary": f"WITH {RESENT} {STATS_SELECT}",
+    "batch_layer_returns": f"""
+        WITH {SETTLED}, {WITH_PREVIOUS}
+        SELECT stock, date,
+               (close - prev_day_close) / nullif(prev_day_close, 0) AS daily_return,
+               close AS moving_avg_1d
+        FROM prev""",
+    "batch_layer_daily": f"WITH {SETTLED}, {DAILY} SELECT * FROM moves",
+    "batch_layer_rejects": f"""
+        WITH {TICKS}
+        SELECT {REASON} AS reject_reason, count(*) AS texts
+        FROM ticks WHERE event_type <> 'click' GROUP BY 1""",
     "sorted_bars": f"WITH {BARS} SELECT * FROM bars ORDER BY stock, date",
     "sorted_preview": f"WITH {BARS} SELECT * FROM bars ORDER BY stock, date LIMIT 20",
     "topic_replay": f"WITH {BARS} SELECT stock AS key, {JSON} AS value FROM bars",
