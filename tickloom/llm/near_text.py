@@ -190,10 +190,12 @@ def _joining(percent: int):
 def _first_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of the first members of every bucket with those after them."""
     first = members.where(F.col("turn") < HUBS).select(
-        "band", *(F.col(c).alias(f"hub_{c}") for c in ("rep", "turn", "n_shingles"))
+        "band",
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        *(F.col(c).alias(f"hub_{c}") for c in ("rep", "turn", "n_shingles")),
     )
     return (
-        members.join(first, "band")
+        members.join(first, ["band", "part"])
         .where("turn > hub_turn or turn = hub_turn and rep > hub_rep")
         .where(f"least(n_shingles, hub_n_shingles) * 100 >= greatest(n_shingles, hub_n_shingles) * {percent}")
         .select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b"))
@@ -208,15 +210,18 @@ def _other_links(spark: SparkSession, members: DataFrame, found: DataFrame, sets
     rest = written(spark, rest.withColumn("component", F.coalesce("component", "rep")), "rest")
     by_band = rest.groupBy("band").agg(
         F.count("*").alias("n"),
+        F.max("parts").alias("parts"),
         F.sum("n_shingles").alias("weight"),
         F.min("component").alias("least"),
         F.max("component").alias("most"),
     )
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK_MEMBERS, F.col("weight") / BLOCK_SHINGLES)).cast("int")
-    by_band = by_band.where("least != most").select("band", blocks.alias("blocks"))
+    by_band = by_band.where("least != most").select(
+        "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), blocks.alias("blocks")
+    )
     block = F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int")
     placed = (
-        rest.join(by_band, "band")
+        rest.join(by_band, ["band", "part"])
         .withColumn("block", block)
         .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         .select("band", "rep", "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
@@ -263,7 +268,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     banded = banded.distinct()
     crowded = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     turn = F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(1 << 30)) / float(1 << 30) * F.col("n")
-    members = written(spark, banded.join(crowded, "band").withColumn("turn", turn).drop("n"), "members")
+    # Joins by band go by part of the bucket as well, so that no task has a whole large one.
+    parts = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
+    part = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")).cast("int")
+    members = banded.join(crowded, "band").withColumns({"turn": turn, "parts": parts}).withColumn("part", part)
+    members = written(spark, members.drop("n"), "members")
     needed = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = written(
         spark,
