@@ -215,6 +215,34 @@ def test_languages_are_told_apart(spark, odd):
     assert len(kept) == 200 and all(r["lang"] in words for r in kept)
 
 
+def test_languages_of_long_texts_only_are_learned(spark, monkeypatch):
+    """Every labelled text is beyond an eighth of the sample; so is all text of one language."""
+    vowels = {"aa": "ae", "bb": "iou"}
+    rows = []
+    for i in range(12):
+        lang, source = ("aa", "bb")[i % 2], random.Random(i)
+        text = " ".join("".join(source.choice("bcdfg") + source.choice(vowels[lang]) for _ in range(3)) for _ in range(20_000))
+        rows.append((i, lang, text))
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    trees = langid.train(spark, docs, sample_bytes=100_000)
+    assert trees.languages == ["aa", "bb"]
+    short = spark.createDataFrame([(1, "baceda baceda"), (2, "bicodu gofudi")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.identify(spark, short, trees).collect()} == {1: "aa", 2: "bb"}
+    # The sample stays bounded: some 100,000 bytes of either language, in words of 7.
+    counted = Counter()
+    monkeypatch.setattr(langid, "Trees", lambda table: [counted.update({lang: n}) for lang, _, n in table])
+    langid.train(spark, docs, sample_bytes=100_000)
+    assert all(8_000 < counted[lang] < 21_000 for lang in vowels)
+
+
+def test_texts_with_letters_stay_when_no_language_was_learned(spark):
+    rows = [(1, None, "some words"), (2, "en", "more words"), (3, None, "12 34"), (4, None, None), (5, None, "été")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    trees = langid.train(spark, docs.where("lang is null"))
+    kept = {r["doc_id"]: r["lang"] for r in langid.accepted(spark, docs, trees).collect()}
+    assert kept == {1: None, 2: "en", 5: None}
+
+
 def by_patterns(text: str) -> list[tuple[int, int, int]]:
     found = [(0, m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     found += [(1, m) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if max(map(int, m.group().split("."))) <= 255]

@@ -19,8 +19,10 @@ from tickloom.llm.ragged import U64, Hasher, Remembered, flat, gather, mix, piec
 
 #: Longest context in bytes.
 ORDER = 4
-#: Bytes of training text per language: a bounded, hash-chosen sample of whole texts.
+#: Bytes of training text per language: a bounded, hash-chosen sample of all its texts.
 SAMPLE_BYTES = 600_000
+#: A text over an eighth of the sample is drawn by pieces of so many bytes.
+DRAWN_BYTES = 4096
 #: Languages learned: those with the most training text.
 MOST_LANGUAGES = 64
 #: Words, and windows of bytes, whose costs a task remembers between batches.
@@ -127,11 +129,20 @@ class Trees:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of the drawn texts, or of the drawn pieces of a text that is ``cut``."""
     hasher = Hasher()
     for batch in pieces(batches, "text"):
         langs, which = np.unique(np.array(batch.column("lang").to_pylist(), object), return_inverse=True)
         data, offsets = flat(batch.column("text"))
         starts, ends, rows = words(data, offsets)
+        cut = batch.column("cut").to_numpy(zero_copy_only=False)
+        if cut.any():
+            # A word goes with the piece that it starts in.
+            piece = ((starts - offsets[rows]) // DRAWN_BYTES).astype(U64)
+            seed = batch.column("seed").to_numpy().view(U64)
+            draw = (mix(mix(seed[rows]) + piece) >> U64(34)) / float(1 << 30)
+            drawn = ~cut[rows] | (draw < batch.column("share").to_numpy()[rows])
+            starts, ends, rows = starts[drawn], ends[drawn], rows[drawn]
         keys = hasher(data, starts, ends) ^ mix(which[rows].astype(U64) + U64(7))
         _, first, counts = np.unique(keys, return_index=True, return_counts=True)
         folded = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
@@ -149,12 +160,13 @@ def train(spark: SparkSession, docs: DataFrame, sample_bytes: int = SAMPLE_BYTES
     """Trees of the languages in ``docs (doc_id, text, lang)``; null ones teach nothing.
 
     A classifier is fit on a sample, bounded by ``sample_bytes`` of text per language
-    (in expectation; whole texts, chosen by a hash of text and id) for at most
-    ``MOST_LANGUAGES`` languages. A text over an eighth of the bound is not drawn.
+    (in expectation, chosen by a hash of text and id) for at most ``MOST_LANGUAGES``
+    languages. It is drawn from all texts: as a whole, or by pieces of ``DRAWN_BYTES``
+    spread over the text if that is over an eighth of the bound.
     """
     usable = docs.where("text is not null and lang is not null").select(
-        "doc_id", "text", "lang", F.octet_length("text").alias("size")
-    ).where(F.col("size") <= sample_bytes // 8)
+        "text", "lang", F.octet_length("text").alias("size"), F.xxhash64("doc_id", "text").alias("seed")
+    )
     totals = usable.groupBy("lang").agg(F.sum("size").alias("total"))
     shares = totals.orderBy(F.desc("total"), "lang").limit(MOST_LANGUAGES).collect()
     if not shares:
@@ -162,8 +174,9 @@ def train(spark: SparkSession, docs: DataFrame, sample_bytes: int = SAMPLE_BYTES
     share = F.coalesce(
         *[F.when(F.col("lang") == row["lang"], F.lit(min(1.0, sample_bytes / max(row["total"], 1)))) for row in shares]
     )
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = usable.where(draw < share).select("text", "lang")
+    draw = F.pmod("seed", F.lit(1 << 30)) / float(1 << 30)
+    usable = usable.withColumns({"share": share, "cut": F.col("size") > sample_bytes // 8})
+    sample = usable.where(F.col("share").isNotNull() & (F.col("cut") | (draw < F.col("share")))).drop("size")
     counted = sample.mapInArrow(_word_counts, "lang string, word string, n long")
     table = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
     return Trees(sorted(zip(*(table.column(c).to_pylist() for c in ("lang", "word", "n")))))
@@ -226,7 +239,11 @@ def _predicted(shared):
 def _accepted(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = Predictor(shared.value)
+        learned = bool(shared.value.languages)
         for batch in pieces(batches, "text"):
+            if not learned:
+                yield batch.filter(pa.array(_has_letter(*flat(batch.column("text")))))
+                continue
             langs, _ = predict(batch.column("text"))
             at = batch.schema.get_field_index("lang")
             stated = batch.column("lang")
@@ -252,6 +269,7 @@ def identify(spark: SparkSession, docs: DataFrame, trees: Trees) -> DataFrame:
 def accepted(spark: SparkSession, docs: DataFrame, trees: Trees) -> DataFrame:
     """The rows of ``docs`` whose text is in a language, ``lang`` filled in where null.
 
-    Texts that get ``und`` are left out; a stated language is never changed.
+    Texts that get ``und`` are left out; a stated language is never changed. If no
+    language was learned, all texts that hold a letter stay, ``lang`` as it is.
     """
     return docs.mapInArrow(_accepted(spark.sparkContext.broadcast(trees)), docs.schema)
