@@ -8,6 +8,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -235,6 +237,23 @@ def test_languages_of_long_texts_only_are_learned(spark, monkeypatch):
     assert all(8_000 < counted[lang] < 21_000 for lang in vowels)
 
 
+def test_more_than_64_languages_are_learned(spark, monkeypatch):
+    names = [f"l{i:02}" for i in range(90)]
+    words = {lang: prose(7000 + i, 12) for i, lang in enumerate(names)}
+    # The later a language, the less text it has.
+    rows = [(lang, " ".join(words[lang] * (1 + (90 - i) // 9))) for i, lang in enumerate(names) for _ in range(3)]
+    docs = spark.createDataFrame([(k, *row) for k, row in enumerate(rows)], "doc_id long, lang string, text string")
+    trees = langid.train(spark, docs)
+    assert trees.languages == names
+    got = langid.identify(spark, docs, trees).join(docs, "doc_id").collect()
+    assert len(got) == 270 and all(r["lang_pred"] == r["lang"] for r in got)
+    text = pa.array([r[1] for r in rows])
+    langs, scores = langid.Predictor(trees)(text)
+    monkeypatch.setattr(langid, "AT_ONCE", 900)
+    by_parts = langid.Predictor(trees)(text)
+    assert list(langs) == list(by_parts[0]) and np.allclose(scores, by_parts[1])
+
+
 def test_texts_with_letters_stay_when_no_language_was_learned(spark):
     rows = [(1, None, "some words"), (2, "en", "more words"), (3, None, "12 34"), (4, None, None), (5, None, "été")]
     docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")

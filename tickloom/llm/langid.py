@@ -8,7 +8,8 @@ code length under each language is the exact sum of those of its words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +24,9 @@ ORDER = 4
 SAMPLE_BYTES = 600_000
 #: A text over an eighth of the sample is drawn by pieces of so many bytes.
 DRAWN_BYTES = 4096
-#: Languages learned: those with the most training text.
-MOST_LANGUAGES = 64
-#: Words, and windows of bytes, whose costs a task remembers between batches.
-REMEMBERED = 1 << 19
+#: Costs of words, and of windows of bytes, that a task remembers between batches, one
+#: for each language; and how many it works out at once.
+REMEMBERED, AT_ONCE = 1 << 21, 1 << 22
 UNKNOWN = "und"
 
 
@@ -55,32 +55,56 @@ def _contexts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
         yield at, mix(node), mix((node << U64(8) | node >> U64(56)) ^ mix(wide[at]))
 
 
-class Trees:
-    """Frozen statistics of all languages, as sorted keys with a row of bits each."""
+class Sparse:
+    """Values by 64-bit key and column, of which few are there; sorted by both."""
 
-    def __init__(self, table: list[tuple[str, str, int]]):
-        self.languages = sorted({lang for lang, _, _ in table})
-        n_langs = len(self.languages)
-        number = {lang: i for i, lang in enumerate(self.languages)}
-        encoded = [w.encode("utf-8") for _, w, _ in table]
-        offsets = np.concatenate(([0], np.cumsum([len(w) for w in encoded]))).astype(np.int64)
-        data, offsets = _padded(np.frombuffer(b"".join(encoded), np.uint8), offsets)
-        lang = np.repeat([number[x] for x, _, _ in table], np.diff(offsets))
-        weight = np.repeat([n for _, _, n in table], np.diff(offsets)).astype(float)
-        self.levels = []
-        for at, nodes, symbols in _contexts(data, offsets) if table else ():
-            node_keys, node_of = np.unique(nodes, return_inverse=True)
-            symbol_keys, first, symbol_of = np.unique(symbols, return_index=True, return_inverse=True)
-            counts = np.bincount(symbol_of * n_langs + lang[at], weight[at], len(symbol_keys) * n_langs)
-            counts = counts.reshape(-1, n_langs)
-            parent = node_of[first]
-            totals, kinds = np.zeros((len(node_keys), n_langs)), np.zeros((len(node_keys), n_langs))
-            np.add.at(totals, parent, counts)
-            np.add.at(kinds, parent, counts > 0)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                bits = -np.log2(counts / (totals + kinds)[parent])
-                escape = np.where(totals > 0, -np.log2(kinds / (totals + kinds)), 0.0)
-            self.levels.append((node_keys, escape.astype(np.float32), symbol_keys, bits.astype(np.float32)))
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]]):
+        """One pair of distinct keys and values for each column."""
+        keys = np.concatenate([k for k, _ in parts])
+        order = np.argsort(keys, kind="stable")
+        self.keys, first = np.unique(keys[order], return_index=True)
+        self.first = np.append(first, len(keys))
+        self.n_columns = len(parts)
+        self.column = np.repeat(np.arange(self.n_columns, dtype=np.int32), [len(k) for k, _ in parts])[order]
+        self.value = np.concatenate([v for _, v in parts])[order]
+
+    def rows(self, keys: np.ndarray, absent: float) -> np.ndarray:
+        """The values of all columns for each key, ``absent`` where there is none."""
+        out = np.full((len(keys), self.n_columns), absent, np.float32)
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        row = np.flatnonzero(self.keys[place] == keys)
+        place = place[row]
+        sizes = self.first[place + 1] - self.first[place]
+        at = np.arange(sizes.sum()) + np.repeat(self.first[place] - np.cumsum(sizes) + sizes, sizes)
+        out[np.repeat(row, sizes), self.column[at]] = self.value[at]
+        return out
+
+
+class Trees:
+    """Frozen statistics of all languages: per level the bits of escapes and of symbols."""
+
+    def __init__(self, table: Iterable[tuple[str, str, int]]):
+        """From language, word and count, in the order of the languages."""
+        self.languages = []
+        levels = [([], []) for _ in range(ORDER + 1)]
+        for lang, rows in groupby(table, lambda row: row[0]):
+            self.languages.append(lang)
+            found, counts = zip(*((word.encode("utf-8"), n) for _, word, n in rows))
+            offsets = np.concatenate(([0], np.cumsum([len(w) for w in found]))).astype(np.int64)
+            data, offsets = _padded(np.frombuffer(b"".join(found), np.uint8), offsets)
+            weight = np.repeat(counts, np.diff(offsets)).astype(float)
+            for level, (at, nodes, symbols) in zip(levels, _contexts(data, offsets)):
+                node_keys, node_of = np.unique(nodes, return_inverse=True)
+                symbol_keys, first, symbol_of = np.unique(symbols, return_index=True, return_inverse=True)
+                seen = np.bincount(symbol_of, weight[at], len(symbol_keys))
+                parent = node_of[first]
+                totals = np.bincount(parent, seen, len(node_keys))
+                kinds = np.bincount(parent, minlength=len(node_keys))
+                bits = -np.log2(seen / (totals + kinds)[parent])
+                escape = -np.log2(kinds / (totals + kinds))
+                level[0].append((node_keys, escape.astype(np.float32)))
+                level[1].append((symbol_keys, bits.astype(np.float32)))
+        self.levels = [(Sparse(escapes), Sparse(bits)) for escapes, bits in levels if escapes]
 
     def window_bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The code length of each ragged row's last byte after those before it."""
@@ -89,14 +113,12 @@ class Trees:
         cost = np.zeros((len(last), n_langs), np.float32)
         pending = np.ones((len(last), n_langs), bool)
         levels = [*zip(_contexts(data, offsets), self.levels)]
-        for (at, nodes, symbols), (node_keys, escape, symbol_keys, bits) in reversed(levels):
+        for (at, nodes, symbols), (escape, symbol_bits) in reversed(levels):
             row = np.searchsorted(last, at)
             mine = (last[row] == at) & pending[row].any(axis=1)
             row, nodes, symbols = row[mine], nodes[mine], symbols[mine]
-            place = np.minimum(np.searchsorted(symbol_keys, symbols), len(symbol_keys) - 1)
-            coded = np.where((symbol_keys[place] == symbols)[:, None], bits[place], np.inf)
-            place = np.minimum(np.searchsorted(node_keys, nodes), len(node_keys) - 1)
-            escaped = np.where((node_keys[place] == nodes)[:, None], escape[place], 0)
+            coded = symbol_bits.rows(symbols, np.inf)
+            escaped = escape.rows(nodes, 0)
             seen = np.isfinite(coded)
             cost[row] += np.where(pending[row], np.where(seen, coded, escaped), 0)
             pending[row] &= ~seen
@@ -114,18 +136,24 @@ class Trees:
         window = wide.copy()
         for back in range(1, ORDER + 1):
             window[back:] |= np.where(inside[back:] >= back, wide[:-back], U64(0)) << U64(9 * back)
-        at = np.flatnonzero(inside > 0)
-        keys, first, which = np.unique(mix(window[at]), return_index=True, return_inverse=True)
-
-        def coded(fresh: np.ndarray) -> np.ndarray:
-            end = at[first[fresh]] + 1
-            start = end - 1 - np.minimum(inside[end - 1], ORDER)
-            return self.window_bits(*gather(data, start, end))
-
-        cost = remembered.get(keys, coded)[which]
-        sums = np.concatenate((np.zeros((1, cost.shape[1])), np.cumsum(cost, axis=0, dtype=np.float64)))
-        edges = offsets - np.arange(len(offsets))
-        return sums[edges[1:]] - sums[edges[:-1]]
+        coded_at = np.flatnonzero(inside > 0)
+        word_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets) - 1)
+        total = np.zeros((len(offsets) - 1, len(self.languages)))
+        step = max(1, AT_ONCE // max(1, len(self.languages)))
+        for lo in range(0, len(coded_at), step):
+            at, word = coded_at[lo : lo + step], word_of[lo : lo + step]
+            keys, first, which = np.unique(mix(window[at]), return_index=True, return_inverse=True)
+
+            def coded(fresh: np.ndarray) -> np.ndarray:
+                end = at[first[fresh]] + 1
+                start = end - 1 - np.minimum(inside[end - 1], ORDER)
+                return self.window_bits(*gather(data, start, end))
+
+            cost = remembered.get(keys, coded)[which]
+            sums = np.concatenate((np.zeros((1, cost.shape[1])), np.cumsum(cost, axis=0, dtype=np.float64)))
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(word)) + 1, [len(word)]))
+            total[word[edges[:-1]]] += sums[edges[1:]] - sums[edges[:-1]]
+        return total
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,26 +188,21 @@ def train(spark: SparkSession, docs: DataFrame, sample_bytes: int = SAMPLE_BYTES
     """Trees of the languages in ``docs (doc_id, text, lang)``; null ones teach nothing.
 
     A classifier is fit on a sample, bounded by ``sample_bytes`` of text per language
-    (in expectation, chosen by a hash of text and id) for at most ``MOST_LANGUAGES``
-    languages. It is drawn from all texts: as a whole, or by pieces of ``DRAWN_BYTES``
-    spread over the text if that is over an eighth of the bound.
+    (in expectation, chosen by a hash of text and id). It is drawn from all texts: as a
+    whole, or by pieces of ``DRAWN_BYTES`` spread over the text if that is over an
+    eighth of the bound. All languages are learned; the trees grow with their number.
     """
     usable = docs.where("text is not null and lang is not null").select(
         "text", "lang", F.octet_length("text").alias("size"), F.xxhash64("doc_id", "text").alias("seed")
     )
-    totals = usable.groupBy("lang").agg(F.sum("size").alias("total"))
-    shares = totals.orderBy(F.desc("total"), "lang").limit(MOST_LANGUAGES).collect()
-    if not shares:
-        return Trees([])
-    share = F.coalesce(
-        *[F.when(F.col("lang") == row["lang"], F.lit(min(1.0, sample_bytes / max(row["total"], 1)))) for row in shares]
-    )
+    total = F.greatest(F.sum("size"), F.lit(1))
+    shares = usable.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample_bytes)) / total).alias("share"))
     draw = F.pmod("seed", F.lit(1 << 30)) / float(1 << 30)
-    usable = usable.withColumns({"share": share, "cut": F.col("size") > sample_bytes // 8})
-    sample = usable.where(F.col("share").isNotNull() & (F.col("cut") | (draw < F.col("share")))).drop("size")
+    sample = usable.join(F.broadcast(shares), "lang").withColumn("cut", F.col("size") > sample_bytes // 8)
+    sample = sample.where(F.col("cut") | (draw < F.col("share"))).select("text", "lang", "seed", "share", "cut")
     counted = sample.mapInArrow(_word_counts, "lang string, word string, n long")
-    table = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
-    return Trees(sorted(zip(*(table.column(c).to_pylist() for c in ("lang", "word", "n")))))
+    table = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).orderBy("lang", "word")
+    return Trees(table.toLocalIterator())
 
 
 def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -200,8 +223,9 @@ class Predictor:
         n_langs = len(trees.languages)
         self.trees, self.hasher = trees, Hasher()
         self.names = np.array([*trees.languages, UNKNOWN], object)
-        self.known_words = Remembered(REMEMBERED, (n_langs,), np.float64)
-        self.known_windows = Remembered(REMEMBERED, (n_langs,), np.float32)
+        most = max(1 << 12, REMEMBERED // max(1, n_langs))
+        self.known_words = Remembered(most, (n_langs,), np.float64)
+        self.known_windows = Remembered(most, (n_langs,), np.float32)
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Language and score of every text of ``column``."""
@@ -213,11 +237,18 @@ class Predictor:
         starts, ends, rows = words(data, offsets)
         folded = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
         keys, first, which = np.unique(self.hasher(data, starts, ends), return_index=True, return_inverse=True)
-        per_word = self.known_words.get(
-            keys,
-            lambda fresh: self.trees.bits(*gather(folded, starts[first[fresh]], ends[first[fresh]]), self.known_windows),
-        )
-        total = np.stack([np.bincount(rows, per_word[which, i], n_rows) for i in range(n_langs)], axis=1)
+        total = np.zeros((n_rows, n_langs))
+        step = max(1, AT_ONCE // n_langs)
+        for lo in range(0, len(keys), step):
+            start, end = starts[first[lo : lo + step]], ends[first[lo : lo + step]]
+            per_word = self.known_words.get(
+                keys[lo : lo + step],
+                lambda fresh: self.trees.bits(*gather(folded, start[fresh], end[fresh]), self.known_windows),
+            )
+            mine = slice(None) if len(keys) <= step else (which >= lo) & (which < lo + step)
+            row, word = rows[mine], which[mine] - lo
+            for i in range(n_langs):
+                total[:, i] += np.bincount(row, per_word[word, i], n_rows)
         share = np.exp2(-np.minimum(total - total.min(axis=1, keepdims=True), 1000.0))
         best = np.where(known, total.argmin(axis=1), n_langs)
         return self.names[best], np.where(known, 1.0 / share.sum(axis=1), 0.0)
