@@ -198,6 +198,24 @@ def test_leaks_copies_paraphrases_and_clean_texts(spark, odd):
     assert leaks.find_leaks(spark, odd.limit(0), benchmark).count() == 0
 
 
+def test_short_items_word_for_word_are_found_at_every_offset(spark):
+    """Among rarer words of other items, which keep the cosine of the window low."""
+    items = [(n, " ".join(prose(3000 + n, n))) for n in range(5, 16)] + [(99, " ".join(prose(3999, 600)))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rare = prose(3999, 600)
+    rows = []
+    for n, text in items[:-1]:
+        for offset in range(8):
+            source = random.Random(offset)
+            around = lambda k: " ".join(source.choice(rare) for _ in range(k))
+            rows.append((1000 * n + offset, f"{around(16 + offset)} {text.title()}, {around(20)}"))
+    # The words of the items are frequent, and so weigh less than those around.
+    rows += [(100_000 + k, " ".join(random.Random(k).sample(" ".join(t for _, t in items[:-1]).split(), 60))) for k in range(300)]
+    found = {r["doc_id"]: r for r in leaks.find_leaks(spark, table(spark, rows), benchmark).collect()}
+    missed = [d for d, _ in rows if d < 100_000 and (d // 1000 not in found[d]["item_ids"] or found[d]["overlap"] < 1)]
+    assert not missed
+
+
 def test_languages_are_told_apart(spark, odd):
     words = {"en": "the of and to in that was is for with".split(), "de": "der die und das nicht mit sich auf für ist".split()}
     rows = []

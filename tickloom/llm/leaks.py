@@ -3,8 +3,10 @@
 Texts are cut into short segments; those make up a matrix of TF-IDF weights over the
 benchmark's vocabulary. A randomised singular value decomposition, gathered in one pass
 over all texts, gives a latent space in which windows of consecutive segments are
-searched for each benchmark passage by cosine. Candidates are confirmed by the longest
-common subsequence of words; one that only paraphrases must also hold the answer.
+searched for each benchmark passage by cosine. Windows that may hold enough of a
+passage's words, by a bound that misses none, are candidates whatever their cosine.
+Candidates are confirmed by the longest common subsequence of words; one that only
+paraphrases must also hold the answer.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.ragged import U64, Hasher, flat, pieces, runs
+from tickloom.llm.ragged import U64, Hasher, flat, mix, pieces, runs
 from tickloom.llm.store import written
 
 #: Words of a segment; windows start at every segment.
@@ -43,6 +45,8 @@ LEAST_WEIGHT = 0.4
 COPY, PARAPHRASE = 0.8, 0.6
 #: Without an answer of its own, a passage's last words count as one.
 ANSWER_WORDS = 5
+#: Words fall into so many buckets for the bound on what a window holds of a passage.
+BUCKETS = 128
 
 #: Words are runs of ASCII letters and digits and of all bytes beyond ASCII.
 INSIDE = np.zeros(256, bool)
@@ -67,6 +71,12 @@ class Passages:
                     self.words.append(part.astype(np.int64))
         self.lengths = np.array([len(w) for w in self.words], np.int64)
         self.windows = -(-self.lengths // SEGMENT) + 1
+        # How many words of each passage, and of its answer, are in each bucket.
+        self.buckets = (mix(self.vocabulary) >> U64(32)).astype(np.int64) % BUCKETS
+        self.spread, self.answers = (
+            np.array([np.bincount(self.buckets[w[-n:]], minlength=BUCKETS) for w in self.words], np.float32)
+            for n in (PASSAGE, ANSWER_WORDS)
+        )
         # For each passage and word, the bits of the word's places in the passage.
         n_words = max(1, len(self.vocabulary))
         keys = [i * n_words + w for i, w in enumerate(self.words)]
@@ -77,6 +87,20 @@ class Passages:
         bits = np.concatenate(bits)[order] if len(keys) else np.zeros(0, U64)
         self.masks = np.bitwise_or.reduceat(bits, first) if len(keys) else bits
 
+    def held(self, marks: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows, by the buckets they mark, and passages of ``mine`` that may be leaked.
+
+        A word in a window marks its bucket, so the words of a passage in marked buckets
+        bound from above what the window holds of it.
+        """
+        most = marks @ self.spread[mine].T
+        lengths = self.lengths[mine]
+        hit, which = np.nonzero(most >= np.ceil(PARAPHRASE * lengths - 1e-6).astype(np.float32))
+        most, which = most[hit, which], mine[which]
+        answer = (marks[hit] * self.answers[which]).sum(axis=1)
+        may = (most >= COPY * self.lengths[which] - 1e-6) | (answer >= ANSWER_WORDS - 1)
+        return hit[may], which[may]
+
     def common(self, passage: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Which words of each passage are in a longest common subsequence, as bits.
 
@@ -269,6 +293,22 @@ def _found(shared):
                 starts = np.flatnonzero(np.concatenate(([True], kept_segments[1:] != kept_segments[:-1])))
                 vector[slot[kept_segments[starts]]] = _segment_sums(weighted, kept_words, starts)
             pairs = []
+            marked = np.zeros((first[-1], BUCKETS), np.float32)
+            marked[segment, passages.buckets[words]] = 1
+            held_words = np.concatenate(([0], np.cumsum(np.bincount(segment, minlength=first[-1]))))
+            for size in np.unique(passages.windows):
+                mine = np.flatnonzero(passages.windows == size)
+                last = np.minimum(at + size, first[row_of + 1])
+                enough = held_words[last] - held_words[:-1] >= PARAPHRASE * passages.lengths[mine].min() - 1e-6
+                starts = at[((at + size == last) | (at == first[row_of])) & enough]
+                for lo in range(0, len(starts), 4096):
+                    start = starts[lo : lo + 4096]
+                    marks = marked[start]
+                    for k in range(1, int(size)):
+                        longer = start + k < last[start]
+                        marks[longer] = np.maximum(marks[longer], marked[start[longer] + k])
+                    hit, which = passages.held(marks, mine)
+                    pairs.append(np.stack((start[hit], last[start[hit]], which)))
             for size in sizes:
                 start, last = spans[size]
                 mine = np.flatnonzero((passages.windows == size) & (norms > 0) & (masses > 0))
@@ -285,6 +325,8 @@ def _found(shared):
                 hit, which = hit[enough], which[enough]
                 pairs.append(np.stack((start[hit], last[hit], mine[which])))
             pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((3, 0), np.int64)
+            if pairs.shape[1]:
+                pairs = np.unique(pairs, axis=1)
             best: dict[tuple[int, int], float] = {}
             for lo in range(0, pairs.shape[1], 8192):
                 start, last, passage = pairs[:, lo : lo + 8192]
