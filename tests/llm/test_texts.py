@@ -216,6 +216,23 @@ def test_short_items_word_for_word_are_found_at_every_offset(spark):
     assert not missed
 
 
+@pytest.mark.parametrize("n_clean", [200, 2000])
+def test_items_of_frequent_words_are_found_in_small_and_large_tables(spark, n_clean):
+    """Copies of one item make its words frequent; another has words that all texts hold."""
+    hot, common = prose(8001, 40), prose(8002, 12)
+    benchmark = spark.createDataFrame([(1, " ".join(hot)), (2, " ".join(common))], "item_id long, text string")
+    rows = [(k, " ".join(random.Random(k).sample(common, 5) + prose(9000 + k, 35))) for k in range(n_clean)]
+    rows += [(10_000 + k, " ".join(hot)) for k in range(n_clean // 2)]
+    rows += [(20_000, " ".join(prose(1, 30) + common + prose(2, 30))), (20_001, " ".join(prose(3, 9)) + " " + paraphrased(hot, 4))]
+    found = {r["doc_id"]: r["item_ids"] for r in leaks.find_leaks(spark, table(spark, rows), benchmark).collect()}
+    assert all(found[d] == [1] for d in found if 10_000 <= d < 20_000)
+    assert found[20_000] == [2] and found[20_001] == [1]
+    assert not any(found[d] for d in range(n_clean))
+    for n_segments in (100, 10_000, 10_000_000):
+        weights = leaks.word_weights(n_segments, np.array([0, n_segments // 15, n_segments]))
+        assert weights[0] > weights[1] > weights[2] > 0
+
+
 def test_languages_are_told_apart(spark, odd):
     words = {"en": "the of and to in that was is for with".split(), "de": "der die und das nicht mit sich auf für ist".split()}
     rows = []

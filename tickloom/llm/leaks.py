@@ -36,7 +36,7 @@ BLOCK_BYTES = 1 << 18
 SKETCH, LATENT = 64, 56
 #: Weights are as if every word had been met in so many further segments without it.
 PRIOR_SEGMENTS = 10_000
-#: A word in one of so many segments has no weight.
+#: From words in one of so many segments on, weights fall towards 0 but never reach it.
 COMMON = 20
 LEAST_COSINE = 0.45
 #: A window needs this share of a passage's squared weight to be searched at all.
@@ -214,8 +214,6 @@ def _sketched(shared):
         weighted = test * weight[:, None]
         total = np.zeros(test.shape[::-1], np.float64)
         for _, words, places, rows in _lists(batches, 40_000):
-            heavy = weight[words] > 0
-            words, places, rows = words[heavy], places[heavy], rows[heavy]
             if not len(words):
                 continue
             segment = rows << 40 | places // SEGMENT
@@ -262,6 +260,12 @@ def _found(shared):
         vectors = np.stack([weighted[w].sum(axis=0) for w in passages.words])
         norms = np.sqrt((vectors**2).sum(axis=1))
         masses = np.array([(weight[w] ** 2).sum() for w in passages.words])
+        # The sizes of windows, each with the words of the passages searched for in such.
+        sizes = []
+        for size in np.unique(passages.windows):
+            own = np.zeros(len(weight), bool)
+            own[np.concatenate([w for w, k in zip(passages.words, passages.windows) if k == size])] = True
+            sizes.append((size, own))
         for row_ids, words, places, rows in _lists(batches, 60_000):
             if not len(words):
                 continue
@@ -273,45 +277,50 @@ def _found(shared):
             mass = np.concatenate(([0.0], np.cumsum(np.bincount(segment, weight[words].astype(float) ** 2, first[-1]))))
             row_of = np.repeat(np.arange(len(row_ids)), n_segments)
             at = np.arange(first[-1])
-            sizes = np.unique(passages.windows[masses > 0])
-            spans, used = {}, np.zeros(first[-1] + 1, np.int64)
-            for size in sizes:
-                last = np.minimum(at + size, first[row_of + 1])
-                whole = (at + size == last) | (at == first[row_of])
-                least = LEAST_WEIGHT * masses[(passages.windows == size) & (masses > 0)].min()
-                start = at[whole & (mass[last] - mass[:-1] >= least)]
+            low, high = first[row_of], first[row_of + 1]
+            spans, bounded, used = {}, {}, np.zeros(first[-1] + 1, np.int64)
+            for size, own in sizes:
+                mine = passages.windows == size
+                last = np.minimum(at + size, high)
+                whole = (at + size == last) | (at == low)
+                # No window is confirmed without so many words of this size's passages
+                # in it and the segments beside it.
+                least_words = PARAPHRASE * passages.lengths[mine].min() - 1e-6
+                held = np.concatenate(([0], np.cumsum(np.bincount(segment[own[words]], minlength=first[-1]))))
+                wide = held[np.minimum(last + 1, high)] - held[np.maximum(at - 1, low)] >= least_words
+                least = LEAST_WEIGHT * masses[mine].min()
+                start = at[whole & wide & (mass[last] - mass[:-1] >= least)]
                 spans[size] = start, last[start]
-                np.add.at(used, start, 1)
-                np.add.at(used, last[start], -1)
+                near = at[whole & (held[last] - held[:-1] >= least_words)]
+                bounded[size] = near, last[near]
+                for some in (start, near):
+                    np.add.at(used, some, 1)
+                    np.add.at(used, last[some], -1)
             # Only the segments of windows that are searched for need their vectors.
             needed = np.cumsum(used)[:-1] > 0
             slot = np.cumsum(needed) - 1
             vector = np.zeros((int(needed.sum()), space.shape[1]), np.float32)
+            marked = np.zeros((len(vector), BUCKETS), np.float32)
             mine = needed[segment]
             if mine.any():
                 kept_segments, kept_words = segment[mine], words[mine]
+                marked[slot[kept_segments], passages.buckets[kept_words]] = 1
                 starts = np.flatnonzero(np.concatenate(([True], kept_segments[1:] != kept_segments[:-1])))
                 vector[slot[kept_segments[starts]]] = _segment_sums(weighted, kept_words, starts)
             pairs = []
-            marked = np.zeros((first[-1], BUCKETS), np.float32)
-            marked[segment, passages.buckets[words]] = 1
-            held_words = np.concatenate(([0], np.cumsum(np.bincount(segment, minlength=first[-1]))))
-            for size in np.unique(passages.windows):
+            for size, _ in sizes:
                 mine = np.flatnonzero(passages.windows == size)
-                last = np.minimum(at + size, first[row_of + 1])
-                enough = held_words[last] - held_words[:-1] >= PARAPHRASE * passages.lengths[mine].min() - 1e-6
-                starts = at[((at + size == last) | (at == first[row_of])) & enough]
-                for lo in range(0, len(starts), 4096):
-                    start = starts[lo : lo + 4096]
-                    marks = marked[start]
+                for lo in range(0, len(bounded[size][0]), 4096):
+                    start, last = (x[lo : lo + 4096] for x in bounded[size])
+                    marks = marked[slot[start]]
                     for k in range(1, int(size)):
-                        longer = start + k < last[start]
-                        marks[longer] = np.maximum(marks[longer], marked[start[longer] + k])
+                        longer = start + k < last
+                        marks[longer] = np.maximum(marks[longer], marked[slot[start[longer] + k]])
                     hit, which = passages.held(marks, mine)
-                    pairs.append(np.stack((start[hit], last[start[hit]], which)))
-            for size in sizes:
+                    pairs.append(np.stack((start[hit], last[hit], which)))
+            for size, _ in sizes:
                 start, last = spans[size]
-                mine = np.flatnonzero((passages.windows == size) & (norms > 0) & (masses > 0))
+                mine = np.flatnonzero((passages.windows == size) & (norms > 0))
                 if not len(start) or not len(mine):
                     continue
                 window = vector[slot[start]]
@@ -359,6 +368,14 @@ def _found(shared):
     return run
 
 
+def word_weights(n_segments: int, spread: np.ndarray) -> np.ndarray:
+    """Weights of words found in ``spread`` of ``n_segments``, each above 0.
+
+    Rare words weigh about the logarithm of how much rarer than 1 in ``COMMON`` they are.
+    """
+    return np.log1p((n_segments + PRIOR_SEGMENTS) / (spread + 1) / COMMON).astype(np.float32)
+
+
 def _searched(spark: SparkSession, docs: DataFrame, passages: Passages) -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` with their features, and what passages they hold."""
     n_words = len(passages.vocabulary)
@@ -376,8 +393,7 @@ def _searched(spark: SparkSession, docs: DataFrame, passages: Passages) -> tuple
     spread = np.zeros(n_words)
     for row in per_word.toLocalIterator():
         spread[row["words"]] = row["n"]
-    weight = np.log((n_segments + PRIOR_SEGMENTS) / (spread + 1)) - np.log(COMMON)
-    weight = np.maximum(weight, 0).astype(np.float32)
+    weight = word_weights(n_segments, spread)
 
     rows = features.where("row_id >= 0")
     listed = rows.where("size(words) > 0").select("row_id", "words", "places")
@@ -408,8 +424,8 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
     bounded by that. All words of all texts enter the weights and the decomposition.
 
     Null, empty and blank texts hold nothing, and neither do items that are null, lack
-    an id, or have fewer than ``LEAST_WORDS`` words or common words only. An item in
-    several rows is listed once. Each row gives a row, also if rows are equal or have
+    an id, or have fewer than ``LEAST_WORDS`` words. Items of common words only, or with
+    copies in many texts, are searched for like all others. An item in several rows is listed once. Each row gives a row, also if rows are equal or have
     no id. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
