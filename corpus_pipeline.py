@@ -17,6 +17,9 @@ from tickloom.llm.store import small_batches, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: Texts whose word shingles have this similarity, in hundredths, are near-duplicates.
+NEAR_PERCENT = 80
+
 #: The mix rests on sampled training and floating sums of earlier stages: no SQL.
 ORACLE_SQL = None
 
@@ -33,7 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of near-duplicates the document with the smallest id, once."""
     docs = docs.select(*COLUMNS)
     small_batches(spark)
-    judged = written(spark, near_text.near_duplicates(spark, docs), "judged")
+    judged = written(spark, near_text.near_duplicates(spark, docs, percent=NEAR_PERCENT), "judged")
     # Written first: Spark then knows their size when it plans the joins.
     dropped = written(spark, judged.where("not kept").select("doc_id").distinct(), "dropped")
     repeated = written(

@@ -170,3 +170,14 @@ def test_pipeline_stages_take_effect_and_keep_clean_documents(spark):
 
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
+
+
+def test_pipeline_drops_near_duplicates_from_0_80_on(spark):
+    """96 shingles each, the last ``k`` changed: similarities of 0.811 and 0.794."""
+    words = [f"w{i}" for i in range(300)]
+    rows = [(1, words[:100]), (2, words[:90] + words[290:]), (11, words[100:200]), (12, words[100:189] + words[289:])]
+    docs = spark.createDataFrame(
+        [(i, " ".join(w), "en", "s", None) for i, w in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert {r["doc_id"] for r in kept} == {1, 11, 12}
