@@ -180,6 +180,19 @@ def paraphrased(words: list[str], every: int) -> str:
     return " ".join(w for k, w in enumerate(words) if (k + 1) % every or k >= len(words) - 5)
 
 
+def test_contexts_of_one_to_six_bytes_and_sixteen_states():
+    def at_last(word: str, state: int) -> list[tuple]:
+        spelled = lm._spelled(*lm.flat(pa.array([word])))
+        return [tuple(found[-2]) for found in lm.slots(*spelled, np.array([state]))[0]]
+
+    word = "abcdefghq"
+    for shared, alike in ((1, {0}), (2, {0, 1}), (3, {0, 1, 2}), (4, {0, 1, 2, 3}), (6, {0, 1, 2, 3, 4})):
+        other = "z" * (8 - shared) + word[8 - shared :]
+        same = {i for i, (a, b) in enumerate(zip(at_last(word, 1), at_last(other, 1))) if a == b}
+        assert same == alike, shared
+    assert len({at_last(word, state)[lm.STATE_WORD] for state in range(lm.STATES)}) == lm.STATES == 16
+
+
 def test_leaks_copies_paraphrases_and_clean_texts(spark, odd):
     items = [(i, " ".join(prose(1000 + i, 20 + i))) for i in range(30)] + [(30, "too short"), (31, None), (None, "no id here at all you see")]
     benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("words", F.lit("x"))
