@@ -193,6 +193,18 @@ def test_contexts_of_one_to_six_bytes_and_sixteen_states():
     assert len({at_last(word, state)[lm.STATE_WORD] for state in range(lm.STATES)}) == lm.STATES == 16
 
 
+def test_mixing_weights_are_learned_from_all_pairs(spark, monkeypatch):
+    seen, learn = [], lm.Mixer.learn
+    monkeypatch.setattr(lm, "MIXER_PAIRS", 1, raising=False)  # of a sample, were there one
+    monkeypatch.setattr(lm.Mixer, "learn", lambda mixer, *a: seen.append((learn(mixer, *a), mixer.weights)))
+    rows = [(i, " ".join(prose(i % 40, 60) + ["the"] * 9)) for i in range(120)]
+    docs = table(spark, rows).withColumn("held_out", F.lit(False))
+    lm.score_texts(spark, docs).count()
+    (bits, weights), = seen
+    assert math.isclose(bits, sum(8 * (len(w) + 1) for _, t in rows for w in [*lowered(t), "\n"]), rel_tol=1e-6)
+    assert np.isfinite(weights).all() and np.abs(weights - 1 / lm.N_PREDICTORS).max() > 0.05
+
+
 def test_leaks_copies_paraphrases_and_clean_texts(spark, odd):
     items = [(i, " ".join(prose(1000 + i, 20 + i))) for i in range(30)] + [(30, "too short"), (31, None), (None, "no id here at all you see")]
     benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("words", F.lit("x"))
