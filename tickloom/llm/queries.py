@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import langid, leaks, lm, mixing, near_text, pii, tokens, urls, vectors, warc
+from tickloom.llm import audit, langid, leaks, lm, mixing, near_text, pii, tokens, urls, vectors, warc
 from tickloom.llm.store import small_batches
 
 VOCABULARY = "word_bpe_49k.json"
@@ -77,6 +77,10 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(spark, _table(spark, sf_dir, "embeddings"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_minhash_dedup,
@@ -89,6 +93,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_language,
         op9_pii,
         op10_vector_dedup,
+        op13_filter_audit,
     )
     return {query.__name__: query for query in found}
 
@@ -148,4 +153,5 @@ SQL = {
     "op1_minhash_dedup": _OP1,
     "op2_source_mix": mixing.ORACLE.format(documents="documents"),
     "op7_warc": _OP7,
+    "op13_filter_audit": audit.ORACLE,
 }

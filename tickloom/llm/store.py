@@ -7,10 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom.session import run_dir
 
 
-def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
-    """``frame`` as a written table: its rows survive lost executors, its plan ends here."""
+def written(spark: SparkSession, frame: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """``frame`` as a written table: its rows survive lost executors, its plan ends here.
+
+    With ``by`` rows are filed by that column, and a filter on it picks whole files.
+    """
     path = run_dir(spark, label)
-    frame.write.parquet(path)
+    writer = frame.write.partitionBy(by) if by else frame.write
+    writer.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
