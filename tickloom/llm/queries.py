@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import audit, langid, leaks, lm, mixing, near_text, pii, tokens, urls, vectors, warc
+from tickloom.llm import audit, langid, leaks, lm, mixing, near_text, pii, tokens, toxic, urls, vectors, warc
 from tickloom.llm.store import small_batches
 
 VOCABULARY = "word_bpe_49k.json"
@@ -77,6 +77,13 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(spark, _table(spark, sf_dir, "embeddings"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 3) == 1
+    model = toxic.train(spark, docs.where(~held_out), _table(spark, sf_dir, "labels"))
+    return toxic.find_toxic(spark, docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "spans")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -93,6 +100,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_language,
         op9_pii,
         op10_vector_dedup,
+        op12_toxicity,
         op13_filter_audit,
     )
     return {query.__name__: query for query in found}
