@@ -1,0 +1,132 @@
+"""Hard negatives against a plain search, and what the blocks save."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tests.support import compare, oracle
+from tickloom.llm import negatives, queries
+
+
+def plainly(rows, every=50, positives=5, negatives_=3, low=50, high=95, scale=256.0):
+    """The result by comparing every anchor with every row."""
+    usable = []
+    for vec_id, vector, label in rows:
+        if vec_id is None or label is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        most = negatives.most_component(len(vector))
+        usable.append((vec_id, label, [max(-most, min(most, math.floor(scale * x) if abs(x) < 1e300 else int(math.copysign(most, x)))) for x in vector]))
+    found = []
+    for a, label, q in usable:
+        if a % every:
+            continue
+        met = [(-sum(x * y for x, y in zip(q, r)), b, m) for b, m, r in usable if len(r) == len(q)]
+        mine = sorted((s, b) for s, b, m in met if m == label and b != a)[:positives]
+        for s, p in mine:
+            window = sorted((t, b) for t, b, m in met if m != label and low * -s <= 100 * -t <= high * -s)
+            found += [(a, p, k, b, -s, -t) for k, (t, b) in enumerate(window[:negatives_], 1)]
+    return sorted(found)
+
+
+def told(frame):
+    names = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(tuple(r) for r in frame.select(*names).collect())
+
+
+def odd_rows(seed=0, n=900):
+    source = np.random.default_rng(seed)
+    centres = source.normal(size=(12, 6))
+    rows = []
+    for k in range(n):
+        vector = (centres[source.integers(12)] * 0.4 + source.normal(size=6) * 0.05).tolist()
+        rows.append((k * 10, [round(x, 3) for x in vector], int(source.integers(3))))
+    same = rows[5][1]
+    rows += [(20_000 + k, same, 1) for k in range(40)]  # ties
+    rows += [(500, [0.5] * 6, 0), (500, [0.5] * 6, 0), (500, [0.25] * 6, 2)]  # one id, twice and other
+    rows += [(None, same, 1), (550, None, 1), (600, same, None), (650, [0.1, None, 0.0, 0.0, 0.0, 0.0], 1)]
+    rows += [(700, [float("nan")] * 6, 1), (750, [float("inf")] * 6, 1), (800, [0.0] * 6, 0), (850, [-0.3] * 6, 0)]
+    rows += [(900, [], 0), (950, [], 0), (951, [], 1), (1000, [0.5], 1), (1001, [0.7], 1), (1002, [0.6], 2)]
+    rows += [(1050, [1e308, -1e308, 1.0], 1), (1051, [1e300, 0.0, 0.0], 1), (1052, [9e6, 1.0, 0.0], 2), (1053, [1e6, 1e6, 0.0], 2)]
+    return rows
+
+
+SCHEMA = "vec_id long, embedding array<double>, label int"
+
+
+def frame(spark, rows, parts=3):
+    extra = {"size": F.lit("s"), "code": F.lit(1), "score": F.lit(None).cast("int"), "block": F.lit(2)}
+    return spark.createDataFrame(rows, SCHEMA).repartition(parts).withColumns(extra)
+
+
+def test_odd_rows_equal_a_plain_search(spark, monkeypatch):
+    rows = odd_rows()
+    want = plainly(rows)
+    assert len(want) > 500
+    assert told(negatives.hard_negatives(spark, frame(spark, rows))) == want
+    # Small blocks, chunks, pages and bands: many cells, the same result.
+    for name, value in (("BLOCK_BYTES", 24 * 16), ("CHUNK_BYTES", 24 * 3), ("PAGE", 8), ("BAND", 2), ("GATHERED", 50)):
+        monkeypatch.setattr(negatives, name, value)
+    assert told(negatives.hard_negatives(spark, frame(spark, rows, 7))) == want
+
+
+def test_other_counts_and_shares(spark):
+    rows = odd_rows(1, 300)
+    kept = {"every": 30, "positives": 2, "low": 33, "high": 101, "scale": 100.0}
+    assert told(negatives.hard_negatives(spark, frame(spark, rows), negatives=4, **kept)) == plainly(rows, negatives_=4, **kept)
+
+
+def test_empty_tables_and_no_anchors(spark):
+    assert negatives.hard_negatives(spark, frame(spark, odd_rows()).limit(0)).count() == 0
+    assert negatives.hard_negatives(spark, frame(spark, [(1, [1.0], 1), (2, [1.0], 2)])).count() == 0
+    assert negatives.hard_negatives(spark, frame(spark, [(0, [1.0], 1), (2, [1.0], 2)])).count() == 0
+
+
+def test_the_curve_moves_one_step_at_a_time():
+    for axes, bits in ((2, 4), (3, 3), (4, 2)):
+        n = 1 << axes * bits
+        places = np.array([[k >> bits * a & (1 << bits) - 1 for a in range(axes)] for k in range(n)])
+        code = negatives.hilbert(places, bits)
+        assert sorted(code) == list(range(n))
+        assert (np.abs(np.diff(places[np.argsort(code)], axis=0)).sum(axis=1) == 1).all()
+
+
+def test_bounds_hold_all_scores():
+    source = np.random.default_rng(3)
+    for size, most in ((1, 9), (5, 300), (64, negatives.most_component(64))):
+        block = source.integers(-most, most, (50, size)).astype(np.int32)
+        anchors = source.integers(-most, most, (20, size)).astype(np.int32)
+        found = negatives.scores(anchors, block)
+        assert found[3, 4] == sum(int(x) * int(y) for x, y in zip(anchors[3], block[4]))
+        low, high = negatives.bounds(anchors, block.min(axis=0), block.max(axis=0))
+        assert (low.ravel() <= found.min(axis=1)).all() and (found.max(axis=1) <= high.ravel()).all()
+
+
+def test_clustered_vectors_leave_most_blocks_unread(spark, monkeypatch):
+    source = np.random.default_rng(5)
+    centres = source.normal(size=(40, 32))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    which = source.integers(40, size=6000)
+    vectors = (centres[which] + source.normal(size=(6000, 32)) * 0.004).tolist()
+    rows = [(k, v, int(w % 4)) for k, (v, w) in enumerate(zip(vectors, which))]
+    monkeypatch.setattr(negatives, "BLOCK_BYTES", 128 * 50)
+    monkeypatch.setattr(negatives, "CHUNK_BYTES", 128 * 4)
+    seen = {}
+    pairs = negatives._pairs
+
+    def counted(chunks, zones, same, pages, bands):
+        frame = pairs(chunks, zones, same, pages, bands)
+        rest = chunks.select("chunk", "label").join(zones.select("block", F.col("label").alias("l")), (F.col("label") == F.col("l")) == same)
+        seen[same] = frame.count() / rest.count()
+        return frame
+
+    monkeypatch.setattr(negatives, "_pairs", counted)
+    assert told(negatives.hard_negatives(spark, spark.createDataFrame(rows, SCHEMA))) == plainly(rows)
+    assert seen[True] < 0.25 and seen[False] < 0.35
+
+
+def test_query_matches_sql_where_windows_are_full(spark):
+    sf = "/root/testdata/sf0.01"
+    assert compare(queries.op11_hard_negatives(spark, sf), oracle(sf), negatives.ORACLE) is None

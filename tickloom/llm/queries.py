@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import audit, langid, leaks, lm, mixing, near_text, pii, tokens, toxic, urls, vectors, warc
+from tickloom.llm import audit, langid, leaks, lm, mixing, near_text, negatives, pii, tokens, toxic, urls, vectors, warc
 from tickloom.llm.store import small_batches
 
 VOCABULARY = "word_bpe_49k.json"
@@ -77,6 +77,11 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(spark, _table(spark, sf_dir, "embeddings"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(spark, _table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
 def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 3) == 1
@@ -100,6 +105,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_language,
         op9_pii,
         op10_vector_dedup,
+        op11_hard_negatives,
         op12_toxicity,
         op13_filter_audit,
     )
@@ -161,5 +167,6 @@ SQL = {
     "op1_minhash_dedup": _OP1,
     "op2_source_mix": mixing.ORACLE.format(documents="documents"),
     "op7_warc": _OP7,
+    "op11_hard_negatives": negatives.ORACLE,
     "op13_filter_audit": audit.ORACLE,
 }
