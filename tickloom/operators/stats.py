@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalar import calendar_day, direction
@@ -37,12 +37,8 @@ def daily_prices(bars: DataFrame) -> DataFrame:
 
 def market_breadth(daily: DataFrame) -> DataFrame:
     """How many stocks rose, fell and stood still on each day."""
-
-    def stocks_with(change: int) -> Column:
-        return F.sum(F.when(F.col("daily_change") == change, 1).otherwise(0))
-
-    return daily.groupBy("date_only").agg(
-        stocks_with(1).alias("num_stocks_increased"),
-        stocks_with(-1).alias("num_stocks_decreased"),
-        stocks_with(0).alias("num_stocks_unchanged"),
-    )
+    # The names of the results.
+    names = {1: "num_stocks_increased", -1: "num_stocks_decreased", 0: "num_stocks_unchanged"}
+    change = F.col("daily_change")
+    counts = [F.count_if(change == code).alias(name) for code, name in names.items()]
+    return daily.groupBy("date_only").agg(*counts)

@@ -57,7 +57,7 @@ from tickloom.sources.archive import raw_dump, scan_archive
 from tickloom.sources.points import read_points
 from tickloom.sources.ticks import bars_of_events, event_bars
 from tickloom.sources.topic import message_file_replay, message_file_stream
-from tickloom.streaming.live import distinct_stream, fan_out, run_of, start_batches, start_files
+from tickloom.streaming.live import fan_out, run_of, start_batches, start_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,9 @@ _REGISTERED: dict[str, Query] = {}
 
 
 def registered() -> dict[str, Query]:
+    """All queries, those of changing data included, which build on the ones here."""
+    from tickloom.plans import changes  # noqa: F401  registers its queries
+
     return dict(_REGISTERED)
 
 
@@ -526,26 +529,6 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.agg(*(F.sum(name).alias(name) for name in ("rows_read", "rows_rejected")))
 
 
-@query
-def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every bar delivered twice, let through once, with state of some hours only.
-
-    The feed comes in three parts, one after the other in time, each in batches of its
-    own; when a part has passed, what the one before it left in the state has expired.
-    """
-    once = event_bars(spark, sf_dir)
-    bounds = once.agg(F.min(F.unix_timestamp("date")), F.max(F.unix_timestamp("date"))).first()
-    place = (F.unix_timestamp("date") - F.lit(bounds[0])) / F.lit((bounds[1] or 0) - (bounds[0] or 0) + 1)
-    target = run_dir(spark, "distinct")
-    for part in range(3):
-        bars = once.where(F.floor(place * 3) == part)
-        write_message_files(to_messages(union_bars(bars, bars)), f"{target}/topic")
-        stream = accepted(decode_bars(message_file_stream(spark, f"{target}/topic")), "offset")
-        passed = distinct_stream(stream, "2 hours", spread_by=F.col("offset")).select(*BAR_FIELDS)
-        start_files(passed, f"{target}/bars", f"{target}/checkpoint").awaitTermination()
-    return zoneless(spark.read.schema(BAR_SCHEMA).parquet(f"{target}/bars"))
-
-
 @query
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three revisions of every bar, a micro-batch each: the points hold the last."""

@@ -17,7 +17,7 @@ from tickloom.operators.latest import (
 )
 from tickloom.schema import TopicOptions
 from tickloom.sinks.messages import publish, write_message_files
-from tickloom.streaming.live import POLL_EVERY, BatchSink, start_batches
+from tickloom.streaming.live import POLL_EVERY, BatchSink, run_of, start_batches
 
 
 def latest_messages(
@@ -28,11 +28,15 @@ def latest_messages(
 
 
 def publish_to_files(path: str) -> BatchSink:
-    """A batch sink that writes the newest bar of each symbol as message files."""
+    """A batch sink that writes the newest bar of each symbol as message files.
+
+    Files go by run and batch: a batch that is repeated replaces its own, and a new
+    checkpoint, which numbers its batches from 0 again, adds to what is there.
+    """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         newest = to_messages(latest_bar(batch))
-        write_message_files(newest, f"{path}/batch_id={batch_id}", "overwrite")
+        write_message_files(newest, f"{path}/run={run_of(batch)}/batch_id={batch_id}", "overwrite")
 
     return deliver
 

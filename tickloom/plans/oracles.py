@@ -97,6 +97,15 @@ last_day AS (
     AND date < (SELECT max(date) FROM bars)
 )"""
 
+# Parts of a feed: ranges of time of one length, some rows a part late.
+PARTS = """
+ends AS (SELECT CAST(floor(epoch(min({time}))) AS BIGINT) AS lo, CAST(floor(epoch(max({time}))) AS BIGINT) AS hi FROM {rows}),
+parts AS (
+  SELECT r.*, least(({parts} * (CAST(floor(epoch({time})) AS BIGINT) - lo)) // (hi - lo + 1)
+                    + CASE WHEN {late} THEN 1 ELSE 0 END, {parts} - 1) AS part
+  FROM {rows} r, ends
+)"""
+
 SQL: dict[str, str] = {
     "bars": ALL_BARS,
     "basic_stats": STATS,
@@ -227,4 +236,47 @@ SQL: dict[str, str] = {
     "cluster_checks": """
         SELECT count(DISTINCT user_id) AS stocks, 3::BIGINT AS groups, 0::BIGINT AS astray
         FROM events""",
+    "stream_revisions": f"""
+        WITH {PARTS.format(time="ts", parts=4, late="event_id % 5 = 0", rows="events")}, latest AS (
+          SELECT 'S' || user_id AS stock, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS date, part, max(ts) AS newest
+          FROM parts GROUP BY 1, 2, 3
+        ), sends AS (
+          SELECT *, max(newest) OVER (PARTITION BY stock, date ORDER BY part
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+          FROM latest
+        ), times AS (
+          SELECT stock, date, count(*) AS times_sent FROM sends WHERE before IS NULL OR newest > before GROUP BY 1, 2
+        ), last AS (
+          SELECT 'S' || user_id AS stock, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS date,
+                 arg_max(value, ts) AS open, arg_max(value, ts) AS high, arg_max(value, ts) AS low,
+                 arg_max(value, ts) AS close, CAST(arg_max(event_id, ts) AS DOUBLE) AS volume
+          FROM events GROUP BY 1, 2
+        )
+        SELECT last.*, times_sent FROM last JOIN times USING (stock, date)""",
+    "stream_returns": f"""
+        WITH {BARS}, {WITH_PREVIOUS}
+        SELECT stock, date, prev_day_close,
+               (close - prev_day_close) / nullif(prev_day_close, 0) AS daily_return,
+               round(avg(close) OVER (PARTITION BY stock ORDER BY date
+                 ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 10) AS moving_avg
+        FROM prev""",
+    "archive_tail_compacted": ALL_BARS,
+    "summary_incremental": STATS,
+    "stream_dedup_any_delay": ALL_BARS,
+    "stream_poll": ALL_BARS,
+    "empty_archive": ALL_BARS,
+    "stream_commit": f"WITH {BARS} SELECT {LINE} AS line FROM bars",
+    "tombstones": """
+        SELECT event_type AS key,
+               count(CASE WHEN event_type <> 'view' THEN props END) AS messages,
+               count(*) - count(CASE WHEN event_type <> 'view' THEN props END) AS tombstones
+        FROM events GROUP BY 1""",
+    "poll_replay": f"""
+        WITH {BARS}, polls AS (
+          SELECT stock, unnest(generate_series((SELECT min(date) FROM bars), (SELECT max(date) FROM bars), INTERVAL 6 HOUR)) AS polled_at
+          FROM (SELECT DISTINCT stock FROM bars)
+        )
+        SELECT p.stock, p.polled_at, b.* EXCLUDE (stock)
+        FROM polls p ASOF JOIN bars b ON p.stock = b.stock AND p.polled_at >= b.date
+        WHERE b.date >= p.polled_at - INTERVAL 1 DAY""",
 }

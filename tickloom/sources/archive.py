@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,9 +38,12 @@ def scan_archive(
     whole_files: bool = False,
     since: dt.date | None = None,
     compacted: bool = False,
+    folders: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every archived record, decoded by ``decode_bars``, in one distributed scan.
 
+    ``folders`` restricts the scan to some folders below ``path``, by their names.
+
     ``compacted`` reads the Parquet form that ``compact_archive`` writes; its records
     were decoded then, and come back without text or reject reason. The text forms
     refuse Parquet files by an error rather than take their bytes for bad records.
@@ -49,7 +53,8 @@ def scan_archive(
     fails on unreadable files: analysis must not lose records silently.
     """
     if compacted:
-        bars = spark.read.schema(f"{BAR_SCHEMA_TEXT}, ingest_ts timestamp, day date").parquet(path)
+        reader = spark.read.schema(f"{BAR_SCHEMA_TEXT}, ingest_ts timestamp, day date")
+        bars = reader.parquet(*_below(path, folders))
         bars = bars if since is None else bars.where(F.col("day") >= F.lit(since))
         none = F.lit(None).cast("string")
         return bars.select(
@@ -60,7 +65,8 @@ def scan_archive(
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_modification_time").alias("file_time"),
         )
-    text = spark.read.text(path, wholetext=whole_files)
+    reader = spark.read.option("basePath", path) if folders is not None else spark.read
+    text = reader.text(_below(path, folders), wholetext=whole_files)
     refused = F.raise_error(F.lit("the archive holds Parquet files: scan it as compacted"))
     value = F.when(F.col("value").startswith("PAR1"), refused.cast("string")).otherwise(F.col("value"))
     records = text.withColumn("value", value).select(
@@ -71,3 +77,13 @@ def scan_archive(
     if since is not None and "day" in text.columns:
         records = records.where(F.col("day") >= F.lit(since))
     return decode_bars(records, "value", arrival="file_time")
+
+
+def empty_scan(spark: SparkSession) -> DataFrame:
+    """What :func:`scan_archive` gives of an archive without records."""
+    none = "ingest_ts timestamp, value string, reject_reason string, file_path string, file_time timestamp"
+    return spark.createDataFrame([], f"{BAR_SCHEMA_TEXT}, {none}")
+
+
+def _below(path: str, folders: Sequence[str] | None) -> list[str]:
+    return [path] if folders is None else [f"{path}/{name}" for name in folders]

@@ -49,6 +49,13 @@ def as_messages(records: DataFrame) -> DataFrame:
     )
 
 
+def tombstones(records: DataFrame) -> DataFrame:
+    """What :func:`as_messages` skips: keys, arrival times and offsets of deletions."""
+    return records.where(F.col("value").isNull()).select(
+        F.col("key").cast("string").alias("key"), F.col("timestamp").alias("arrival"), "offset"
+    )
+
+
 def message_file_stream(
     spark: SparkSession, path: str, files_per_batch: int = 1000
 ) -> DataFrame:
@@ -66,11 +73,20 @@ def message_file_replay(spark: SparkSession, path: str) -> DataFrame:
     return _file_messages(spark.read.schema(MESSAGE_SCHEMA).parquet(path))
 
 
+def message_file_tombstones(spark: SparkSession, path: str) -> DataFrame:
+    """The records of a folder of message files that have no value."""
+    return tombstones(_records(spark.read.schema(MESSAGE_SCHEMA).parquet(path)))
+
+
 def _file_messages(files: DataFrame) -> DataFrame:
-    stamped = files.select(
+    return as_messages(_records(files))
+
+
+def _records(files: DataFrame) -> DataFrame:
+    """Message files in the shape of topic records."""
+    return files.select(
         "key",
         "value",
         F.col("_metadata.file_modification_time").alias("timestamp"),
         F.col("_metadata.row_index").alias("offset"),
     )
-    return as_messages(stamped)
