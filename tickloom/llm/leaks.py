@@ -28,10 +28,13 @@ SEGMENT = 8
 #: Benchmark texts are searched for in passages of at most this many words (bits of a
 #: machine word, one per word of the passage).
 PASSAGE = 64
-#: Texts of fewer words are no passages.
+#: Texts of fewer words are no passages: they are probed for word by word.
 LEAST_WORDS = 5
-#: Bytes of benchmark text searched for at once; a larger benchmark takes more rounds.
+#: Bytes of benchmark text searched for at once; a larger benchmark takes more rounds
+#: over the texts' word numbers, never over the texts.
 BLOCK_BYTES = 1 << 18
+#: Tasks whose sums are added up together before the rest.
+SUMMED = 512
 #: Dimensions of the random range finder, and of the latent space kept of it.
 SKETCH, LATENT = 64, 56
 #: Weights are as if every word had been met in so many further segments without it.
@@ -53,22 +56,36 @@ INSIDE = np.zeros(256, bool)
 INSIDE[128:] = INSIDE[48:58] = INSIDE[65:91] = INSIDE[97:123] = True
 
 
+def _hashed(items: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of some items, and the item of each."""
+    data, offsets = flat(pc.utf8_lower(pa.array([t for _, t in items], pa.string())))
+    starts, ends, rows = runs(INSIDE[data], offsets)
+    return Hasher()(data, starts, ends), rows
+
+
 class Passages:
-    """A block of the benchmark: vocabulary, passages as word numbers, their answers."""
+    """A block of the benchmark: passages as numbers of ``vocabulary``, their answers."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        data, offsets = flat(pc.utf8_lower(pa.array([t for _, t in items], pa.string())))
-        starts, ends, rows = runs(INSIDE[data], offsets)
-        hashes = Hasher()(data, starts, ends)
-        self.vocabulary, numbers = np.unique(hashes, return_inverse=True)
+    def __init__(self, items: list[tuple[int, str]], vocabulary: np.ndarray):
+        hashes, rows = _hashed(items)
+        self.vocabulary = vocabulary
+        numbers = np.searchsorted(vocabulary, hashes)
+        cuts = np.searchsorted(rows, np.arange(len(items) + 1))
         self.items, self.words = [], []
+        #: By their number of words, the short items: word numbers, and item ids.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        short: dict[int, list] = {}
         for row, (item, _) in enumerate(items):
-            mine = numbers[rows == row]
+            mine = numbers[cuts[row] : cuts[row + 1]]
+            if 0 < len(mine) < LEAST_WORDS:
+                short.setdefault(len(mine), []).append((mine, item))
             n_parts = max(1, -(-len(mine) // PASSAGE))
             for part in np.array_split(mine, n_parts):
                 if len(part) >= LEAST_WORDS:
                     self.items.append(item)
                     self.words.append(part.astype(np.int64))
+        for n, found in short.items():
+            self.short[n] = np.stack([w for w, _ in found]), np.array([i for _, i in found], np.int64)
         self.lengths = np.array([len(w) for w in self.words], np.int64)
         self.windows = -(-self.lengths // SEGMENT) + 1
         # How many words of each passage, and of its answer, are in each bucket.
@@ -118,17 +135,38 @@ class Passages:
         return ~state
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[Passages]:
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of bounded size, always the same ones together."""
     held, size = [], 0
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     for row in rows.where("item_id is not null and text is not null").orderBy("item_id", "text").toLocalIterator():
         held.append((row["item_id"], row["text"]))
         size += len(row["text"])
         if size >= BLOCK_BYTES:
-            yield Passages(held)
+            yield held
             held, size = [], 0
     if held:
-        yield Passages(held)
+        yield held
+
+
+def _sequences(passages: Passages, words: np.ndarray, places: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows and short items whose words stand in them one right after the other."""
+    for n, (sequences, items) in passages.short.items():
+        at = np.arange(len(words) - n + 1)
+        for k in range(1, n):
+            at = at[(rows[at + k] == rows[at]) & (places[at + k] == places[at] + k)]
+        # By a first hash, then word by word.
+        key, mine = mix(words[at].astype(U64)), mix(sequences[:, 0].astype(U64))
+        for k in range(1, n):
+            key = mix(key + words[at + k].astype(U64))
+            mine = mix(mine + sequences[:, k].astype(U64))
+        order = np.argsort(mine, kind="stable")
+        low, high = (np.searchsorted(mine[order], key, side) for side in ("left", "right"))
+        counts = high - low
+        which = order[np.repeat(low, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)]
+        where = np.repeat(at, counts)
+        same = (words[where[:, None] + np.arange(n)] == sequences[which]).all(axis=1)
+        yield from set(zip(rows[where[same]].tolist(), items[which[same]].tolist()))
 
 
 def _features(shared):
@@ -251,13 +289,15 @@ def latent_space(gram: np.ndarray, test: np.ndarray) -> np.ndarray:
     return (left[:, :LATENT][:, kept] / singular[:LATENT][kept]).astype(np.float32)
 
 
-def _found(shared):
-    """The passages that texts hold: row_id, item_id and the share of words in order."""
+def _found(shared, own_passages):
+    """What texts hold: row_id, item_id and the share of words in order; null for short items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passages, weight, space = shared.value
+        (weight, space), passages = shared.value, own_passages.value
         weighted = space * weight[:, None]
-        vectors = np.stack([weighted[w].sum(axis=0) for w in passages.words])
+        vectors = np.zeros((len(passages.words), space.shape[1]), np.float32)
+        for k, w in enumerate(passages.words):
+            vectors[k] = weighted[w].sum(axis=0)
         norms = np.sqrt((vectors**2).sum(axis=1))
         masses = np.array([(weight[w] ** 2).sum() for w in passages.words])
         # The sizes of windows, each with the words of the passages searched for in such.
@@ -269,6 +309,9 @@ def _found(shared):
         for row_ids, words, places, rows in _lists(batches, 60_000):
             if not len(words):
                 continue
+            best: dict[tuple[int, int], float | None] = {}
+            for row, item in _sequences(passages, words, places, rows):
+                best[int(row_ids[row]), item] = None
             n_segments = np.zeros(len(row_ids), np.int64)
             np.maximum.at(n_segments, rows, places // SEGMENT + 1)
             first = np.concatenate(([0], np.cumsum(n_segments)))
@@ -336,7 +379,6 @@ def _found(shared):
             pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((3, 0), np.int64)
             if pairs.shape[1]:
                 pairs = np.unique(pairs, axis=1)
-            best: dict[tuple[int, int], float] = {}
             for lo in range(0, pairs.shape[1], 8192):
                 start, last, passage = pairs[:, lo : lo + 8192]
                 row = row_of[start]
@@ -354,7 +396,7 @@ def _found(shared):
                 leaked = (share >= COPY) | ((share >= PARAPHRASE) & (answer >= ANSWER_WORDS - 1))
                 for r, p, s in zip(row[leaked], passage[leaked], share[leaked]):
                     key = (int(row_ids[r]), passages.items[p])
-                    best[key] = max(best.get(key, 0.0), float(s))
+                    best[key] = max(best.get(key) or 0.0, float(s))
             if best:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -376,13 +418,17 @@ def word_weights(n_segments: int, spread: np.ndarray) -> np.ndarray:
     return np.log1p((n_segments + PRIOR_SEGMENTS) / (spread + 1) / COMMON).astype(np.float32)
 
 
-def _searched(spark: SparkSession, docs: DataFrame, passages: Passages) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``docs`` with their features, and what passages they hold."""
-    n_words = len(passages.vocabulary)
+def _numbered(spark: SparkSession, docs: DataFrame, vocabulary: np.ndarray) -> tuple[DataFrame, DataFrame, tuple]:
+    """The rows of ``docs``, the words of those that have any, their weights and latent space.
+
+    Texts are read once, whatever the size of the benchmark: row numbers, words and
+    weights are those of the written table, for every block that is searched for.
+    """
+    n_words = len(vocabulary)
     features = written(
         spark,
         docs.mapInArrow(
-            _features(spark.sparkContext.broadcast(passages.vocabulary)),
+            _features(spark.sparkContext.broadcast(vocabulary)),
             "row_id long, doc_id long, words array<int>, places array<int>, n_segments long",
         ),
         "features",
@@ -401,14 +447,14 @@ def _searched(spark: SparkSession, docs: DataFrame, passages: Passages) -> tuple
     shares = listed.select("words", "places", "row_id").mapInArrow(
         _sketched(spark.sparkContext.broadcast((weight, test))), "part long, sums binary"
     )
+    # In two steps, so that no group is as large as there are tasks.
+    shares = shares.withColumn("some", F.floor(F.spark_partition_id() / SUMMED))
+    sums = shares.groupBy("part", "some").applyInArrow(_added, "part long, sums binary")
     gram = np.zeros(test.shape)
-    for row in shares.groupBy("part").applyInArrow(_added, "part long, sums binary").toLocalIterator():
-        sums = np.frombuffer(row["sums"], np.float32).reshape(-1, test.shape[1])
-        gram[row["part"] * 1024 : row["part"] * 1024 + len(sums)] = sums
-    space = latent_space(gram, test.astype(float))
-    shared = spark.sparkContext.broadcast((passages, weight, space))
-    found = written(spark, listed.mapInArrow(_found(shared), "row_id long, item_id long, overlap double"), "leaks")
-    return rows.select("row_id", "doc_id"), found
+    for row in sums.groupBy("part").applyInArrow(_added, "part long, sums binary").toLocalIterator():
+        added = np.frombuffer(row["sums"], np.float32).reshape(-1, test.shape[1])
+        gram[row["part"] * 1024 : row["part"] * 1024 + len(added)] = added
+    return rows.select("row_id", "doc_id"), listed, (weight, latent_space(gram, test.astype(float)))
 
 
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -420,28 +466,47 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
     ``ANSWER_WORDS`` words. ``overlap`` is the largest such share, 0 without any.
     Matching ignores case, punctuation and spacing.
 
-    The benchmark is searched for in blocks of ``BLOCK_BYTES``; what tasks are sent is
-    bounded by that. All words of all texts enter the weights and the decomposition.
+    The benchmark is searched for in blocks of ``BLOCK_BYTES``; its vocabulary, eight bytes
+    and a latent vector a word, is what the driver and tasks hold of all of it. All words
+    of all texts enter the weights and the decomposition, which do not depend on blocks.
+    A text is cut into segments as it is and searched whole, however long.
+
+    Items of fewer than ``LEAST_WORDS`` words are found where all their words stand one
+    right after the other, and listed as ``short_items``: a single common word is no
+    evidence of a leak, so they do not make a text contaminated.
 
     Null, empty and blank texts hold nothing, and neither do items that are null, lack
-    an id, or have fewer than ``LEAST_WORDS`` words. Items of common words only, or with
-    copies in many texts, are searched for like all others. An item in several rows is listed once. Each row gives a row, also if rows are equal or have
-    no id. Other columns are ignored.
+    an id, or have no word. Items of common words only, or with copies in many texts, are
+    searched for like all others. An item in several rows is listed once. Each row gives
+    a row, also if rows are equal or have no id; an empty table gives an empty one, an
+    empty benchmark finds nothing. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows, found = None, None
-    for passages in _blocks(benchmark):
-        if not passages.words:
-            continue
-        block_rows, block_found = _searched(spark, docs, passages)
-        rows, found = (block_rows, block_found) if rows is None else (rows, found.unionByName(block_found))
     none = F.array().cast("array<long>")
-    if rows is None:
-        return docs.select("doc_id", F.lit(False).alias("contaminated"), none.alias("item_ids"), F.lit(0.0).alias("overlap"))
-    held = found.groupBy("row_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("overlap").alias("overlap"))
+    vocabulary = np.zeros(0, U64)
+    for items in _blocks(benchmark):
+        vocabulary = np.union1d(vocabulary, _hashed(items)[0])
+    if not len(vocabulary):
+        nothing = docs.select("doc_id", F.lit(False).alias("contaminated"), none.alias("item_ids"), F.lit(0.0).alias("overlap"))
+        return nothing.withColumn("short_items", none)
+    rows, listed, space = _numbered(spark, docs, vocabulary)
+    shared, found = spark.sparkContext.broadcast(space), None
+    for items in _blocks(benchmark):
+        passages = spark.sparkContext.broadcast(Passages(items, vocabulary))
+        held = listed.mapInArrow(_found(shared, passages), "row_id long, item_id long, overlap double")
+        held = written(spark, held, "leaks")
+        passages.destroy()
+        found = held if found is None else found.unionByName(held)
+    leaked = F.col("overlap").isNotNull()
+    held = found.groupBy("row_id").agg(
+        F.array_sort(F.collect_set(F.when(leaked, F.col("item_id")))).alias("item_ids"),
+        F.max("overlap").alias("overlap"),
+        F.array_sort(F.collect_set(F.when(~leaked, F.col("item_id")))).alias("short_items"),
+    )
     return rows.join(held, "row_id", "left").select(
         "doc_id",
-        F.col("item_ids").isNotNull().alias("contaminated"),
+        F.col("overlap").isNotNull().alias("contaminated"),
         F.coalesce("item_ids", none).alias("item_ids"),
         F.coalesce("overlap", F.lit(0.0)).alias("overlap"),
+        F.coalesce("short_items", none).alias("short_items"),
     )

@@ -28,6 +28,8 @@ BAND_ROWS = 4
 BANDS = PLACES // BAND_ROWS
 #: How many members of a bucket, on average, are compared with all others.
 HUBS = 2.0
+#: What tells texts apart in joins: the smallest id that has one, which may have others too.
+TEXT = ["rep", "digest_a"]
 #: Blocks of a bucket have about so many members, and so many shingles, at most.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 1 << 18
 #: Cells of the bit tables of a pair of blocks.
@@ -92,15 +94,18 @@ def _longs(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
+def _digest(elements: np.ndarray, offsets: np.ndarray, salt: int) -> pa.Array:
+    """A number of each row's set, the same in whatever order its elements come."""
+    sums = np.concatenate((np.zeros(1, U64), np.cumsum(mix(elements + U64(salt)), dtype=U64)))
+    return pa.array((sums[offsets[1:]] - sums[offsets[:-1]]).view(np.int64))
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = Hasher()
     for batch in pieces(batches, "text"):
         elements, offsets = shingle_sets(*flat(batch.column("text")), hasher)
         sizes = np.diff(offsets)
-        digests = []
-        for salt in (1, 2):
-            sums = np.concatenate((np.zeros(1, U64), np.cumsum(mix(elements + U64(salt)), dtype=U64)))
-            digests.append(pa.array((sums[offsets[1:]] - sums[offsets[:-1]]).view(np.int64)))
+        digests = [_digest(elements, offsets, salt) for salt in (1, 2)]
         keys = band_keys(signatures(elements, offsets))
         held = np.where(sizes > 0, BANDS, 0)
         yield pa.RecordBatch.from_arrays(
@@ -118,16 +123,20 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = Hasher()
     for batch in pieces(batches, "text"):
         elements, offsets = shingle_sets(*flat(batch.column("text")), hasher)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _longs(elements, offsets)], names=["doc_id", "elements"])
+        digest = _digest(elements, offsets, 1)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), digest, _longs(elements, offsets)], names=["rep", "digest_a", "elements"]
+        )
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs (a, b)`` whose full sets are similar enough."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("set_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("set_b"))
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    sizes = F.size("set_a") + F.size("set_b")
-    return pairs.join(left, "a").join(right, "b").where(100 * shared >= percent * (sizes - shared)).select("a", "b")
+    """Links (a, b): those of ``pairs`` whose full sets are similar enough."""
+    hubs = sets.select(*(F.col(name).alias(f"hub_{name}") for name in (*TEXT, "elements")))
+    shared = F.size(F.array_intersect("hub_elements", "elements"))
+    sizes = F.size("hub_elements") + F.size("elements")
+    met = pairs.join(hubs, [f"hub_{name}" for name in TEXT]).join(sets, TEXT)
+    alike = met.where(100 * shared >= percent * (sizes - shared))
+    return alike.select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b"))
 
 
 def _may_link(elements: np.ndarray, offsets: np.ndarray, percent: int) -> np.ndarray:
@@ -192,13 +201,13 @@ def _first_pairs(members: DataFrame, percent: int) -> DataFrame:
     first = members.where(F.col("turn") < HUBS).select(
         "band",
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        *(F.col(c).alias(f"hub_{c}") for c in ("rep", "turn", "n_shingles")),
+        *(F.col(c).alias(f"hub_{c}") for c in (*TEXT, "turn", "n_shingles")),
     )
     return (
         members.join(first, ["band", "part"])
         .where("turn > hub_turn or turn = hub_turn and rep > hub_rep")
         .where(f"least(n_shingles, hub_n_shingles) * 100 >= greatest(n_shingles, hub_n_shingles) * {percent}")
-        .select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b"))
+        .select(*(f"hub_{name}" for name in TEXT), *TEXT)
         .distinct()
     )
 
@@ -224,8 +233,8 @@ def _other_links(spark: SparkSession, members: DataFrame, found: DataFrame, sets
         rest.join(by_band, ["band", "part"])
         .withColumn("block", block)
         .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("band", "rep", "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-        .join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+        .select("band", *TEXT, "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        .join(sets, TEXT)
         .repartition("band", "low", "high")
         .sortWithinPartitions("band", "low", "high")
     )
@@ -247,10 +256,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     the links that join groups, not pairs. So no bucket is brought together in one task,
     and every pair that shares a bucket is linked, refused, or within one group.
 
-    Null, empty and blank texts have no shingles and are groups of their own. Rows
-    with the same doc_id and the same text count as one text in two rows. A row without
-    doc_id joins no group: its component_id is null and it is not kept. Other columns
-    are ignored.
+    Null, empty and blank texts have no shingles and are groups of their own; texts of
+    any length are compared whole, very long ones one at a time. Rows with the same doc_id
+    and the same text count as one text in two rows. Several texts under one doc_id are
+    all compared, and as links are between ids, what any of them is linked with is one
+    group. A row without doc_id joins no group: its component_id is null and it is not
+    kept. An empty table gives an empty one. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = written(
@@ -264,7 +275,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     reps = full.join(
         classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "digest_a", "digest_b"], "left_semi"
     )
-    banded = reps.select(F.col("doc_id").alias("rep"), "n_shingles", F.explode("bands").alias("band"))
+    banded = reps.select(F.col("doc_id").alias("rep"), "digest_a", "n_shingles", F.explode("bands").alias("band"))
     banded = banded.distinct()
     crowded = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     turn = F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(1 << 30)) / float(1 << 30) * F.col("n")
@@ -276,7 +287,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     needed = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = written(
         spark,
-        docs.join(needed, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, elements array<long>").dropDuplicates(["doc_id"]),
+        docs.join(needed, "doc_id", "left_semi")
+        .mapInArrow(_sets, "rep long, digest_a long, elements array<long>")
+        .dropDuplicates(TEXT),
         "sets",
     )
 

@@ -135,7 +135,8 @@ def _addresses(text: str) -> Iterator[Span]:
             if not all(part for _, part in four):
                 first += 1
                 continue
-            if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for _, part in four):
+            # Zeros ahead of a number may be many: they are cut off before it is read.
+            if all(len(own := part.lstrip("0")) <= 3 and int(own or "0") <= 255 for _, part in four):
                 yield 1, four[0][0], four[3][0] + len(four[3][1])
             first += 4
 

@@ -32,11 +32,22 @@ def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Values of all rows one after the other, and offsets; null rows are empty."""
     column = column.cast(pa.list_(pa.float64()))
     column = pa.chunked_array([column]).combine_chunks()
-    lengths = np.array([0 if n is None else n for n in column.value_lengths().to_pylist()], np.int64)
+    lengths = column.value_lengths().fill_null(0).to_numpy().astype(np.int64)
     values = column.flatten()
     return values.to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(lengths)))
 
 
+def scaled(matrix: np.ndarray) -> np.ndarray:
+    """Finite vectors times a power of two each, so that their squares neither run over nor vanish.
+
+    The largest component comes to lie between a half and one. Cosines do not change,
+    not in their last bit, as long as squares were in range before.
+    """
+    _, power = np.frexp(np.abs(matrix).max(axis=1, initial=0))
+    half = power // 2  # in two steps: the whole power may itself be out of range
+    return np.ldexp(np.ldexp(matrix, -half[:, None]), (half - power)[:, None])
+
+
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digest and buckets of every usable vector."""
     directions: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -56,9 +67,10 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for size in np.unique(lengths[lengths > 0]):
                 rows = np.flatnonzero((lengths == size) & labelled)
                 matrix = values[offsets[rows][:, None] + np.arange(size)]
+                good = np.isfinite(matrix).all(axis=1) & (matrix != 0).any(axis=1)
+                rows, matrix = rows[good], matrix[good]
+                bits, matrix = matrix.view(U64), scaled(matrix)
                 norm = np.sqrt((matrix * matrix).sum(axis=1))
-                good = np.isfinite(matrix).all(axis=1) & np.isfinite(norm) & (norm > 0)
-                rows, matrix, norm = rows[good], matrix[good], norm[good]
                 usable[rows] = True
                 if size not in directions:
                     source = np.random.default_rng([7, int(size)])
@@ -68,7 +80,6 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 steps = mix(steps.reshape(-1, TABLES, STEPS) + U64(size))
                 hashed = (steps * spread).sum(axis=2, dtype=U64) + mix(codes[rows])[:, None]
                 keys[rows] = mix(hashed + np.arange(TABLES, dtype=U64))
-                bits = matrix.view(U64)
                 for salt in (0, 1):
                     weights = mix(np.arange(size, dtype=U64) * U64(2) + U64(salt)) | U64(1)
                     digests[rows, salt] = mix((mix(bits) * weights).sum(axis=1, dtype=U64) + mix(codes[rows]) + U64(size))
@@ -101,7 +112,7 @@ def _compared(least: float):
             block, low, high = (group.column(c).to_numpy() for c in ("block", "low", "high"))
             values, offsets = _matrix(group.column("embedding").combine_chunks())
             # Members of a bucket have the same number of components by its hash.
-            matrix = values.reshape(len(ids), -1)
+            matrix = scaled(values.reshape(len(ids), -1))
             norm = np.sqrt((matrix * matrix).sum(axis=1))
             close = (matrix @ matrix.T) / (norm[:, None] * norm) >= least
             buckets = _matrix_of_longs(group.column("buckets").combine_chunks(), len(ids))
