@@ -122,3 +122,61 @@ def test_scaling_leaves_cosines_as_they_are():
     matrix = np.random.default_rng(2).normal(size=(50, 16))
     plain, other = (m / np.sqrt((m * m).sum(axis=1))[:, None] for m in (matrix, vectors.scaled(matrix)))
     assert (plain @ plain.T == other @ other.T).all()
+
+
+def test_a_large_group_is_not_compared_with_itself(spark, monkeypatch):
+    """Near copies and one stranger in their buckets: rows in the block stage, per member."""
+    per_member = {}
+    for n in (300, 900):
+        base = prose(5, 240)
+        rows = [(k, " ".join([*base[: 3 + k % 200], "zz" + str(k), *base[3 + k % 200 :]])) for k in range(n)]
+        rows.append((n, " ".join([*base[:225], *prose(6, 60)])))  # shares buckets, but is too far away
+        seen = []
+        monkeypatch.setattr(near_text, "BLOCK_MEMBERS", 16)
+        joining = near_text._joining
+
+        def counted(percent):
+            run = joining(percent)
+            count = spark.sparkContext.accumulator(0)
+            seen.append(count)
+
+            def watched(batches):
+                def passing():
+                    for batch in batches:
+                        count.add(batch.num_rows)
+                        yield batch
+
+                yield from run(passing())
+
+            return watched
+
+        monkeypatch.setattr(near_text, "_joining", counted)
+        got = {r["doc_id"]: r["component_id"] for r in near_text.near_duplicates(spark, table(spark, rows)).collect()}
+        monkeypatch.setattr(near_text, "_joining", joining)
+        assert all(got[k] == 0 for k in range(n)) and got[n] == n
+        per_member[n] = seen[0].value / n
+    assert per_member[900] <= 1.5 * per_member[300] + 1
+
+
+def test_counts_beyond_what_a_task_holds_are_kept_whole(monkeypatch):
+    import pyarrow as pa
+
+    from tickloom.llm import lm
+
+    words, counts = ["a", "bc", "the"], [5, 1000, 17]
+    batch = pa.RecordBatch.from_pydict({"state": pa.array([0, 1, 2], pa.int32()), "word": words, "n": counts})
+
+    class Shared:
+        value = lm.marked(words, [])
+
+    def summed():
+        total = {}
+        for part in lm._tables(Shared)(iter([batch, batch])):
+            for p, b, packed in zip(*(part.column(c).to_pylist() for c in ("predictor", "block", "counts"))):
+                total[p, b] = total.get((p, b), 0) + lm._unpacked(packed).astype(np.int64)
+        return total
+
+    whole = summed()
+    monkeypatch.setattr(lm, "MOST_COUNTED", 300)
+    parts = summed()
+    assert whole.keys() == parts.keys() and all((whole[k] == parts[k]).all() for k in whole)

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.graph import components
@@ -217,22 +217,40 @@ def _other_links(spark: SparkSession, members: DataFrame, found: DataFrame, sets
     joined = components(spark, found).select(F.col("id").alias("rep"), "component")
     rest = members.where(F.col("turn") >= HUBS).join(joined, "rep", "left")
     rest = written(spark, rest.withColumn("component", F.coalesce("component", "rep")), "rest")
-    by_band = rest.groupBy("band").agg(
-        F.count("*").alias("n"),
+    # The largest group of a bucket needs no comparing with itself, only with the others:
+    # of its blocks, numbered first, no two make a pair.
+    by_group = rest.groupBy("band", "component").agg(
+        F.count("*").alias("n"), F.max("parts").alias("parts"), F.sum("n_shingles").alias("weight")
+    )
+    size = F.struct("n", "component")
+    by_band = by_group.groupBy("band").agg(
         F.max("parts").alias("parts"),
-        F.sum("n_shingles").alias("weight"),
-        F.min("component").alias("least"),
-        F.max("component").alias("most"),
+        F.sum("n").alias("n"),
+        F.sum("weight").alias("weight"),
+        F.max("n").alias("main_n"),
+        F.max_by("weight", size).alias("main_weight"),
+        F.max_by("component", size).alias("main"),
+    )
+
+    def blocks(n: str, weight: str) -> Column:
+        return F.ceil(F.greatest(F.expr(n) / BLOCK_MEMBERS, F.expr(weight) / BLOCK_SHINGLES)).cast("int")
+
+    by_band = by_band.where("n > main_n").select(
+        "band",
+        "main",
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        blocks("main_n", "main_weight").alias("main_blocks"),
+        blocks("n - main_n", "weight - main_weight").alias("other_blocks"),
     )
-    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_MEMBERS, F.col("weight") / BLOCK_SHINGLES)).cast("int")
-    by_band = by_band.where("least != most").select(
-        "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), blocks.alias("blocks")
+    in_main, last = F.col("component") == F.col("main"), F.col("main_blocks") + F.col("other_blocks") - 1
+    turned = F.xxhash64("rep", F.lit(5))
+    block = F.when(in_main, F.pmod(turned, F.col("main_blocks"))).otherwise(
+        F.col("main_blocks") + F.pmod(turned, F.col("other_blocks"))
     )
-    block = F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int")
     placed = (
         rest.join(by_band, ["band", "part"])
-        .withColumn("block", block)
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .withColumn("block", block.cast("int"))
+        .select("*", F.explode(F.sequence(F.when(in_main, F.col("main_blocks")).otherwise(0), last)).alias("other"))
         .select("band", *TEXT, "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
         .join(sets, TEXT)
         .repartition("band", "low", "high")
