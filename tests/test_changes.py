@@ -18,8 +18,10 @@ from tickloom.operators.encode import bar_lines, to_messages
 from tickloom.operators.moments import day_moments, merged_summary, update_summary
 from tickloom.operators.returns import bar_returns
 from tickloom.operators.stats import stock_summary
+from tickloom.plans.audit import audit_deliveries
 from tickloom.plans.changes import appended, change_log, fails_once, none_late
 from tickloom.plans.ingest import publish_to_files, run_ingest
+from tickloom.plans.speed_layer import run_speed_layer
 from tickloom.schema import BAR_FIELDS, BAR_SCHEMA, MESSAGE_SCHEMA
 from tickloom.sinks import archive as archives
 from tickloom.sinks.archive import clean_archive, compact_tail, scan_with_tail, write_archive
@@ -424,3 +426,32 @@ def test_tombstones_are_counted_not_decoded(spark, tmp_path):
     stream = accepted(decode_bars(message_file_stream(spark, path)))
     finish(start_files(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 10
+
+
+# -- audit ---------------------------------------------------------------------
+
+
+def test_an_audit_is_empty_until_a_sink_loses_a_file_or_a_row_changes(spark, tmp_path):
+    topic, target = str(tmp_path / "topic"), tmp_path / "live"
+    for part in ([1, 2], [2, 3]):
+        rows = to_messages(days_of_bars(spark, part))
+        bad = spark.createDataFrame([("x", "{bad"), ("y", "")], "key string, value string")
+        rows.unionByName(bad).write.mode("append").parquet(topic)
+        finish(run_speed_layer(message_file_stream(spark, topic), str(target), audited=True))
+    assert audit_deliveries(spark, str(target)).count() == 0
+    (lost, *_) = sorted((target / "archive").rglob("batch_id=1/*.txt"))
+    n = len(lost.read_text().splitlines())
+    text = lost.read_text()
+    lost.unlink()
+    off = audit_deliveries(spark, str(target)).collect()
+    assert [(r.batch_id, r.sink, r.rows_due - r.rows_held, r.contents) for r in off] == [(1, "archive", n, False)]
+    lost.with_name("part-new.txt").write_text(text.replace('"stock":"', '"stock":"x'))
+    (off,) = audit_deliveries(spark, str(target)).collect()
+    assert (off.sink, off.rows_due, off.contents) == ("archive", off.rows_held, False)
+
+
+def test_an_audit_of_a_run_without_rejects(spark, tmp_path):
+    topic, target = str(tmp_path / "topic"), str(tmp_path / "live")
+    to_messages(days_of_bars(spark, [1])).write.parquet(topic)
+    finish(run_speed_layer(message_file_stream(spark, topic), target, audited=True))
+    assert audit_deliveries(spark, target).count() == 0

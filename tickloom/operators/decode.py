@@ -63,13 +63,17 @@ def _reason(text: str) -> Column:
 def _goes_on(text: str) -> Column:
     """Whether anything follows the record in its text, which the parser passes over.
 
-    With its strings blanked, a record is one pair of braces. Only where a text has more
-    of them are the elements counted that it makes up in an array.
+    A text with one pair of braces, at its ends, is a record and no more. Others are
+    looked at with their strings blanked; only where that leaves more than one pair are
+    the elements counted that the text makes up in an array.
     """
+    whole = F.col(text)
+    # The first closing brace is the last character, and no second one opens.
+    simple = (F.instr(whole, "}") == F.length(whole)) & whole.startswith("{") & (F.locate("{", whole, 2) == 0)
     outline = F.regexp_replace(F.col(text), r'"(?:\\.|[^"\\])*"', '""')
     plain = F.regexp_replace(outline, "[+-]?(?:NaN|INF|Infinity)", "0")
     alone = F.json_array_length(F.concat(F.lit("["), plain, F.lit("]"))) == 1
-    return F.when(outline.rlike(r"^\s*\{[^{}]*\}\s*$"), False).otherwise(~F.coalesce(alone, F.lit(False)))
+    return F.when(simple, False).when(outline.rlike(r"^\s*\{[^{}]*\}\s*$"), False).otherwise(~F.coalesce(alone, F.lit(False)))
 
 
 def accepted(decoded: DataFrame, *keep: str) -> DataFrame:

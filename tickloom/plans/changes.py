@@ -19,12 +19,16 @@ from tickloom.operators.moments import update_summary
 from tickloom.plans.catalog import (
     MEAN_DECIMALS,
     events_table,
+    message_folder,
     query,
     resent_bars,
     rounded,
     rounded_summary,
+    tick_messages,
     zoneless,
 )
+from tickloom.plans.audit import audit_deliveries
+from tickloom.plans.speed_layer import run_speed_layer
 from tickloom.schema import BAR_FIELDS, BAR_SCHEMA, empty_bars
 from tickloom.session import run_dir
 from tickloom.sinks.archive import clean_archive, compact_tail, replace_partitions, scan_with_tail, write_archive
@@ -32,7 +36,7 @@ from tickloom.sinks.messages import write_message_files
 from tickloom.sinks.staged import published_lines, staged_sink
 from tickloom.sources.archive import scan_archive
 from tickloom.sources.ticks import event_bars
-from tickloom.sources.topic import message_file_replay, message_file_tombstones
+from tickloom.sources.topic import message_file_replay, message_file_stream, message_file_tombstones
 from tickloom.streaming.index import pass_once
 from tickloom.streaming.keyed import rocksdb_state, rolling_returns, superseding_bars
 from tickloom.streaming.live import POLL_EVERY, BatchSink, distinct_stream, run_of, start_batches, start_files
@@ -268,3 +272,16 @@ def stream_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
     query.processAllAvailable()
     query.stop()
     return zoneless(spark.read.parquet(f"{target}/polled").select(*BAR_FIELDS))
+
+
+@query
+def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The speed layer over damaged messages: rows that each sink was due and holds, and
+    the batches of which it does not hold what it should."""
+    damaged = tick_messages(spark, sf_dir).select(F.col("event_id").cast("string").alias("key"), "value")
+    target = run_dir(spark, "live")
+    stream = message_file_stream(spark, message_folder(spark, damaged))
+    run_speed_layer(stream, target, audited=True).awaitTermination()
+    due = spark.read.parquet(f"{target}/deliveries").groupBy("sink").agg(F.sum("rows").alias("rows"))
+    off = audit_deliveries(spark, target).groupBy("sink").agg(F.count("*").alias("batches_off"))
+    return due.join(off, "sink", "left").fillna(0, "batches_off")

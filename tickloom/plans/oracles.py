@@ -279,4 +279,12 @@ SQL: dict[str, str] = {
         SELECT p.stock, p.polled_at, b.* EXCLUDE (stock)
         FROM polls p ASOF JOIN bars b ON p.stock = b.stock AND p.polled_at >= b.date
         WHERE b.date >= p.polled_at - INTERVAL 1 DAY""",
+    "stream_audit": f"""
+        WITH {TICKS}, told AS (
+          SELECT 'read' AS sink, count(*) AS rows FROM ticks
+          UNION ALL SELECT 'archive', count(*) FROM ticks WHERE event_type = 'click'
+          UNION ALL SELECT 'rejects', count(*) FROM ticks WHERE event_type <> 'click'
+          UNION ALL SELECT 'points', count(DISTINCT (stock, date_trunc('second', date))) FROM ticks WHERE event_type = 'click'
+        )
+        SELECT sink, rows, 0::BIGINT AS batches_off FROM told""",
 }

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.decode import accepted, decode_bars, rejected
 from tickloom.operators.encode import bar_lines
+from tickloom.plans.audit import write_deliveries
 from tickloom.sinks.archive import replace_partitions, write_archive
 from tickloom.sinks.points import settle_points, write_point_lines
 from tickloom.streaming.live import BatchSink, fan_out, run_of, start_batches
@@ -51,6 +52,7 @@ def run_speed_layer(
     target: str,
     every: str | None = None,
     more: Sequence[BatchSink] = (),
+    audited: bool = False,
 ) -> StreamingQuery:
     """Decode messages once and write points, archive and dead letters per batch.
 
@@ -60,7 +62,9 @@ def run_speed_layer(
     batch without doubling rows, and a new checkpoint replaces nothing.
     Nothing is collected: every task writes its own rows. The archive keeps every
     bar; of revisions within a batch the points keep the one that arrived last. Sinks
-    in ``more`` get the decoded batch as well.
+    in ``more`` get the decoded batch as well. ``audited`` also files what every sink is
+    due to hold, for :func:`tickloom.plans.audit.audit_deliveries`; it encodes the batch
+    a second time.
     """
     decoded = decode_bars(messages, "value", arrival="arrival").observe(
         "batch",
@@ -72,6 +76,7 @@ def run_speed_layer(
         lambda b, i: write_archive(accepted(b, "ingest_ts"), f"{target}/archive", i, run=run_of(b)),
         lambda b, i: write_rejects(b, f"{target}/rejects", i),
         lambda b, i: write_progress(b, f"{target}/progress", i),
+        *([lambda b, i: write_deliveries(b, f"{target}/deliveries", i, ARRIVAL_ORDER)] if audited else []),
         *more,
     )
     return start_batches(decoded, deliver, f"{target}/checkpoint", every)
