@@ -6,10 +6,13 @@ and some rows come a part later than they should.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow.fs as pafs
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.asof import as_of, poll_instants
 from tickloom.operators.clean import distinct_bars, last_write_wins, union_bars
@@ -35,6 +38,7 @@ from tickloom.sinks.archive import clean_archive, compact_tail, replace_partitio
 from tickloom.sinks.messages import write_message_files
 from tickloom.sinks.staged import published_lines, staged_sink
 from tickloom.sources.archive import scan_archive
+from tickloom.sources.folders import move
 from tickloom.sources.ticks import event_bars
 from tickloom.sources.topic import message_file_replay, message_file_stream, message_file_tombstones
 from tickloom.streaming.index import pass_once
@@ -55,6 +59,24 @@ def in_parts(rows: DataFrame, time: str, parts: int, late: Column | None = None)
     return rows.withColumn("part", place.cast("int"))
 
 
+def run_parts(landed: DataFrame, topic: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Feed a stream with the parts of ``landed``, each when the one before is done.
+
+    A part is moved into sight as a whole, so it makes one batch.
+    """
+    spark, rows, query = landed.sparkSession, landed.drop("part"), None
+    for part in sorted(r[0] for r in landed.select("part").distinct().collect()):
+        landed.where(F.col("part") == part).drop("part").write.parquet(f"{topic}/_part-{part}")
+        move(spark, f"{topic}/_part-{part}", f"{topic}/part-{part}")
+        if query is None:
+            with rocksdb_state(spark):
+                query = start(spark.readStream.schema(rows.schema).parquet(f"{topic}/part-*"))
+        query.processAllAvailable()
+    if query is not None:
+        query.stop()
+    landed.unpersist()
+
+
 def change_log(path: str) -> BatchSink:
     """A batch sink that files what a batch changed under its run and number."""
 
@@ -79,14 +101,13 @@ def stream_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "part",
         F.timestamp_seconds((F.col("part") + 1) * 86_400).alias("arrival"),
     ).persist()
-    for part in range(4):
-        landed.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{target}/topic")
-        stream = spark.readStream.schema(landed.drop("part").schema).parquet(f"{target}/topic")
-        sent = superseding_bars(stream, "1 day")
-        with rocksdb_state(spark):
-            query = start_batches(sent, change_log(f"{target}/sent"), f"{target}/checkpoint")
-        query.awaitTermination()
-    landed.unpersist()
+    run_parts(
+        landed,
+        f"{target}/topic",
+        lambda stream: start_batches(
+            superseding_bars(stream, "1 day"), change_log(f"{target}/sent"), f"{target}/checkpoint", "0 seconds"
+        ),
+    )
     log = spark.read.parquet(f"{target}/sent")
     last = last_write_wins(log.select(*BAR_FIELDS, "ingest_ts"), ["stock", "date"], ["ingest_ts"])
     times = log.groupBy("stock", "date").agg(F.count("*").alias("times_sent"))
@@ -100,14 +121,13 @@ def stream_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = F.floor(F.unix_timestamp("date") / 3600) % 7 == 0
     parts = in_parts(event_bars(spark, sf_dir), "date", 5, late)
     landed = typed_bars(parts, F.col("date").cast("timestamp").alias("ingest_ts"), "part").persist()
-    for part in range(5):
-        landed.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{target}/topic")
-        stream = spark.readStream.schema(landed.drop("part").schema).parquet(f"{target}/topic")
-        told = rolling_returns(stream, 5, lateness="15 days")
-        with rocksdb_state(spark):
-            query = start_batches(told, change_log(f"{target}/told"), f"{target}/checkpoint")
-        query.awaitTermination()
-    landed.unpersist()
+    run_parts(
+        landed,
+        f"{target}/topic",
+        lambda stream: start_batches(
+            rolling_returns(stream, 5, lateness="15 days"), change_log(f"{target}/told"), f"{target}/checkpoint", "0 seconds"
+        ),
+    )
     log = spark.read.parquet(f"{target}/told").where("not late").drop("late", "run", "close")
     settled = zoneless(last_write_wins(log, ["stock", "date"], ["batch_id"]).drop("batch_id"))
     return rounded(settled, MEAN_DECIMALS, "moving_avg")

@@ -38,6 +38,13 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; on a file system that moves names this shows all of it at once."""
+    folder, files = _path(spark, path)
+    if not files.rename(folder, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 @dataclass
 class Manifest:
     """For every day the version that holds it and the folders it was made from."""
