@@ -290,7 +290,8 @@ def identify(spark: SparkSession, docs: DataFrame, trees: Trees) -> DataFrame:
     The language is that with the shortest code for the whole text (ties: the smaller
     name); the score is its share in the likelihood of all. A text that is null, or
     holds no letter, gets ``und`` and 0, and so does every text if nothing was learned.
-    Only the text decides; other columns are ignored. Each row gives a row.
+    Only the text decides; other columns are ignored. Very long texts are coded whole,
+    one at a time. Each row gives a row, by its own text; an empty table gives none.
     """
     model = spark.sparkContext.broadcast(trees)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

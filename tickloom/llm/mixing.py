@@ -75,7 +75,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] =
 
     Null texts have size 0 and take nothing; a null source is a source, the last one; a
     null id is hashed as such. Sources without words have target 0. Each row gives a
-    row; other columns are ignored. Targets rest on ``decimal(38,0)`` arithmetic.
+    row, an empty table none; very long texts only count their words, in one pass. Other
+    columns are ignored. Targets rest on ``decimal(38,0)`` arithmetic.
     """
     key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "size"))
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))

@@ -146,8 +146,9 @@ def token_counts(spark: SparkSession, docs: DataFrame, vocabulary_path: str, lim
     Counts are those of the vocabulary's own library for the whole text, without begin
     or end tokens; special tokens spelled out in a text count one each. The vocabulary
     is read by the driver and sent to the tasks (about 1 MB, fixed). A null text counts
-    as empty: no bytes, no tokens, not over the limit. Equal rows, also those with
-    equal ids, each give a row. Other columns are ignored.
+    as empty: no bytes, no tokens, not over the limit. Very long texts are counted whole,
+    one at a time. Equal rows, also those with equal ids, each give a row; an empty table
+    gives none. Other columns are ignored.
     """
     vocabulary = spark.sparkContext.broadcast(Vocabulary(vocabulary_path))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -159,7 +159,9 @@ def judge(spark: SparkSession, pages: DataFrame, rules: list[Rule]) -> DataFrame
     A null url, or one without ``://``, has empty host and path and fits no rule; its
     own characters are scored, a null or empty one with 0. With no labelled address on
     one side nothing is learned: all scores and the threshold are 0 and the verdict is
-    ``allow``. Each row gives a row; other columns are ignored.
+    ``allow``. Of rules of equal length that both fit, the one that comes first by its
+    text decides; a score at the threshold is allowed. Very long addresses are scored
+    whole. Each row gives a row, an empty table none; other columns are ignored.
     """
     url = F.col("url").cast("string")
     parts = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url")).withColumns(
