@@ -317,9 +317,9 @@ def archived(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Write ``pages`` to an archive in the shared folder and read it back.
 
     A null html is an empty payload. A payload of any length is one record, read whole by
-    one task. Of rows with equal payloads the one with the largest page_id is kept in
-    full; rows that repeat an id have records of their own. An empty table gives an empty
-    one. Other columns are ignored.
+    one task. Of rows with equal payloads of at least ``SHARED_BYTES`` those with the
+    largest page_id are kept in full; rows that repeat an id have records of their own. An
+    empty table gives an empty one. Other columns are ignored.
     """
     path = run_dir(spark, "warc")
     write_archive(spark, pages, path)
