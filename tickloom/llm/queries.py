@@ -163,10 +163,35 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM largest
 """
 
+_OP10 = (
+    """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), normed AS (
+  SELECT *, sqrt(list_inner_product(e, e)) AS norm FROM usable
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM normed x JOIN normed y
+    ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_inner_product(x.e, y.e) / (x.norm * y.norm) >= 0.98
+)
+"""
+    + _COMPONENTS
+    + """
+, linked AS (SELECT a AS id, count(*) AS n FROM both_ways GROUP BY a)
+SELECT v.vec_id, coalesce(k.n, 0)::BIGINT AS n_links, coalesce(r.root, v.vec_id) AS component_id,
+       v.vec_id = coalesce(r.root, v.vec_id) AS kept
+FROM embeddings v LEFT JOIN linked k ON k.id = v.vec_id LEFT JOIN roots r ON r.id = v.vec_id
+"""
+)
+
 SQL = {
     "op1_minhash_dedup": _OP1,
     "op2_source_mix": mixing.ORACLE.format(documents="documents"),
     "op7_warc": _OP7,
+    "op10_vector_dedup": _OP10,
     "op11_hard_negatives": negatives.ORACLE,
     "op13_filter_audit": audit.ORACLE,
 }
