@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tickloom.operators.cluster import assemble_features, cluster_stocks
+from tickloom.operators.cluster import assemble_features, cluster_by_coreset, cluster_stocks, coreset
 from tickloom.operators.stats import AVERAGE_FIELDS, stock_summary
 from tickloom.schema import empty_bars
 from tests.support import make_bars
@@ -109,3 +111,33 @@ def test_labels_do_not_depend_on_the_partition_count(spark, shuffles):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def averages(spark, n, seed=1):
+    source = np.random.default_rng(seed)
+    centres = np.array([[10, 11, 9, 10, 500], [50, 52, 48, 51, 2000], [90, 95, 85, 92, 9000]], float)
+    values = centres[source.integers(3, size=n)] + source.normal(size=(n, 5)) * [2, 2, 2, 2, 90]
+    return [(f"S{k}", *map(float, v)) for k, v in enumerate(values)]
+
+
+def test_a_coreset_gives_the_same_labels_for_any_partitions_and_near_the_full_cost(spark):
+    rows = averages(spark, 3000)
+    whole = cluster_stocks(spark.createDataFrame(rows, SCHEMA))
+    found = []
+    for parts in (1, 7, 23):
+        groups = cluster_by_coreset(spark.createDataFrame(rows, SCHEMA).repartition(parts), cells=200)
+        found.append((sorted(map(tuple, groups.labels.collect())), groups.centres))
+        assert groups.cost <= 1.05 * whole.cost
+    assert found[0] == found[1] == found[2]
+    assert found[0][0] == sorted(map(tuple, whole.labels.collect()))
+
+
+def test_coresets_are_bounded_and_take_odd_rows(spark):
+    frame = spark.createDataFrame(averages(spark, 4000, 2), SCHEMA)
+    small = coreset(frame, 150)
+    assert small.count() <= 170 and small.agg(F.sum("weight")).first()[0] == 4000
+    odd = spark.createDataFrame([("a", *[1.0] * 5), ("b", *[1.0] * 5), ("c", None, *[1.0] * 4), ("d", float("nan"), *[1.0] * 4)], SCHEMA)
+    groups = cluster_by_coreset(odd)
+    assert sorted(map(tuple, groups.labels.collect())) == [("a", 0), ("b", 0)]
+    assert sorted(r.stock for r in groups.skipped.collect()) == ["c", "d"]
+    assert cluster_by_coreset(odd.limit(0)).labels.count() == 0

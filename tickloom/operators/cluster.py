@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.stats import AVERAGE_FIELDS
-from tickloom.session import shared_dir
+from tickloom.session import run_dir, shared_dir
+
+#: Cells of a coreset, at most and about; the fit holds so many short vectors.
+CELLS = 20_000
+#: Steps per feature that are tried for a coreset, the finest first.
+STEPS = [2**n for n in range(14, 0, -1)]
 
 
 @dataclass(frozen=True)
@@ -23,12 +30,14 @@ class Clustering:
     cost: float
 
 
+def _usable() -> Column:
+    """Whether all averages of a stock are numbers."""
+    return reduce(and_, (F.col(name).isNotNull() & ~F.isnan(name) for name in AVERAGE_FIELDS))
+
+
 def unusable_features(summary: DataFrame) -> DataFrame:
     """Stocks that cannot be placed because an average is null or NaN."""
-    bad = F.lit(False)
-    for name in AVERAGE_FIELDS:
-        bad = bad | F.col(name).isNull() | F.isnan(name)
-    return summary.where(bad)
+    return summary.where(~_usable())
 
 
 def assemble_features(summary: DataFrame) -> DataFrame:
@@ -76,3 +85,63 @@ def cluster_stocks(
     return Clustering(
         labels, [centres[old] for old in rank], skipped, model.summary.trainingCost
     )
+
+
+def coreset(summary: DataFrame, cells: int = CELLS) -> DataFrame:
+    """Weighted vectors that stand for all usable ones: the means of cells of a grid.
+
+    The range of every average is cut into steps of one length, as many as keep the
+    cells below about ``cells``; how many there would be at each step is estimated for
+    all steps in one pass. A cell's number and sums are plain aggregates, so cells of
+    parts of the data merge, and neither the order of rows nor their partitions enter.
+    Returns ``weight`` and the averages; cells are rounded to ten digits of their range, so
+    that the order of additions does not show.
+    """
+    rows = summary.where(_usable()).select(*AVERAGE_FIELDS)
+    ends = rows.agg(*(f(name).alias(f"{f.__name__}_{name}") for name in AVERAGE_FIELDS for f in (F.min, F.max))).first()
+    low = {name: ends[f"min_{name}"] for name in AVERAGE_FIELDS}
+    wide = {name: (ends[f"max_{name}"] or 0) - (ends[f"min_{name}"] or 0) for name in AVERAGE_FIELDS}
+    if low[AVERAGE_FIELDS[0]] is None:
+        return rows.withColumn("weight", F.lit(1.0)).limit(0)
+
+    def place(name: str, steps: int):
+        part = (F.col(name) - F.lit(low[name])) / F.lit(wide[name] or 1.0)
+        return F.least(F.floor(part * steps), F.lit(steps - 1))
+
+    counts = rows.agg(*(F.approx_count_distinct(F.struct(*(place(n, s) for n in AVERAGE_FIELDS)), 0.02) for s in STEPS)).first()
+    steps = next((s for s, n in zip(STEPS, counts) if n <= cells), STEPS[-1])
+    # Sums from the low end keep their digits; the mean is rounded to a share of the range.
+    means = [
+        (F.round(F.avg((F.col(n) - F.lit(low[n])) / F.lit(wide[n] or 1.0)), 10) * F.lit(wide[n]) + F.lit(low[n])).alias(n)
+        for n in AVERAGE_FIELDS
+    ]
+    grouped = rows.groupBy(*(place(n, steps).alias(f"at_{n}") for n in AVERAGE_FIELDS))
+    return grouped.agg(F.count("*").cast("double").alias("weight"), *means).select("weight", *AVERAGE_FIELDS)
+
+
+def cluster_by_coreset(summary: DataFrame, k: int = 3, seed: int = 1, cells: int = CELLS) -> Clustering:
+    """:func:`cluster_stocks` for many stocks: the fit passes over a coreset only.
+
+    The coreset, of a bounded number of rows, is put in one order in one partition, so
+    the same data give the same centres however they are partitioned. Every stock is
+    then labelled in one pass over the summary, by the nearest centre. The cost is that
+    of all stocks.
+    """
+    spark = summary.sparkSession
+    shared_dir(spark)
+    path = run_dir(spark, "coreset")
+    coreset(summary, cells).coalesce(1).sortWithinPartitions(*AVERAGE_FIELDS).write.parquet(path)
+    cut = spark.read.parquet(path)
+    skipped = unusable_features(summary)
+    if cut.isEmpty():
+        return Clustering(spark.createDataFrame([], "stock string, prediction int"), [], skipped, 0.0)
+    vectors = VectorAssembler(inputCols=AVERAGE_FIELDS, outputCol="features").transform(cut)
+    fitted = vectors.coalesce(1).sortWithinPartitions(*AVERAGE_FIELDS).select("weight", "features").checkpoint()
+    model = KMeans(k=k, seed=seed, featuresCol="features", weightCol="weight", solver="row").fit(fitted)
+    centres = sorted([float(x) for x in centre] for centre in model.clusterCenters())
+    apart = [sum((F.col(n) - F.lit(x)) ** 2 for n, x in zip(AVERAGE_FIELDS, centre)) for centre in centres]
+    placed = summary.where(_usable())
+    nearest = F.array_min(F.array(*apart))
+    placed = placed.select("stock", (F.array_position(F.array(*apart), nearest) - 1).cast("int").alias("prediction"), nearest.alias("apart"))
+    cost = placed.agg(F.sum("apart")).first()[0]
+    return Clustering(placed.drop("apart"), centres, skipped, float(cost or 0.0))

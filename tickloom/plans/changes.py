@@ -16,9 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.asof import as_of, poll_instants
 from tickloom.operators.clean import distinct_bars, last_write_wins, union_bars
+from tickloom.operators.cluster import cluster_by_coreset, cluster_stocks
 from tickloom.operators.decode import accepted, typed_bars
 from tickloom.operators.encode import bar_lines
 from tickloom.operators.moments import update_summary
+from tickloom.operators.stats import stock_summary
 from tickloom.plans.catalog import (
     MEAN_DECIMALS,
     events_table,
@@ -305,3 +307,13 @@ def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     due = spark.read.parquet(f"{target}/deliveries").groupBy("sink").agg(F.sum("rows").alias("rows"))
     off = audit_deliveries(spark, target).groupBy("sink").agg(F.count("*").alias("batches_off"))
     return due.join(off, "sink", "left").fillna(0, "batches_off")
+
+
+@query
+def clusters_coreset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups fitted on a coreset: stocks labelled, groups used, and whether the cost is
+    within 5% of a fit on all stocks."""
+    summary = stock_summary(event_bars(spark, sf_dir)).persist()
+    whole, cut = cluster_stocks(summary), cluster_by_coreset(summary)
+    checks = cut.labels.agg(F.count("*").alias("stocks"), F.count_distinct("prediction").alias("groups"))
+    return checks.withColumn("near", F.lit(cut.cost <= 1.05 * whole.cost))

@@ -287,4 +287,6 @@ SQL: dict[str, str] = {
           UNION ALL SELECT 'points', count(DISTINCT (stock, date_trunc('second', date))) FROM ticks WHERE event_type = 'click'
         )
         SELECT sink, rows, 0::BIGINT AS batches_off FROM told""",
+    "clusters_coreset": """
+        SELECT count(DISTINCT user_id) AS stocks, 3::BIGINT AS groups, true AS near FROM events""",
 }
