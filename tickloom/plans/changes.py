@@ -20,6 +20,7 @@ from tickloom.operators.cluster import cluster_by_coreset, cluster_stocks
 from tickloom.operators.decode import accepted, typed_bars
 from tickloom.operators.encode import bar_lines
 from tickloom.operators.moments import update_summary
+from tickloom.operators.settle import settle_by
 from tickloom.operators.stats import stock_summary
 from tickloom.plans.catalog import (
     MEAN_DECIMALS,
@@ -317,3 +318,17 @@ def clusters_coreset(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole, cut = cluster_stocks(summary), cluster_by_coreset(summary)
     checks = cut.labels.agg(F.count("*").alias("stocks"), F.count_distinct("prediction").alias("groups"))
     return checks.withColumn("near", F.lit(cut.cost <= 1.05 * whole.cost))
+
+
+@query
+def settled_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each user's day the last event by type, then price, then a text of its number."""
+    writes = events_table(spark, sf_dir).select(
+        "user_id",
+        F.to_date("ts").alias("day"),
+        "event_type",
+        F.floor(F.col("value") / 10).alias("price_band"),
+        F.concat(F.lit("e"), F.col("event_id")).alias("name"),
+        "value",
+    )
+    return settle_by(writes, ["user_id", "day"], ["event_type", "price_band", "name"])

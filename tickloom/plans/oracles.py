@@ -287,6 +287,12 @@ SQL: dict[str, str] = {
           UNION ALL SELECT 'points', count(DISTINCT (stock, date_trunc('second', date))) FROM ticks WHERE event_type = 'click'
         )
         SELECT sink, rows, 0::BIGINT AS batches_off FROM told""",
+    "settled_any_order": """
+        SELECT user_id, CAST(ts AS DATE) AS day, event_type,
+               CAST(floor(value / 10) AS BIGINT) AS price_band, 'e' || event_id AS name, value
+        FROM events
+        QUALIFY row_number() OVER (
+          PARTITION BY user_id, day ORDER BY event_type DESC, price_band DESC, name DESC) = 1""",
     "clusters_coreset": """
         SELECT count(DISTINCT user_id) AS stocks, 3::BIGINT AS groups, true AS near FROM events""",
 }
