@@ -41,9 +41,10 @@ def settle_by(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     stages = [name for name in order if name not in keys] + list(DIGESTS)
     left = _stored(marked.select(*keys, *stages).distinct(), "tuples")
     for name in stages:
-        left = _semi(left, _largest(left, keys, name), [*keys, name])
+        # Written, as the next stage reads it twice and plans would double with every stage.
+        left = _stored(_semi(left, _largest(left, keys, name), [*keys, name]), "tied")
     # What is left has one tuple per key; equal rows have one tuple and become one row.
-    settled = _semi(marked, _stored(left, "settled"), [*keys, *stages])
+    settled = _semi(marked, left, [*keys, *stages])
     return settled.select(*plain.values()).distinct().toDF(*columns)
 
 
