@@ -100,6 +100,27 @@ def test_state_of_revisions_shrinks_when_their_day_is_past(spark, tmp_path):
     assert max(sizes) <= 2 * sizes[0] and sizes[-1] == sizes[1]
 
 
+def test_stocks_of_a_day_share_entries_of_the_store_but_not_their_time(spark, tmp_path):
+    topic, target = str(tmp_path / "topic"), str(tmp_path)
+    batches = [
+        ([(f"S{j}", j % 3, 1.0, 5, j) for j in range(200)] + [(None, 0, 1.0, 5, 0)], "2024-02-01T00:00:00"),
+        ([("S1", 1, 2.0, 4, 0), ("S1", 1, 3.0, 6, 0), ("S2", 2, 0.0, 5, 2)], "2024-02-01T20:00:00"),
+        ([("Z", 0, 0.0, 1, 0)], "2024-02-03T12:00:00"),  # takes the time of all but S1, S2 and itself
+        ([("S1", 1, 4.0, 6, 0), ("S3", 0, 5.0, 1, 0), ("S2", 2, 6.0, 5, 1), (None, 0, 7.0, 1, 0)], "2024-02-03T13:00:00"),
+    ]
+    sizes = []
+    for rows, arrived in batches:
+        stream = appended(versions(spark, rows, arrived).repartition(3), topic)
+        with rocksdb_state(spark):
+            found = superseding_bars(stream, "1 day", places=1)
+            sizes.append(state_rows(finish(start_batches(found, change_log(f"{target}/sent"), f"{target}/checkpoint"))))
+    log = spark.read.parquet(f"{target}/sent").orderBy("batch_id").collect()
+    assert max(sizes) <= 6  # an entry and its timers, not one for every stock
+    assert len(log) == 201 + 1 + 1 + 2
+    assert [(r.stock, r.close) for r in log[201:203]] == [("S1", 3.0), ("Z", 0.0)]
+    assert {(r.stock, r.close) for r in log[203:]} == {("S3", 5.0), (None, 7.0)}
+
+
 # -- returns over micro-batches ------------------------------------------------
 
 

@@ -28,9 +28,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Columns that go along with the rows. Names must not begin with an underscore: those
 # reach the processors renumbered.
 _DAY, _FIRST, _SECOND = "keyed_day", "keyed_first", "keyed_second"
+_PLACE = "keyed_place"
 _INSTANT, _ARRIVED = "keyed_instant", "keyed_arrived"
 
 
+#: The stocks of a day are kept in so many entries of a store: each costs some calls.
+DAY_PLACES = 1024
+
 # What keyed state asks for: a store on disk, whose commits write what has changed.
 _STORE = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
@@ -61,36 +65,74 @@ def _micros(spark: SparkSession, span: str) -> int:
 
 
 class _Supersede(StatefulProcessor):
-    """Per stock and day: the order in which the last version of each instant came."""
+    """Per day, for some of its stocks: the order in which the last version of each instant came."""
 
     def __init__(self, delay_ms: int, columns: list[str]) -> None:
         self.delay_ms, self.columns = delay_ms, columns
 
     def init(self, handle) -> None:
+        # ``until`` goes with ``stocks``; ``of`` is the place of an instant's stock there.
         self.handle = handle
-        self.seen = handle.getValueState("seen", "instants array<bigint>, first array<bigint>, second array<bigint>, until bigint")
+        self.seen = handle.getValueState(
+            "seen",
+            "stocks array<string>, until array<bigint>, of array<int>, instants array<bigint>, "
+            "first array<bigint>, second array<bigint>, timer bigint",
+        )
+
+    def keep(self, until: dict, last: dict, timer: int) -> None:
+        """Write what is known, and see to it that a timer rings when the first stock's time is up."""
+        place = {stock: n for n, stock in enumerate(until)}
+        rings = min(until.values())
+        if rings < timer or timer < 0:
+            self.handle.registerTimer(rings)
+            timer = rings
+        of, instants = [place[stock] for stock, _ in last], [instant for _, instant in last]
+        first, second = [a for a, _ in last.values()], [b for _, b in last.values()]
+        self.seen.update((list(until), list(until.values()), of, instants, first, second, timer))
+
+    def known(self) -> tuple[dict, dict, int]:
+        kept = self.seen.get()
+        if kept is None:
+            return {}, {}, -1
+        stocks, until, of, instants, first, second, timer = kept
+        last = {(stocks[n], i): (a, b) for n, i, a, b in zip(of, instants, first, second)}
+        return dict(zip(stocks, until)), last, timer
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new, arrived = {}, 0
+        new, arrived, at = {}, {}, None
         for row in rows:  # the last version of each instant in this batch
-            order, arrived = (row[_FIRST], row[_SECOND]), max(arrived, row[_ARRIVED])
-            if row[_INSTANT] not in new or order >= new[row[_INSTANT]][0]:
-                new[row[_INSTANT]] = order, row
-        known = self.seen.get() if self.seen.exists() else ([], [], [], 0)
-        last = {i: (a, b) for i, a, b in zip(*known[:3])}
-        passes = [i for i, (order, _) in new.items() if i not in last or order > last[i]]
-        last.update({i: new[i][0] for i in passes})
-        until = max(known[3], arrived + self.delay_ms)
-        if passes or until > known[3]:
-            self.seen.update((list(last), [a for a, _ in last.values()], [b for _, b in last.values()], until))
-        if until > known[3]:
-            self.handle.registerTimer(until)
-        for i in passes:
-            yield Row(**{name: new[i][1][name] for name in self.columns})
+            if at is None:
+                names = list(row.__fields__)
+                at = [names.index(n) for n in ("stock", _INSTANT, _FIRST, _SECOND, _ARRIVED)]
+                places = [names.index(n) for n in self.columns]
+            stock, instant, first, second, time = (row[k] for k in at)
+            order, bar = (first, second), (stock, instant)
+            if time > arrived.get(stock, 0):
+                arrived[stock] = time
+            if bar not in new or order >= new[bar][0]:
+                new[bar] = order, row
+        until, last, timer = self.known()
+        passes = [bar for bar, (order, _) in new.items() if bar not in last or order > last[bar]]
+        raised = {s: t + self.delay_ms for s, t in arrived.items() if t + self.delay_ms > until.get(s, 0)}
+        for stock, _ in passes:
+            raised.setdefault(stock, until.get(stock, self.delay_ms))
+        if raised:
+            last.update({bar: new[bar][0] for bar in passes})
+            until.update(raised)
+            self.keep(until, last, timer)
+        made = Row(*self.columns)
+        for bar in passes:
+            row = new[bar][1]
+            yield made(*(row[k] for k in places))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        # Earlier timers of a key that has heard more since are passed over.
-        if self.seen.exists() and self.seen.get()[3] <= expiredTimerInfo.getExpiryTimeInMs():
+        # Stocks that have heard more since stay, and so does a timer for them.
+        until, last, _ = self.known()
+        now = timerValues.getCurrentWatermarkInMs()
+        until = {stock: time for stock, time in until.items() if time > now}
+        if until:
+            self.keep(until, {bar: order for bar, order in last.items() if bar[0] in until}, -1)
+        else:
             self.seen.clear()
         return iter(())
 
@@ -99,7 +141,11 @@ class _Supersede(StatefulProcessor):
 
 
 def superseding_bars(
-    bars: DataFrame, delay: str, order: Sequence[str] = ("ingest_ts", "offset"), arrival: str = "arrival"
+    bars: DataFrame,
+    delay: str,
+    order: Sequence[str] = ("ingest_ts", "offset"),
+    arrival: str = "arrival",
+    places: int = DAY_PLACES,
 ) -> DataFrame:
     """Each bar when it first comes, and again whenever a later version of it does.
 
@@ -109,7 +155,8 @@ def superseding_bars(
 
     State is kept per stock and day, a few numbers per instant, until nothing has come
     for that day for ``delay`` of arrival time; ``arrival`` is when a record reached the
-    topic. After that a version counts as new again: it is sent, never lost, and
+    topic. Stocks of a day are filed together in ``places`` entries of the store, so that
+    a batch asks it once for many of them. A running query keeps its ``places``. After that a version counts as new again: it is sent, never lost, and
     ``order``, which is passed on, lets the reader settle it. Records whose arrival
     lies further back than ``delay`` behind the newest one are dropped by the watermark,
     and counted by the progress log: arrival is the topic's clock, not the sender's.
@@ -121,6 +168,7 @@ def superseding_bars(
     marked = bars.withWatermark(arrival, delay).withColumns(
         {
             _DAY: calendar_day("date"),
+            _PLACE: F.crc32(F.col("stock").cast("binary")) % places,
             _INSTANT: F.unix_micros(F.col("date").cast("timestamp")),
             _FIRST: F.coalesce(F.unix_micros(F.col(first).cast("timestamp")), F.lit(-(2**63) + 1)),
             _SECOND: F.coalesce(F.col(second).cast("bigint"), F.lit(-(2**63) + 1)),
@@ -128,7 +176,7 @@ def superseding_bars(
         }
     )
     out = T.StructType([bars.schema[name] for name in kept])
-    return marked.groupBy("stock", _DAY).transformWithState(
+    return marked.groupBy(_PLACE, _DAY).transformWithState(
         _Supersede(_micros(bars.sparkSession, delay) // 1000, kept), out, "Append", "eventTime"
     )
 
