@@ -180,3 +180,21 @@ def test_counts_beyond_what_a_task_holds_are_kept_whole(monkeypatch):
     monkeypatch.setattr(lm, "MOST_COUNTED", 300)
     parts = summed()
     assert whole.keys() == parts.keys() and all((whole[k] == parts[k]).all() for k in whole)
+
+
+@pytest.mark.parametrize("n", [1, 2, 50, 5000])
+def test_numbers_of_words_are_their_places_however_crowded(n):
+    source = np.random.default_rng(n)
+    vocabulary = np.unique(np.concatenate((source.integers(0, 1 << 63, n, np.uint64) * np.uint64(2), np.arange(n // 2, dtype=np.uint64))))
+    asked = np.concatenate((source.choice(vocabulary, 300), source.integers(0, 1 << 63, 300, np.uint64), vocabulary[[0, -1]]))
+    asked = np.append(asked, [np.uint64(0), np.uint64(2**64 - 1)]).astype(np.uint64)
+    known, places = leaks.Numbers(vocabulary)(asked)
+    assert known.tolist() == np.flatnonzero(np.isin(asked, vocabulary)).tolist()
+    assert places.tolist() == np.searchsorted(vocabulary, asked[known]).tolist()
+    assert [len(found) for found in leaks.Numbers(vocabulary)(asked[:0])] == [0, 0]
+
+
+def test_windows_end_with_their_text_in_the_row_beyond():
+    slot, start, last = np.arange(10, 16), np.array([0, 2, 5]), np.array([3, 4, 6])
+    found = [leaks._further(slot, start, last, k, 99).tolist() for k in (1, 2, 3)]
+    assert found == [[11, 13, 99], [12, 99, 99], [99, 99, 99]]

@@ -63,6 +63,34 @@ def _hashed(items: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
     return Hasher()(data, starts, ends), rows
 
 
+class Numbers:
+    """Where 64-bit hashes are in a sorted array of them, by a table of their first bits."""
+
+    def __init__(self, vocabulary: np.ndarray):
+        bits = min(20, max(1, 3 + int(len(vocabulary)).bit_length()))
+        self.vocabulary, self.shift = vocabulary, U64(64 - bits)
+        start = np.searchsorted(vocabulary >> self.shift, np.arange((1 << bits) + 1, dtype=U64))
+        self.start, self.steps = start[:-1], int(np.diff(start).max(initial=0))
+
+    def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are there, and the places of those."""
+        at = self.start[(hashes >> self.shift).astype(np.int64)]
+        last = len(self.vocabulary) - 1
+        known, place = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        left = np.arange(len(hashes))
+        for _ in range(self.steps):
+            at = np.minimum(at, last)
+            there = self.vocabulary[at]
+            same = there == hashes
+            known.append(left[same])
+            place.append(at[same])
+            more = there < hashes
+            left, hashes, at = left[more], hashes[more], at[more] + 1
+        known, place = np.concatenate(known), np.concatenate(place)
+        order = np.argsort(known, kind="stable")
+        return known[order], place[order]
+
+
 class Passages:
     """A block of the benchmark: passages as numbers of ``vocabulary``, their answers."""
 
@@ -174,6 +202,7 @@ def _features(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, hasher = shared.value, Hasher()
+        numbers = Numbers(vocabulary)
         task, n = TaskContext.get().partitionId() << 40, 0
         spread, n_segments = np.zeros(len(vocabulary), np.int64), 0
         for batch in pieces(batches, "text"):
@@ -182,12 +211,12 @@ def _features(shared):
             counts = np.bincount(rows, minlength=batch.num_rows)
             place = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
             hashes = hasher(data, starts, ends)
-            at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-            known = vocabulary[at] == hashes
-            at, place, rows = at[known], place[known], rows[known]
+            known, at = numbers(hashes)
+            place, rows = place[known], rows[known]
             segments = -(-counts // SEGMENT)
             segment = (np.cumsum(segments) - segments)[rows] + place // SEGMENT
-            met = np.unique(segment * len(vocabulary) + at)
+            met = np.sort(segment * len(vocabulary) + at)
+            met = met[np.diff(met, prepend=-1) > 0]
             spread += np.bincount(met % len(vocabulary), minlength=len(vocabulary))
             n_segments += int(segments.sum())
             ends_at = pa.array(np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=batch.num_rows)))).astype(np.int32))
@@ -289,6 +318,12 @@ def latent_space(gram: np.ndarray, test: np.ndarray) -> np.ndarray:
     return (left[:, :LATENT][:, kept] / singular[:LATENT][kept]).astype(np.float32)
 
 
+def _further(slot: np.ndarray, start: np.ndarray, last: np.ndarray, k: int, beyond: int) -> np.ndarray:
+    """The slots of the segments ``k`` after the starts, ``beyond`` where the window ends before."""
+    at = start + k
+    return np.where(at < last, slot[np.minimum(at, len(slot) - 1)], beyond)
+
+
 def _found(shared, own_passages):
     """What texts hold: row_id, item_id and the share of words in order; null for short items."""
 
@@ -342,14 +377,17 @@ def _found(shared, own_passages):
             # Only the segments of windows that are searched for need their vectors.
             needed = np.cumsum(used)[:-1] > 0
             slot = np.cumsum(needed) - 1
-            vector = np.zeros((int(needed.sum()), space.shape[1]), np.float32)
-            marked = np.zeros((len(vector), BUCKETS), np.float32)
+            # The last row stands for what lies beyond a window.
+            n_needed = int(needed.sum())
+            vector = np.zeros((n_needed + 1, space.shape[1]), np.float32)
+            marked = np.zeros((n_needed + 1, BUCKETS), bool)
             mine = needed[segment]
             if mine.any():
                 kept_segments, kept_words = segment[mine], words[mine]
                 marked[slot[kept_segments], passages.buckets[kept_words]] = 1
                 starts = np.flatnonzero(np.concatenate(([True], kept_segments[1:] != kept_segments[:-1])))
                 vector[slot[kept_segments[starts]]] = _segment_sums(weighted, kept_words, starts)
+            marked = np.packbits(marked, axis=1).view(np.uint64)
             pairs = []
             for size, _ in sizes:
                 mine = np.flatnonzero(passages.windows == size)
@@ -357,8 +395,8 @@ def _found(shared, own_passages):
                     start, last = (x[lo : lo + 4096] for x in bounded[size])
                     marks = marked[slot[start]]
                     for k in range(1, int(size)):
-                        longer = start + k < last
-                        marks[longer] = np.maximum(marks[longer], marked[slot[start[longer] + k]])
+                        marks |= marked[_further(slot, start, last, k, n_needed)]
+                    marks = np.unpackbits(marks.view(np.uint8), axis=1).astype(np.float32)
                     hit, which = passages.held(marks, mine)
                     pairs.append(np.stack((start[hit], last[hit], which)))
             for size, _ in sizes:
@@ -368,8 +406,7 @@ def _found(shared, own_passages):
                     continue
                 window = vector[slot[start]]
                 for k in range(1, int(size)):
-                    longer = start + k < last
-                    window[longer] += vector[slot[start[longer] + k]]
+                    window += vector[_further(slot, start, last, k, n_needed)]
                 length = np.sqrt((window**2).sum(axis=1))
                 least = LEAST_COSINE * norms[mine] * np.maximum(length[:, None], norms[mine])
                 hit, which = np.nonzero(window @ vectors[mine].T >= least)
