@@ -155,3 +155,14 @@ def test_scores_equal_a_count_bit_by_bit(spark, monkeypatch):
         assert got[i]["n_known"] == sum(known[w] > 0 for _, w in own)
         assert math.isclose(got[i]["score"], -sum(cost(*p) for p in own) * math.log10(2), rel_tol=1e-3), i
     assert got[60]["n_tokens"] == 1
+
+
+def test_whole_word_predictors_count_every_word_however_rare(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FOLLOWED_SHARE", 0.2, raising=False)  # words were once left out below a share
+    kept, texts = [], ["the the the the the rare", "the scarce the", "the", None]
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    learn = lm.Mixer.learn
+    monkeypatch.setattr(lm.Mixer, "learn", lambda mixer, s, p, counts: (learn(mixer, s, p, counts), kept.append([t.sum() for t in counts]))[0])
+    assert lm.score_texts(spark, docs).count() == 4
+    n_bits = 8 * sum(len(w) + 1 for t in texts for w in [*(t or "").split(), lm.END])
+    assert kept == [[n_bits] * lm.N_PREDICTORS]

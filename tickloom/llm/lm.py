@@ -8,9 +8,9 @@ domain, each under a weight gated by how much its context has seen and by the bi
 place; the mix is then refined by an adaptive table of what such mixes were worth. The
 state is the class of the last short word, which tells languages and styles apart.
 
-The two predictors of whole words follow every word for as long as it agrees with one
-of the most frequent, and abstain from there on. Their tables thus hold a bounded
-number of contexts, however many words the corpus has.
+Tables have a fixed size, and contexts share their slots by hash: those of all words are
+counted, however rare. The two predictors of whole words can be held to marked words
+instead, which they follow for as long as a word agrees with one; scoring marks none.
 
 Statistics are frozen before scoring. A word's cost depends on itself and the state
 alone, so it is worked out once per distinct pair and summed over the texts. Pairs are
@@ -58,8 +58,6 @@ SUM_PARTS = 16
 #: A word with at least this share of all tokens is frequent, so there are no more than
 #: its inverse (in texts, with their few common words, a tenth of that).
 FREQUENT_SHARE = 2.0**-20
-#: The same for what the whole-word predictors follow.
-FOLLOWED_SHARE = 2.0**-19
 #: A task hands on its counts before they can exceed 32 bits.
 MOST_COUNTED = 1 << 31
 LOG10_2 = float(np.log10(2.0))
@@ -167,13 +165,13 @@ def _pair_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordB
 
 
 def marked(words_: list[str], pairs: list[tuple[int, str]]) -> dict[int, np.ndarray]:
-    """The slots that the whole-word predictors keep: those of the frequent words."""
+    """Slots that whole-word predictors are held to: those of some words, and after states."""
     states = np.array([state for state, _ in pairs], np.int64)
     return _marked(pa.array(words_, pa.string()), states, pa.array([word for _, word in pairs], pa.string()))
 
 
 def _marked(words_: pa.Array, states: np.ndarray, after: pa.Array) -> dict[int, np.ndarray]:
-    """The same from columns: frequent words; states and the words frequent after them."""
+    """The same from columns: words; states and the words after them."""
     marks = {WORD: np.zeros(1 << SLOT_BITS[WORD], bool), STATE_WORD: np.zeros(1 << SLOT_BITS[STATE_WORD], bool)}
     for predictor, column, own in ((WORD, words_, np.zeros(len(words_), np.int64)), (STATE_WORD, after, states)):
         for lo in range(0, len(column), 4096):
@@ -242,9 +240,8 @@ def _summed(key: tuple, shares: pa.Table) -> pa.Table:
     total = np.zeros(2 << BLOCK_BITS, np.float64)
     for part in shares.column("counts"):
         total += _unpacked(part.as_py())
-    return pa.Table.from_pydict(
-        {"predictor": [key[0].as_py()], "block": [key[1].as_py()], "counts": [total.astype(np.float32).tobytes()]}
-    )
+    packed = _packed(total.astype(np.float32).view(np.uint32))
+    return pa.Table.from_pydict({"predictor": [key[0].as_py()], "block": [key[1].as_py()], "counts": [packed]})
 
 
 def _stretched(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -615,10 +612,7 @@ def score_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     frequent = counts.where(F.col("count") >= total * FREQUENT_SHARE)
     listed = frequent.select("word", "count").toArrow()
-    followed = pairs.where(F.col("n") >= total * FOLLOWED_SHARE).select("state", "word").toArrow()
-    follow = listed.filter(pc.greater_equal(listed.column("count"), total * FOLLOWED_SHARE))
-    marks = _marked(*(_whole(t) for t in (follow.column("word"), followed.column("state"), followed.column("word"))))
-    told = spark.sparkContext.broadcast(marks)
+    told = spark.sparkContext.broadcast({})
     # One set of tables per core of the cluster, whatever the number of pairs.
     shares = pairs.coalesce(max(1, spark.sparkContext.defaultParallelism)).mapInArrow(
         _tables(told), "predictor long, block long, counts binary"
@@ -627,10 +621,10 @@ def score_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     tables = [np.zeros((1 << size, 2), np.float32) for size in SLOT_BITS]
     for row in blocks.toLocalIterator():
         at = row["block"] << BLOCK_BITS
-        tables[row["predictor"]][at : at + (1 << BLOCK_BITS)] = np.frombuffer(row["counts"], np.float32).reshape(-1, 2)
+        tables[row["predictor"]][at : at + (1 << BLOCK_BITS)] = _unpacked(row["counts"]).view(np.float32).reshape(-1, 2)
 
     told.destroy()
-    mixer = Mixer(tables, marks)
+    mixer = Mixer(tables, {})
     if total:
         mixer.learn(spark, pairs, tables)
     else:
