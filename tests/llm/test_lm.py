@@ -51,6 +51,51 @@ def test_branches_of_nothing_and_of_very_long_words():
     assert len(fresh) == 70001 + 2 and list(fresh[owner[-3:]]) == [69999, len(data) - 2, len(data) - 1]
 
 
+def test_what_leaves_the_state_out_is_looked_up_once_for_all_states(monkeypatch):
+    """Look-ups of a pass: per beginning of a word, or per state and beginning, whatever the pairs."""
+    stock = ["stone", "stones", "stoned", "river", "é"]
+    pairs = sorted((w, s) for w in stock for s in range(5) if (w, s) != ("river", 2))
+    batch = pa.RecordBatch.from_pydict(
+        {"state": pa.array([s for _, s in pairs], pa.int32()), "word": [w for w, _ in pairs], "n": pa.array([3] * len(pairs), pa.int64())}
+    )
+    begun = {(w.encode() + b" ")[:k] for w in stock for k in range(1, len(w.encode()) + 2)}
+    after = {(s, (w.encode() + b" ")[:k]) for w, s in pairs for k in range(1, len(w.encode()) + 2)}
+    entries, seen = lm._entries, []
+    monkeypatch.setattr(lm, "_entries", lambda contexts, *more: (seen.append(len(contexts)), entries(contexts, *more))[1])
+
+    class Shared:
+        value = lm.Odds([np.zeros((1 << size, 2), np.float32) for size in lm.SLOT_BITS], {})
+
+    weights = np.full((8, lm.N_PREDICTORS, lm.CONFIDENCES), 1.0 / lm.N_PREDICTORS, np.float32)
+    assert len(list(lm._gradients(Shared, weights, True)(iter([batch])))) == 1
+    assert sorted(seen) == [len(begun)] * 4 + [len(after)] * 3
+    ((nodes, _),) = lm._nodes(iter([batch]))
+    assert nodes.heavy.sum() == 3 * sum(len(w.encode()) + 1 for w, _ in pairs)
+
+
+def test_pairs_are_added_up_over_pieces_of_text():
+    texts = pa.RecordBatch.from_pydict({"text": ["the river " * 120000, "the river " * 120000, "River", None]})
+    (told,) = lm._pairs(iter([texts]))
+    rows = list(zip(*(told.column(c).to_pylist() for c in ("state", "word", "n"))))
+    assert len({r[:2] for r in rows}) == len(rows)
+    found = Counter()
+    for _, word, n in rows:
+        found[word] += n
+    assert found == {"the": 240000, "river": 240001, lm.END: 4}
+
+
+def test_frequent_words_are_found_by_their_hashes():
+    mixer = lm.Mixer([np.zeros((1 << size, 2), np.float32) for size in lm.SLOT_BITS], {})
+    mixer.freeze([np.zeros((1 << size, 2), np.float32) for size in lm.SLOT_BITS])
+    costs = pa.table({"key": pa.array([], pa.int64()), "state": pa.array([], pa.int32()), "cost": pa.array([], pa.float32())})
+    for n in (0, 1, 3000):
+        listed = pa.table({"word": pa.array([f"w{i}" for i in range(n)], pa.string()), "count": pa.array(range(n), pa.int64())})
+        frequent = lm.Frequent(listed, 1, costs, mixer)
+        hashes = lm._keys(pa.array([f"w{i}" for i in range(3500)], pa.string()))
+        at, there = frequent.places(np.append(hashes, np.array([0, 2**64 - 1], np.uint64)))
+        assert list(np.flatnonzero(there)) == list(range(n)) and list(frequent.counts[at[there]]) == list(range(n))
+
+
 def test_sums_of_words_together_equal_those_of_words_alone():
     """Counts, slopes and costs do not depend on which words share a piece, or on their order."""
     pairs = [p for p in some_pairs(150) if len(p[1]) < 400]

@@ -14,8 +14,9 @@ instead, which they follow for as long as a word agrees with one; scoring marks
 
 Statistics are frozen before scoring. A word's cost depends on itself and the state
 alone, so it is worked out once per distinct pair and summed over the texts. Pairs are
-kept in order, and what a word has in common with the one before it is worked out once
-for both: see :func:`branches`.
+kept in the order of their words, and what a word has in common with the one before it is
+worked out once for both, as is for all states what does not depend on them: see
+:func:`branches` and :class:`Nodes`.
 """
 
 from __future__ import annotations
@@ -43,6 +44,13 @@ SLOT_BITS = (20, 20, 20, 21, 21, 21, 21)
 #: The predictors of whole words: of the word alone, and with the state.
 WORD, STATE_WORD = 5, 6
 N_PREDICTORS = len(SLOT_BITS)
+#: The predictors whose context has the state in it.
+STATEFUL = (1, 3, STATE_WORD)
+STATELESS = tuple(i for i in range(N_PREDICTORS) if i not in STATEFUL)
+#: Pairs that are searched for shared bytes at once.
+ROWS_AT_ONCE = 1 << 14
+#: Bytes and states whose bits are worked on at once.
+NODES_AT_ONCE = 12288
 #: The tables are put together in blocks of this many slots.
 BLOCK_BITS = 14
 CONFIDENCES = 24
@@ -58,6 +66,8 @@ SUM_PARTS = 16
 #: A word with at least this share of all tokens is frequent, so there are no more than
 #: its inverse (in texts, with their few common words, a tenth of that).
 FREQUENT_SHARE = 2.0**-20
+#: A task adds up pairs of state and word over so many, or so many bytes of them.
+HELD_PAIRS, HELD_BYTES = 1 << 19, 1 << 24
 #: A task hands on its counts before they can exceed 32 bits.
 MOST_COUNTED = 1 << 31
 LOG10_2 = float(np.log10(2.0))
@@ -95,49 +105,122 @@ def branches(data: np.ndarray, offsets: np.ndarray, states: np.ndarray) -> tuple
     return np.flatnonzero(fresh), owner
 
 
-def slots(
-    data: np.ndarray, offsets: np.ndarray, states: np.ndarray, only: np.ndarray | slice = slice(None)
-) -> tuple[list[np.ndarray], np.ndarray]:
-    """Per predictor the slots of all bits (bytes x 8) of spelled words, and the bits.
-
-    ``only`` picks some of the bytes.
-    """
+def _contexts(data: np.ndarray, offsets: np.ndarray, only: np.ndarray) -> list[np.ndarray]:
+    """Per predictor what some bytes of spelled words are predicted from, but for the state."""
     lengths = np.diff(offsets)
     inside = np.arange(len(data)) - np.repeat(offsets[:-1], lengths)
     wide = data.astype(U64) + U64(1)
-    back = np.zeros((6, len(data)), U64)
-    for k in range(6):
-        back[k, k + 1 :] = np.where(inside[k + 1 :] > k, wide[: -(k + 1)], U64(0))
     hasher_up = mix(wide + (inside.astype(U64) << U64(9)))
     sums = np.concatenate((np.zeros(1, U64), np.cumsum(hasher_up, dtype=U64)))
-    prefix = sums[:-1] - np.repeat(sums[offsets[:-1]], lengths)
-    prefix = mix(prefix + inside.astype(U64))
+    inside = inside[only]
+    prefix = mix(sums[only] - sums[only - inside] + inside.astype(U64))
+    back = [np.where(inside > k, wide.take(only - (k + 1), mode="wrap"), U64(0)) for k in range(6)]
     two = back[0] | back[1] << U64(9)
     three = two | back[2] << U64(18)
     four = three | back[3] << U64(27)
-    state = mix(np.repeat(states.astype(U64), lengths) + U64(77))
-    contexts = [
-        back[0],
-        two ^ state,
-        three + U64(2 << 40),
-        four ^ state,
-        (four | back[4] << U64(36) | back[5] << U64(45)) ^ U64(0x5A << 56),
-        prefix,
-        prefix ^ state,
-    ]
-    data = data[only]
-    node = nodes_of(data)
-    bits = ((data[:, None] >> np.arange(7, -1, -1, dtype=np.uint8)) & 1).astype(np.uint8)
-    spread = mix(np.arange(256, dtype=U64) + U64(999))[node]
-    place = np.arange(8, dtype=U64)
-    found = []
-    for context, size in zip(contexts, SLOT_BITS):
-        mixed = (mix(context[only])[:, None] + spread) * U64(0x9E3779B97F4A7C15)
-        mixed >>= U64(64 - size + 3)
-        mixed <<= U64(3)
-        mixed |= place  # so that a slot serves bits of one place only
-        found.append(mixed.view(np.int64))
-    return found, bits
+    six = (four | back[4] << U64(36) | back[5] << U64(45)) ^ U64(0x5A << 56)
+    return [back[0], two, three + U64(2 << 40), four, six, prefix, prefix]
+
+
+def _of_states(states: np.ndarray) -> np.ndarray:
+    """What states add to the contexts of the predictors that go by them."""
+    return mix(states.astype(U64) + U64(77))
+
+
+_GOLDEN = U64(0x9E3779B97F4A7C15)
+#: By what is known of the byte, what that adds to a mixed context times the golden ratio.
+_SPREAD = mix(np.arange(256, dtype=U64) + U64(999)) * _GOLDEN
+_PLACES = np.arange(8, dtype=U64)
+
+
+def _entries(contexts: np.ndarray, spread: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
+    """Twice the slot and the bit, for all bits (bytes x 8); a slot serves bits of one place only.
+
+    ``spread`` has what is known of the byte before each bit, ``ends`` twice the place and the bit.
+    """
+    found = (mix(contexts) * _GOLDEN)[:, None] + spread
+    found >>= U64(64 - size - 1)
+    found &= ~U64(15)
+    found |= ends
+    return found.view(np.int64)
+
+
+def _bits_of(data: np.ndarray) -> np.ndarray:
+    return ((data[:, None] >> np.arange(7, -1, -1, dtype=np.uint8)) & 1).astype(np.uint8)
+
+
+def slots(data: np.ndarray, offsets: np.ndarray, states: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Per predictor the slots of all bits (bytes x 8) of spelled words, and the bits."""
+    bits, spread = _bits_of(data), _SPREAD[nodes_of(data)]
+    state = _of_states(np.repeat(states, np.diff(offsets)))
+    contexts = _contexts(data, offsets, np.arange(len(data)))
+    for i in STATEFUL:
+        contexts[i] = contexts[i] ^ state
+    return [_entries(c, spread, _PLACES * U64(2), size) >> 1 for c, size in zip(contexts, SLOT_BITS)], bits
+
+
+class Nodes:
+    """The bits of some words, each looked up once: bytes where words part, by state.
+
+    Words that begin alike share bytes (:func:`branches`), whatever the states they follow,
+    and predictors that leave the state out are looked up per such byte. The others are
+    looked up per byte and state, for the states that any word through that byte follows.
+    ``which`` has for each row its word, ``n`` its count.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, which: np.ndarray, states: np.ndarray, n: np.ndarray):
+        self.offsets, self.which, self.states = offsets, which, states
+        self.fresh, self.owner = branches(data, offsets, np.zeros(len(offsets) - 1, np.int64))
+        # The words through a byte follow each other.
+        self.first = (np.searchsorted(offsets, self.fresh, side="right") - 1).astype(np.int64)
+        self.last = self.first + np.bincount(self.owner, minlength=len(self.fresh))
+        tallies = self.tallied(n)
+        at = np.flatnonzero(tallies)
+        self.node, self.state, self.heavy = at // STATES, at % STATES, tallies.ravel().take(at)
+        self.contexts = _contexts(data, offsets, self.fresh)
+        data = data[self.fresh]
+        self.bits, self.known = _bits_of(data), nodes_of(data)
+        self.spread, self.ends = _SPREAD[self.known], _PLACES * U64(2) + self.bits
+
+    def tallied(self, n: np.ndarray) -> np.ndarray:
+        """For each byte and state, the counts ``n`` of the rows whose words go through it."""
+        size = (len(self.offsets) - 1) * STATES
+        totals = np.zeros((len(self.offsets), STATES))
+        np.cumsum(np.bincount(self.which * STATES + self.states, n, size).reshape(-1, STATES), axis=0, out=totals[1:])
+        return totals[self.last] - totals[self.first]
+
+    def entries(self, i: int, nodes: slice = slice(None), pairs: slice = slice(None)) -> np.ndarray:
+        """Twice the slot and the bit of predictor ``i``: by byte, or by byte and state."""
+        if i not in STATEFUL:
+            return _entries(self.contexts[i][nodes], self.spread[nodes], self.ends[nodes], SLOT_BITS[i])
+        node = self.node[pairs]
+        contexts = self.contexts[i].take(node) ^ _STATE_CONTEXTS.take(self.state[pairs])
+        return _entries(contexts, self.spread.take(node, axis=0), self.ends.take(node, axis=0), SLOT_BITS[i])
+
+    def followed(self, mark: np.ndarray, i: int) -> np.ndarray:
+        """For each entry, whether its word has met only marked slots so far."""
+        met = mark.take(self.entries(i) >> 1)
+        whole = np.ones((len(self.fresh), STATES), bool)
+        if i in STATEFUL:
+            whole[self.node, self.state] = met.all(axis=1)
+        else:
+            whole[:] = met.all(axis=1)[:, None]
+        strayed = np.zeros((len(self.owner) + 1, STATES), np.int64)
+        np.cumsum(~whole[self.owner], axis=0, out=strayed[1:])
+        clear = strayed[self.fresh] == strayed[self.offsets[self.first]]
+        clear = clear[self.node, self.state] if i in STATEFUL else clear[:, 0]
+        return clear[:, None] & np.logical_and.accumulate(met, axis=1)
+
+    def parts(self) -> Iterator[tuple[slice, slice]]:
+        """Some bytes at a time, and their pairs of byte and state."""
+        begins = np.searchsorted(self.node, np.arange(len(self.fresh) + 1))
+        cuts = np.searchsorted(begins, np.arange(0, len(self.node), NODES_AT_ONCE))
+        cuts = np.unique(np.append(cuts, len(self.fresh)))
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            yield slice(lo, hi), slice(begins[lo], begins[hi])
+
+
+_STATE_CONTEXTS = _of_states(np.arange(STATES))
 
 
 def nodes_of(data: np.ndarray) -> np.ndarray:
@@ -146,12 +229,12 @@ def nodes_of(data: np.ndarray) -> np.ndarray:
     return (1 << shifts.astype(np.int64)) | (data[:, None] >> (8 - shifts)).astype(np.int64)
 
 
-def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbouring batches as one, up to some thousand rows or 64 kB."""
+def _together(batches: Iterator[pa.RecordBatch], rows: int = 4000, n_bytes: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches as one, up to some thousand rows or some kB."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)
-        if sum(b.num_rows for b in held) >= 4000 or sum(b.nbytes for b in held) >= 1 << 16:
+        if sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= n_bytes:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
             held = []
     if held:
@@ -159,11 +242,21 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pair_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
-    for batch in pieces(_together(batches), "word", 1 << 15):
+    for batch in pieces(_together(batches), "word", 1 << 16):
         data, offsets = _spelled(*flat(batch.column("word")))
         yield batch, data, offsets, batch.column("state").to_numpy(zero_copy_only=False)
 
 
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Nodes, np.ndarray]]:
+    """The bits of all pairs, piece by piece, and the counts of the pairs."""
+    for batch in pieces(_together(batches, ROWS_AT_ONCE, 32 * ROWS_AT_ONCE), "word", 16 * ROWS_AT_ONCE, ROWS_AT_ONCE):
+        column, n = batch.column("word"), batch.column("n").to_numpy()
+        new = np.ones(len(column), bool)
+        new[1:] = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+        spelled = _spelled(*flat(column.filter(pa.array(new))))
+        yield Nodes(*spelled, np.cumsum(new) - 1, batch.column("state").to_numpy(zero_copy_only=False), n), n
+
+
 def marked(words_: list[str], pairs: list[tuple[int, str]]) -> dict[int, np.ndarray]:
     """Slots that whole-word predictors are held to: those of some words, and after states."""
     states = np.array([state for state, _ in pairs], np.int64)
@@ -180,14 +273,6 @@ def _marked(words_: pa.Array, states: np.ndarray, after: pa.Array) -> dict[int,
     return marks
 
 
-def _followed(mark: np.ndarray, at: np.ndarray, offsets: np.ndarray, fresh: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """For each bit of the ``fresh`` bytes, whether its word has met only marked slots so far."""
-    met = mark.take(at)
-    strayed = np.concatenate((np.zeros(1, np.int64), np.cumsum(~met.all(axis=1)[owner])))
-    clear = strayed[:-1] == np.repeat(strayed[offsets[:-1]], np.diff(offsets))
-    return clear[fresh][:, None] & np.logical_and.accumulate(met, axis=1)
-
-
 def _packed(counts: np.ndarray) -> bytes:
     """Counts as planes of bytes, most of which are all zero, compressed."""
     return zlib.compress(np.ascontiguousarray(counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
@@ -212,19 +297,18 @@ def _tables(shared):
         marks = shared.value
         counts = [np.zeros((1 << size, 2), np.uint32) for size in SLOT_BITS]
         held = 0
-        for batch, data, offsets, states in _pair_pieces(batches):
-            left = batch.column("n").to_numpy()
-            fresh, owner = branches(data, offsets, states)
-            found, bits = slots(data, offsets, states, fresh)
-            found = [at * 2 + bits for at in found]
-            follows = {i: _followed(marks[i], found[i] >> 1, offsets, fresh, owner) for i in marks}
+        for nodes, left in _nodes(batches):
+            found = [nodes.entries(i) for i in range(N_PREDICTORS)]
+            follows = {i: nodes.followed(marks[i], i) for i in marks}
             while left.any():
                 # As much of the counts as there is room for; the rest after handing them on.
                 part = np.diff(np.minimum(np.cumsum(left), MOST_COUNTED - held), prepend=0)
                 held, left = held + int(part.sum()), left - part
-                weight = np.bincount(owner, np.repeat(part, np.diff(offsets)), len(fresh))
-                weight = np.repeat(weight.astype(np.uint32)[:, None], 8, axis=1)
+                tallies = nodes.tallied(part)
+                by_state, by_node = tallies[nodes.node, nodes.state], tallies.sum(axis=1)
                 for number, (table, at) in enumerate(zip(counts, found)):
+                    weight = (by_state if number in STATEFUL else by_node).astype(np.uint32)
+                    weight = np.repeat(weight, 8).reshape(-1, 8)
                     kept = follows.get(number, slice(None))
                     np.add.at(table.reshape(-1), at[kept].ravel(), weight[kept].ravel())
                 if held == MOST_COUNTED:
@@ -260,13 +344,23 @@ SUM_SIZES = (1, N_PREDICTORS * 8 * CONFIDENCES, 2 * 256 * REFINED)
 CURVE_SIZE = N_PREDICTORS * N_PREDICTORS * 8 * CONFIDENCES * CONFIDENCES
 
 
-def _without_itself(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per slot the prediction without one bit of 0, and of 1, and its confidence."""
-    stretch = np.empty(table.shape, np.float32)
+def _without_itself(table: np.ndarray) -> np.ndarray:
+    """Per slot the prediction without one bit of 0, and of 1, each beside its confidence.
+
+    One look-up finds both: confidences are the upper halves, predictions the lower.
+    """
+    both = np.empty((*table.shape, 2), np.float32)
     for bit in (0, 1):
         zeros, ones = np.maximum(table[:, 0] - (1 - bit), 0), np.maximum(table[:, 1] - bit, 0)
-        stretch[:, bit] = _stretched(zeros, ones)[0]
-    return stretch.ravel(), _stretched(np.maximum(table.sum(axis=1) - 1, 0), np.zeros(1, np.float32))[1]
+        both[:, bit, 0] = _stretched(zeros, ones)[0]
+    sure = _stretched(np.maximum(table.sum(axis=1) - 1, 0), np.zeros(1, np.float32))[1]
+    both.view(np.int32)[:, :, 1] = sure[:, None]
+    return both.view(np.int64).ravel()
+
+
+def _parted(odds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Predictions and confidences that were looked up together."""
+    return odds.view(np.float32)[..., ::2], odds >> 32
 
 
 class Odds:
@@ -276,7 +370,7 @@ class Odds:
         self.marks, self.tables = marks, None
         self.packed = [_packed(table.view(np.uint32).ravel()) for table in counts]
 
-    def unpacked(self) -> list[tuple[np.ndarray, np.ndarray]]:
+    def unpacked(self) -> list[np.ndarray]:
         if self.tables is None:
             self.tables = [_without_itself(_unpacked(p).view(np.float32).reshape(-1, 2)) for p in self.packed]
         return self.tables
@@ -285,6 +379,22 @@ class Odds:
 def _gradients(shared, weights: np.ndarray, curved: bool):
     """A task's share of what a pass sums up under the given weights."""
     by_gate = weights.transpose(1, 0, 2).reshape(N_PREDICTORS, -1)
+    gate_places = np.arange(8) * CONFIDENCES
+
+    def curve_of(some, others, found, gates, bend, curve) -> None:
+        """Add how the loss curves between the weights of ``some`` predictors and of ``others``."""
+        parts = {i: _parted(found[i]) for i in {*some, *others}}
+        parts = {i: (stretch.ravel().astype(np.float64), confidence.ravel()) for i, (stretch, confidence) in parts.items()}
+        for i in some:
+            bent, wide = bend * parts[i][0], gates[i].ravel() * CONFIDENCES
+            for k in others:
+                if k > i and k in some:
+                    continue
+                part = np.bincount(wide + parts[k][1], bent * parts[k][0], curve.shape[2])
+                if k <= i:
+                    curve[i, k] += part
+                else:
+                    curve[k, i] += part.reshape(8, CONFIDENCES, CONFIDENCES).transpose(0, 2, 1).ravel()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         odds, marks = shared.value.unpacked(), shared.value.marks
@@ -292,38 +402,53 @@ def _gradients(shared, weights: np.ndarray, curved: bool):
         loss, slope, hits, curve = np.split(total, np.cumsum(SUM_SIZES))
         slope, hits = slope.reshape(N_PREDICTORS, -1), hits.reshape(2, -1)
         curve = curve.reshape(N_PREDICTORS, N_PREDICTORS, curved * 8 * CONFIDENCES**2)
-        for batch, data, offsets, states in _pair_pieces(batches):
-            fresh, owner = branches(data, offsets, states)
-            found, bits = slots(data, offsets, states, fresh)
-            heavy = np.bincount(owner, np.repeat(batch.column("n").to_numpy(), np.diff(offsets)), len(fresh))
-            heavy = np.repeat(heavy, 8)
-            place = np.tile(np.arange(8) * CONFIDENCES, len(fresh))
-            bit = bits.ravel()
-            mixed = np.zeros(len(bit), np.float32)
-            stretches, confidences, gates = [], [], []
-            for i, at in enumerate(found):
-                stretch, confidence = odds[i][0].take((at * 2 + bits).ravel()), odds[i][1].take(at.ravel())
-                if i in marks:
-                    follows = _followed(marks[i], at, offsets, fresh, owner).ravel()
-                    stretch, confidence = stretch * follows, confidence * follows
-                gates.append(place + confidence)
-                stretches.append(stretch)
-                confidences.append(confidence)
-                mixed += by_gate[i].take(gates[i]) * stretch
-            mixed = np.clip(mixed, -20, 20)
-            guess = 1 / (1 + np.exp(-mixed.astype(np.float64)))
-            loss[0] -= heavy @ np.log(np.where(bit == 1, guess, 1 - guess))
-            error, bend = (bit - guess) * heavy, guess * (1 - guess) * heavy
-            for i in range(N_PREDICTORS):
-                slope[i] += np.bincount(gates[i], error * stretches[i], slope.shape[1])
-                bent, wide = bend * stretches[i], gates[i] * CONFIDENCES
-                for k in range((i + 1) * curved):
-                    curve[i, k] += np.bincount(wide + confidences[k], bent * stretches[k], curve.shape[2])
-            low, share = _bucket(mixed)
-            low += nodes_of(data[fresh]).ravel() * REFINED
-            for at, amount in ((low, (1 - share) * heavy), (low + 1, share * heavy)):
-                hits[0] += np.bincount(at, amount * bit, hits.shape[1])
-                hits[1] += np.bincount(at, amount, hits.shape[1])
+        for nodes, _ in _nodes(batches):
+            follows = {i: nodes.followed(marks[i], i) for i in marks}
+            for own, pairs in nodes.parts():
+                node = nodes.node[pairs] - own.start
+                heavy, bit = np.repeat(nodes.heavy[pairs], 8), nodes.bits[own].take(node, axis=0).ravel()
+                mixed = np.zeros((len(node), 8), np.float32)
+                found, gates = [], []
+                for i in range(N_PREDICTORS):
+                    at = odds[i].take(nodes.entries(i, own, pairs))
+                    if i in marks:
+                        at *= follows[i][pairs if i in STATEFUL else own]
+                    stretch, confidence = _parted(at)
+                    confidence += gate_places
+                    term = by_gate[i].take(confidence)
+                    term *= stretch
+                    mixed += term if i in STATEFUL else term.take(node, axis=0)
+                    found.append(at)
+                    gates.append(confidence)
+                mixed = np.clip(mixed, -20, 20).ravel()
+                guess = np.exp(-mixed.astype(np.float64))
+                guess += 1
+                np.reciprocal(guess, out=guess)
+                error = bit - guess
+                # A bit of 1 was given the chance 1 - error, one of 0 the chance 1 + error.
+                loss[0] -= heavy @ np.log1p(-np.abs(error))
+                error *= heavy
+                bend = (guess - guess * guess) * heavy
+                # What leaves the state out is summed over states first.
+                begins = np.searchsorted(node, np.arange(own.stop - own.start))
+                summed = [np.add.reduceat(x.reshape(-1, 8), begins).ravel() for x in (error, bend)]
+                alone = {i: found[i].view(np.float32)[:, ::2].astype(np.float64).ravel() for i in STATELESS}
+                for i in STATELESS:
+                    slope[i] += np.bincount(gates[i].ravel(), summed[0] * alone[i], slope.shape[1])
+                for i in STATEFUL:
+                    stretch = found[i].view(np.float32)[:, ::2].ravel()
+                    slope[i] += np.bincount(gates[i].ravel(), error * stretch, slope.shape[1])
+                if curved:
+                    curve_of(STATELESS, STATELESS, found, gates, summed[1], curve)
+                    for i in STATELESS:
+                        found[i], gates[i] = found[i].take(node, axis=0), gates[i].take(node, axis=0)
+                    curve_of(STATEFUL, range(N_PREDICTORS), found, gates, bend, curve)
+                low, share = _bucket(mixed)
+                low += nodes.known[own].take(node, axis=0).ravel() * REFINED
+                above = share * heavy
+                for at, amount in ((low, heavy - above), (low + 1, above)):
+                    hits[0] += np.bincount(at, amount * bit, hits.shape[1])
+                    hits[1] += np.bincount(at, amount, hits.shape[1])
         parts = np.array_split(total, SUM_PARTS)
         yield pa.RecordBatch.from_pydict({"part": list(range(SUM_PARTS)), "sums": [p.tobytes() for p in parts]})
 
@@ -395,20 +520,27 @@ class Mixer:
 
     def bits(self, data: np.ndarray, offsets: np.ndarray, states: np.ndarray) -> np.ndarray:
         """The code length of each spelled word under its state, in bits."""
-        fresh, owner = branches(data, offsets, states)
-        found, bits = slots(data, offsets, states, fresh)
-        mixed = np.zeros(bits.shape, np.float32)
-        for i, at in enumerate(found):
-            term = self.terms[i].take(at)
-            mixed += term * _followed(self.marks[i], at, offsets, fresh, owner) if i in self.marks else term
-        mixed = np.clip(mixed, -20, 20)
-        low, share = _bucket(mixed)
-        flat_at = nodes_of(data[fresh]) * REFINED + low
-        table = self.refined.reshape(-1)
-        refined = table.take(flat_at) * (1 - share) + table.take(flat_at + 1) * share
-        guess = np.clip((refined + 1 / (1 + np.exp(-mixed))) / 2, 1e-6, 1 - 1e-6)
-        cost = -np.log2(np.where(bits == 1, guess, 1 - guess)).sum(axis=1, dtype=np.float64)
-        sums = np.concatenate(([0.0], np.cumsum(cost[owner])))
+        rows = np.arange(len(states))
+        nodes = Nodes(data, offsets, rows, states, np.ones(len(rows)))
+        table, cost = self.refined.reshape(-1), np.zeros(len(nodes.fresh) * STATES)
+        follows = {i: nodes.followed(self.marks[i], i) for i in self.marks}
+        for own, pairs in nodes.parts():
+            node = nodes.node[pairs] - own.start
+            mixed = np.zeros((len(node), 8), np.float32)
+            for i in range(N_PREDICTORS):
+                term = self.terms[i].take(nodes.entries(i, own, pairs) >> 1)
+                if i in follows:
+                    term = term * follows[i][pairs if i in STATEFUL else own]
+                mixed += term if i in STATEFUL else term.take(node, axis=0)
+            mixed = np.clip(mixed, -20, 20)
+            low, share = _bucket(mixed)
+            flat_at = nodes.known[own].take(node, axis=0) * REFINED + low
+            refined = table.take(flat_at) * (1 - share) + table.take(flat_at + 1) * share
+            guess = np.clip((refined + 1 / (1 + np.exp(-mixed))) / 2, 1e-6, 1 - 1e-6)
+            chance = np.where(nodes.bits[own].take(node, axis=0) == 1, guess, 1 - guess)
+            cost[nodes.node[pairs] * STATES + nodes.state[pairs]] = -np.log2(chance).sum(axis=1, dtype=np.float64)
+        each = cost.take(nodes.owner * STATES + np.repeat(states, np.diff(offsets)))
+        sums = np.concatenate(([0.0], np.cumsum(each)))
         return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
@@ -435,20 +567,37 @@ def _with_end(texts: pa.Array, n: int) -> pa.Array:
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each word follows each state."""
-    hasher = Hasher()
+    """How often each word follows each state, added up over some pieces of text at a time."""
+    hasher, held = Hasher(), []
+    end = hasher(np.frombuffer(END.encode(), np.uint8), np.array([0]), np.array([len(END)]))
     for batch in pieces(batches, "text"):
         data, starts, ends, _, hashes, states, at_end = _tokens(batch, hasher)
-        _, first, counts = np.unique(mix(hashes + states.astype(U64)), return_index=True, return_counts=True)
+        keys, first, counts = np.unique(mix(hashes + states.astype(U64)), return_index=True, return_counts=True)
         end_states, end_counts = np.unique(at_end, return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate((states[first], end_states)), pa.int32()),
+        held.append(
+            (
+                np.concatenate((keys, mix(end + end_states.astype(U64)))),
+                np.concatenate((states[first], end_states)),
                 _with_end(strings(*gather(data, starts[first], ends[first])), len(end_states)),
-                pa.array(np.concatenate((counts, end_counts)), pa.int64()),
-            ],
-            names=["state", "word", "n"],
+                np.concatenate((counts, end_counts)),
+            )
         )
+        if sum(len(x[0]) for x in held) >= HELD_PAIRS or sum(x[2].nbytes for x in held) >= HELD_BYTES:
+            yield _added_up(held)
+            held = []
+    if held:
+        yield _added_up(held)
+
+
+def _added_up(held: list[tuple]) -> pa.RecordBatch:
+    keys, states, texts, counts = zip(*held)
+    _, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    n = np.zeros(len(first), np.int64)
+    np.add.at(n, which, np.concatenate(counts))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate(states)[first], pa.int32()), pa.concat_arrays(texts).take(pa.array(first)), pa.array(n)],
+        names=["state", "word", "n"],
+    )
 
 
 def _keys(words_: pa.Array) -> np.ndarray:
@@ -475,6 +624,22 @@ class Frequent:
         self.cost[at, costs.column("state").to_numpy()] = costs.column("cost").to_numpy()
         ends = _spelled(np.full(STATES, ord(END), np.uint8), np.arange(STATES + 1))
         self.cost[-1] = mixer.bits(*ends, np.arange(STATES))
+        # Where to begin among the keys, by the first bits of a hash; one more key ends the search.
+        bits = min(22, 2 + len(order).bit_length())
+        self.shift = U64(64 - bits)
+        self.begin = np.searchsorted(self.keys >> self.shift, np.arange(1 << bits, dtype=U64))
+        self.keys = np.append(self.keys, ~U64(0))
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each hash, the first key that is not smaller, and whether it is a frequent word's."""
+        at = self.begin.take((hashes >> self.shift).astype(np.int64))
+        there = self.keys.take(at)
+        left = np.flatnonzero(there < hashes)
+        while len(left):
+            at[left] += 1
+            there[left] = self.keys.take(at[left])
+            left = left[there[left] < hashes[left]]
+        return at, (there == hashes) & (at < len(self.counts))
 
 
 def _split(shared, total: int, distinct: int):
@@ -488,10 +653,8 @@ def _split(shared, total: int, distinct: int):
         for batch in pieces(batches, "text"):
             n_rows = batch.num_rows
             data, starts, ends, rows, hashes, states, at_end = _tokens(batch, hasher)
-            at = np.minimum(np.searchsorted(frequent.keys, hashes), max(len(frequent.keys) - 1, 0))
-            common = frequent.keys[at] == hashes if len(frequent.keys) else np.zeros(len(hashes), bool)
-            if len(frequent.keys):
-                common &= ~np.isnan(frequent.cost[at, states])
+            at, common = frequent.places(hashes)
+            common &= ~np.isnan(frequent.cost.ravel().take(at * STATES + states))
             at, own = at[common], rows[common]
             per_row = np.bincount(rows, minlength=n_rows)
             end_gain = np.log10(frequent.end_count + 1.0)
@@ -539,7 +702,7 @@ def _distinct_costs(batch: pa.RecordBatch, data, offsets, states, mixer: Mixer,
     """The cost of each row's word. Rows arrive by word, so equal ones meet in a batch."""
     key = mix(hasher(data, offsets[:-1], offsets[1:]) + states.astype(U64))
     _, first, which = np.unique(key, return_index=True, return_inverse=True)
-    order = np.lexsort((first, states[first]))  # words of one state next to each other
+    order = np.argsort(first)  # as they came: by word
     first, cost = first[order], np.empty(len(order))
     cost[order] = mixer.bits(*gather(data, offsets[first], offsets[first + 1]), states[first])
     return cost[which]
@@ -605,7 +768,8 @@ def score_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
     learned = docs.where("not held_out").select("text").mapInArrow(_pairs, "state int, word string, n long")
     pairs = learned.groupBy("state", "word").agg(F.sum("n").alias("n"))
-    pairs = pairs.repartitionByRange("state", "word").sortWithinPartitions("state", "word")
+    pairs = written(spark, pairs, "sums")  # borders between ranges are drawn from its rows
+    pairs = pairs.repartitionByRange("word", "state").sortWithinPartitions("word", "state")
     pairs = written(spark, pairs, "pairs")
     counts = written(spark, pairs.groupBy("word").agg(F.sum("n").alias("count")), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
@@ -634,7 +798,7 @@ def score_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     model = spark.sparkContext.broadcast(mixer)
     met = pairs.select("state", "word").where(F.col("word") != END)
     met = met.join(frequent.select("word"), "word", "left_semi").select("state", "word")
-    met = met.sortWithinPartitions("state", "word")
+    met = met.sortWithinPartitions("word", "state")
     costs = met.mapInArrow(_pair_cost(model), "key long, state int, cost float").toArrow()
     head = spark.sparkContext.broadcast(Frequent(listed, ends["count"] if ends else 0, costs, mixer))
     del listed, costs, mixer

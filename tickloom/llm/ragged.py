@@ -52,8 +52,10 @@ class Hasher:
         return mix((sums[ends] - sums[starts]) * self.down[starts])
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches whose ``column`` holds ``limit`` bytes, or one row."""
+def pieces(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES, most: int = 4096
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose ``column`` holds ``limit`` bytes, or one row; ``most`` rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -63,7 +65,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
         while first < batch.num_rows:
             before = totals[first - 1] if first else 0
             last = max(first + 1, int(np.searchsorted(totals, before + limit, side="right")))
-            last = min(last, first + 4096)
+            last = min(last, first + most)
             yield batch.slice(first, last - first)
             first = last
 
